@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from blotter.plans import top_months
+from blotter.plans import cleaning, formats, part_of_day, top_months
 
 QUERIES = {}
 ORACLE = {}
-for _module in (top_months,):
+for _module in (top_months, part_of_day, cleaning, formats):
     QUERIES.update(_module.QUERIES)
     ORACLE.update(_module.ORACLE)
