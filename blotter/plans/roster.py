@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from blotter.plans import cleaning, formats, part_of_day, top_months
+from blotter.plans import (
+    cleaning,
+    formats,
+    income_descent,
+    part_of_day,
+    station_distance,
+    top_months,
+)
 
 QUERIES = {}
 ORACLE = {}
-for _module in (top_months, part_of_day, cleaning, formats):
+for _module in (top_months, part_of_day, income_descent, station_distance, cleaning, formats):
     QUERIES.update(_module.QUERIES)
     ORACLE.update(_module.ORACLE)

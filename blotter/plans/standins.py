@@ -127,7 +127,7 @@ def line_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     coordinates from the order key, null island where l_partkey % 50 = 0."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_suppkey").alias("AREA"),
+        F.col("l_suppkey").alias("AREA "),
         F.col("l_quantity").cast("int").alias("weapon_cd"),
         F.when(F.col("l_partkey") % 50 == 0, F.lit(0.0)).otherwise(lat_of("l_orderkey")).alias("LAT"),
         lon_of("l_orderkey").alias("LON"),
