@@ -23,5 +23,7 @@ def haversine_km(
     dphi = p2 - p1
     dlmb = F.radians(as_col(lon2)) - F.radians(as_col(lon1))
     a = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    a = F.least(F.greatest(a, F.lit(0.0)), F.lit(1.0))
+    # CASE, not least/greatest: those skip NULLs and would turn a missing
+    # coordinate into distance 0.
+    a = F.when(a < 0.0, F.lit(0.0)).when(a > 1.0, F.lit(1.0)).otherwise(a)
     return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(a), F.sqrt(1 - a))

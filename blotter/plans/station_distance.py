@@ -94,7 +94,7 @@ def haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
         f"cos(radians({lat1})) * cos(radians({lat2})) * "
         f"pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)"
     )
-    a = f"least(greatest({a}, 0.0::DOUBLE), 1.0::DOUBLE)"
+    a = f"(CASE WHEN ({a}) < 0.0 THEN 0.0::DOUBLE WHEN ({a}) > 1.0 THEN 1.0::DOUBLE ELSE ({a}) END)"
     return f"(12742.0::DOUBLE * atan2(sqrt({a}), sqrt(1 - {a})))"
 
 

@@ -1,0 +1,208 @@
+"""Operators on toy rows (FIXTURES.md part B) and their physical plans."""
+
+import warnings
+
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.operators import (
+    code_filter,
+    count_by,
+    decode_codes,
+    drop_malformed,
+    drop_null_island,
+    duplicate_keys,
+    join_with_strategy,
+    keep_first,
+    prefix_filter,
+    rename_strict,
+    require_not_null,
+    semi_join_keys,
+    top_k_groups,
+    top_k_per_group,
+    trim_column_names,
+    year_filter,
+)
+from blotter.operators.joins import MAX_BROADCAST_ROWS_CONF, broadcast_fits
+from blotter.sources import read_csv, read_delimited
+from tests.conftest import SF01, formatted_plan, plan_text
+
+
+def test_code_filter_typed_literal_pushed(spark, tmp_path):
+    df = spark.createDataFrame([(101,), (502,), (None,)], "premis int")
+    assert code_filter(df, "premis", "101").count() == 1
+    path = str(tmp_path / "codes")
+    df.write.parquet(path)
+    plan = formatted_plan(code_filter(spark.read.parquet(path), "premis", "101"))
+    assert "EqualTo(premis,101)" in plan
+
+
+def test_prefix_filter_matches_longer_codes(spark):
+    df = spark.createDataFrame([(1,), (11,), (102,), (400,), (None,)], "weapon int")
+    assert sorted(r[0] for r in prefix_filter(df, "weapon", "1").collect()) == [1, 11, 102]
+
+
+def test_null_island_keeps_only_known_points(spark):
+    rows = [(0.0, 0.0), (0.0, 5.0), (5.0, 0.0), (None, 5.0), (5.0, 6.0)]
+    df = spark.createDataFrame(rows, "LAT double, LON double")
+    assert [tuple(r) for r in drop_null_island(df, "LAT", "LON").collect()] == [(5.0, 6.0)]
+
+
+def test_not_null_and_malformed(spark):
+    df = spark.createDataFrame([("M", "H", "12"), (None, "H", "x"), ("F", None, "7")], "s string, d string, t string")
+    assert require_not_null(df, ["s", "d"]).count() == 1
+    assert drop_malformed(df, "t", "int").count() == 2
+
+
+def test_year_filter_range_pushdown(spark):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    kept = year_filter(orders, "o_orderdate", 1997)
+    plan = formatted_plan(kept)
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
+    assert kept.count() == orders.filter(F.year("o_orderdate") == 1997).count()
+
+
+def test_year_filter_on_text(spark):
+    df = spark.createDataFrame([("03/01/2010 12:00:00 AM",), ("03/01/2011 12:00:00 AM",), ("junk",)], "d string")
+    assert year_filter(df, "d", 2010, "MM/dd/yyyy hh:mm:ss a").count() == 1
+
+
+def test_rename_strict_and_trim(spark):
+    df = spark.createDataFrame([(1, "x")], "`AREA ` int, `AREA NAME` string")
+    assert trim_column_names(df).columns == ["AREA", "AREA NAME"]
+    with pytest.raises(KeyError):
+        rename_strict(df, {"AREA": "A"})
+
+
+@pytest.mark.parametrize("method,expected", [("rank", 4), ("dense_rank", 5), ("row_number", 3)])
+def test_top_k_ties(spark, method, expected):
+    df = spark.createDataFrame([(1, c, i) for i, c in enumerate([9, 7, 7, 7, 3])], "g int, n int, m int")
+    out = top_k_per_group(df, ["g"], [F.col("n").desc()], 3, method)
+    assert out.count() == expected
+
+
+def test_rank_filter_becomes_window_group_limit(spark):
+    df = spark.read.parquet(f"{SF01}/orders.parquet")
+    agg = count_by(df.select(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m")), ["y", "m"])
+    assert "WindowGroupLimit" in plan_text(top_k_per_group(agg, ["y"], [F.col("n").desc()], 3))
+
+
+@pytest.mark.parametrize(
+    "nulls,ascending,expected",
+    [("drop", True, ["b", "a"]), ("first", True, ["n", "b"]), ("last", False, ["a", "b"]), ("first", False, ["n", "a"])],
+)
+def test_top_k_groups_null_rules(spark, nulls, ascending, expected):
+    df = spark.createDataFrame([("a", 5), ("n", None), ("b", 1)], "k string, v int")
+    got = [r["k"] for r in top_k_groups(df, "k", "v", 2, ascending, nulls).collect()]
+    assert got == expected
+
+
+def test_top_k_groups_plans_take_ordered(spark):
+    df = spark.createDataFrame([("a", 5), ("b", 1)], "k string, v int")
+    assert "TakeOrderedAndProject" in plan_text(top_k_groups(df, "k", "v", 1))
+
+
+def _join_sides(spark):
+    left = spark.createDataFrame([(1, "l1"), (2, "l2"), (9, "l9"), (None, "ln")], "k int, lv string")
+    right = spark.createDataFrame([(1, "r1b"), (1, "r1a"), (2, "r2"), (None, "rn")], "k int, rv string")
+    return left, right
+
+
+@pytest.mark.parametrize("strategy", [None, "broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl"])
+def test_join_semantics_invariant_under_hint(spark, strategy):
+    left, right = _join_sides(spark)
+    plain = join_with_strategy(left, right, "k", "inner", strategy)
+    assert sorted((r.k, r.rv) for r in plain.collect()) == [(1, "r1a"), (1, "r1b"), (2, "r2")]
+    deduped = join_with_strategy(left, right, "k", "inner", strategy, dedupe="rv")
+    assert sorted((r.k, r.rv) for r in deduped.collect()) == [(1, "r1a"), (2, "r2")]
+
+
+def test_keep_first_is_an_aggregate(spark):
+    _, right = _join_sides(spark)
+    kept = keep_first(right, ["k"], "rv")
+    assert kept.columns == right.columns
+    plan = formatted_plan(kept)
+    # partial aggregate before the exchange, final after it; never a window
+    assert plan.count("Aggregate (") >= 2 and "Window" not in plan
+
+
+EXPECTED_OPERATOR = {
+    ("broadcast", "left"): "BroadcastHashJoin",
+    ("broadcast", "inner"): "BroadcastHashJoin",
+    ("merge", "left"): "SortMergeJoin",
+    ("merge", "inner"): "SortMergeJoin",
+    ("shuffle_hash", "left"): "ShuffledHashJoin",
+    ("shuffle_hash", "inner"): "ShuffledHashJoin",
+    ("shuffle_replicate_nl", "inner"): "CartesianProduct",
+}
+
+
+@pytest.mark.parametrize("strategy,how", sorted(EXPECTED_OPERATOR))
+def test_hint_selects_physical_join(spark, strategy, how):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        orders = spark.read.parquet(f"{SF01}/orders.parquet")
+        customer = spark.read.parquet(f"{SF01}/customer.parquet").withColumnRenamed("c_custkey", "o_custkey")
+        joined = join_with_strategy(orders, customer, "o_custkey", how, strategy)
+        assert EXPECTED_OPERATOR[(strategy, how)] in formatted_plan(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_broadcast_falls_back_beyond_bound(spark):
+    left, right = _join_sides(spark)
+    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "2")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert not broadcast_fits(right)
+        with warnings.catch_warnings(record=True) as caught:
+            warnings.simplefilter("always")
+            joined = join_with_strategy(left, right, "k", "inner", "broadcast")
+        assert any("shuffle join" in str(w.message) for w in caught)
+        assert "BroadcastHashJoin" not in formatted_plan(joined)
+        assert joined.count() == 3
+    finally:
+        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_semi_join_bounded_broadcasts(spark):
+    left, right = _join_sides(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = semi_join_keys(left, right.limit(2), "k", bounded=True)
+        assert "BroadcastHashJoin" in formatted_plan(out) and "LeftSemi" in formatted_plan(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+
+
+def test_zip_keys_join_as_text(spark):
+    facts = spark.createDataFrame([("90001",), ("90001-22",), (None,)], "zip string")
+    inc = spark.createDataFrame([("90001", 1)], "zip string, income int")
+    out = join_with_strategy(facts, inc, "zip", "left")
+    assert sorted((r.zip or "", r.income) for r in out.collect()) == [("", None), ("90001", 1), ("90001-22", None)]
+
+
+def test_decode_codes_map_and_table(spark):
+    df = spark.createDataFrame([("H",), ("Q",), (None,)], "c string")
+    table = spark.createDataFrame([("H", "Hispanic")], "code string, label string")
+    by_map = [r[0] for r in decode_codes(df, "c", {"H": "Hispanic"}).collect()]
+    by_table = sorted((r[0] or "") for r in decode_codes(df, "c", table=table).collect())
+    assert by_map == ["Hispanic", "Q", None]
+    assert by_table == ["", "Hispanic", "Q"]
+
+
+def test_duplicate_keys(spark):
+    _, right = _join_sides(spark)
+    assert [(r.k, r.n) for r in duplicate_keys(right, "k").collect()] == [(1, 2)]
+
+
+def test_quoted_csv_reader_vs_naive_split(spark, tmp_path):
+    path = tmp_path / "quoted.csv"
+    path.write_text('id,name,code\n1,"A, B",101\n')
+    csv = read_csv(spark, str(path), schema="id int, name string, code int")
+    assert [tuple(r) for r in csv.collect()] == [(1, "A, B", 101)]
+    naive = read_delimited(spark, str(path), {"f0": 0, "f1": 1, "f2": 2, "f3": 3})
+    assert [tuple(r) for r in naive.collect()] == [("1", '"A', ' B"', "101")]
