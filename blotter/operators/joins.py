@@ -73,7 +73,8 @@ def join_with_strategy(
     ``strategy``: ``None`` (planner + AQE), ``broadcast``, ``merge``,
     ``shuffle_hash`` or ``shuffle_replicate_nl``; the hint goes on ``right``.
     Spark ignores hints that cannot apply (no broadcast of the preserved side
-    of an outer join; nested loop only for inner joins) and plans as usual.
+    of an outer join) and plans as usual.  ``shuffle_replicate_nl`` never
+    yields a nested loop here: keyed joins are always planned on their keys.
 
     ``dedupe``: ``None`` keeps SQL semantics (every matching pair), or the
     name of an ordering column: ``right`` is first reduced to the row with
@@ -91,6 +92,18 @@ def join_with_strategy(
         return left.join(right, on, how)
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES} or None, got {strategy!r}")
+    if strategy == "shuffle_replicate_nl":
+        # A nested loop over an equi-join is a cross product: quadratic in
+        # the input.  On outer joins Spark ignores this hint anyway, and the
+        # optimizer may turn an outer join into an inner one (when a later
+        # filter rejects NULLs), which would silently activate it.  The join
+        # is therefore planned on its keys; the hint is accepted for parity.
+        warnings.warn(
+            "shuffle_replicate_nl is not applied to keyed joins; planning an equi-join",
+            RuntimeWarning,
+            stacklevel=2,
+        )
+        return left.join(right, on, how)
     if strategy == "broadcast" and not bounded and not broadcast_fits(right, max_rows):
         warnings.warn(
             "broadcast side exceeds the row bound; using a shuffle join instead",

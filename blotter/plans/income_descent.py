@@ -82,7 +82,11 @@ def victims_by_descent(
     code_col: str = "status",
 ) -> DataFrame:
     """``<code_col>, n`` for incidents in the top (or bottom) k ZIPs by income."""
-    keys = top_k_groups(counts, "zip", "income", k, ascending, nulls, sort=False)
+    # Candidate ZIPs are those with at least one incident.  Reading ``n``
+    # here also keeps this branch's plan identical to the counting branch,
+    # so Spark reuses one exchange and the facts are scanned once.
+    present = counts.filter(F.col("n") > 0)
+    keys = top_k_groups(present, "zip", "income", k, ascending, nulls, sort=False)
     chosen = semi_join_keys(counts, keys, "zip", bounded=k is not None)
     decoded = decode_codes(chosen, code_col, mapping)
     out = decoded.groupBy(code_col).agg(F.sum("n").alias("n"))

@@ -133,7 +133,6 @@ EXPECTED_OPERATOR = {
     ("merge", "inner"): "SortMergeJoin",
     ("shuffle_hash", "left"): "ShuffledHashJoin",
     ("shuffle_hash", "inner"): "ShuffledHashJoin",
-    ("shuffle_replicate_nl", "inner"): "CartesianProduct",
 }
 
 
@@ -151,6 +150,17 @@ def test_hint_selects_physical_join(spark, strategy, how):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_replicate_nl_never_plans_a_cross_product(spark, how):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    customer = spark.read.parquet(f"{SF01}/customer.parquet").withColumnRenamed("c_custkey", "o_custkey")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        joined = join_with_strategy(orders, customer, "o_custkey", how, "shuffle_replicate_nl")
+    plan = formatted_plan(joined)
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_broadcast_falls_back_beyond_bound(spark):
     left, right = _join_sides(spark)
     spark.conf.set(MAX_BROADCAST_ROWS_CONF, "2")
