@@ -13,6 +13,7 @@ from blotter.plans.standins import ORDERS_CSV_DDL, orders_csv, table
 from blotter.session import scratch_path
 from blotter.sources.files import read_csv, read_delimited, union_files
 from blotter.sources.sinks import csv_to_parquet, write_csv
+from blotter.streaming.convert import convert_csv_folder
 
 
 def key_range_by_status(df: DataFrame) -> DataFrame:
@@ -61,6 +62,21 @@ def q_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_to_parquet(spark, src, dst, schemas)
 
 
+def q_csv_to_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same conversion as a file stream run to completion (availableNow)."""
+    src, dst = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    readbacks = []
+    for name in ["region", "nation"]:
+        t = table(spark, sf_dir, name)
+        write_csv(t, f"{src}/{name}.csv")
+        query = convert_csv_folder(spark, f"{src}/{name}.csv", f"{dst}/{name}.parquet", t.schema)
+        query.awaitTermination()
+        readbacks.append(
+            spark.read.parquet(f"{dst}/{name}.parquet").select(F.lit(name).alias("table_name"))
+        )
+    return union_files(readbacks).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_rename_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Column names with stray blanks (``'n_nationkey '``) are trimmed, then
     the frame joins back to nation by the cleaned name."""
@@ -91,6 +107,7 @@ QUERIES = {
     "scan_text_delimited": q_scan_text_delimited,
     "union_files": q_union_files,
     "csv_to_parquet": q_csv_to_parquet,
+    "csv_to_parquet_stream": q_csv_to_parquet_stream,
     "rename_trim": q_rename_trim,
     "select_left_plus": q_select_left_plus,
 }
@@ -104,6 +121,8 @@ ORACLE = {
     "csv_to_parquet": """SELECT 'region' AS table_name, COUNT(*) AS n FROM region
 UNION ALL SELECT 'nation' AS table_name, COUNT(*) AS n FROM nation""",
     "rename_trim": "SELECT n_nationkey, n_name FROM nation",
+    "csv_to_parquet_stream": """SELECT 'region' AS table_name, COUNT(*) AS n FROM region
+UNION ALL SELECT 'nation' AS table_name, COUNT(*) AS n FROM nation""",
     "select_left_plus": """SELECT o.*, c.c_mktsegment FROM orders o
 LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",
 }

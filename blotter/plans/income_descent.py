@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from blotter.functions.text import parse_currency
 from blotter.operators.aggregates import decode_codes
-from blotter.operators.filters import require_not_null
+from blotter.operators.filters import require_not_null, year_filter
 from blotter.operators.joins import geo_enrich, join_with_strategy, semi_join_keys
 from blotter.operators.naming import rename_strict
 from blotter.operators.ranking import top_k_groups
@@ -36,12 +36,15 @@ from blotter.plans.cleaning import STATUS_LABELS
 from blotter.plans.standins import (
     GEO_SQL,
     INC_SQL,
-    ORDER_FACTS_SQL,
     geo_lookup,
     income_raw,
+    order_facts_sql,
     order_incidents,
 )
 
+# Year of the year-restricted variant (a filter on the stored timestamp).
+YEAR = 1998
+
 
 def clean_income(raw: DataFrame) -> DataFrame:
     """``Zip Code, Estimated Median Income`` text -> ``zip`` (string), ``income`` (int).
@@ -99,6 +102,14 @@ def _counts(spark: SparkSession, sf_dir: str, strategy: str | None = None) -> Da
     return zip_status_counts(facts, geo_lookup(spark), clean_income(income_raw(spark)), strategy)
 
 
+def q_descent_top_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-3 ZIP victims for one year; the year test reaches the Parquet scan."""
+    facts = year_filter(order_incidents(spark, sf_dir), "o_orderdate", YEAR)
+    facts = require_not_null(facts, ["status", "priority"])
+    counts = zip_status_counts(facts, geo_lookup(spark), clean_income(income_raw(spark)))
+    return victims_by_descent(counts, 3, ascending=False)
+
+
 def q_geo_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = require_not_null(order_incidents(spark, sf_dir), ["status", "priority"])
     points = facts.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("n"))
@@ -144,15 +155,19 @@ def descent_bottom_with(strategy: str):
     return run
 
 
-_ENRICHED_SQL = f"""WITH {GEO_SQL},
+def _enriched_sql(facts_sql: str) -> str:
+    return f"""WITH {GEO_SQL},
 {INC_SQL},
-{ORDER_FACTS_SQL},
+{facts_sql},
 enriched AS (
   SELECT f.status, g.zip, i.income FROM facts f
   LEFT JOIN geo g ON f.lat = g.lat AND f.lon = g.lon
   LEFT JOIN inc i ON g.zip = i.zip),
 zips AS (SELECT zip, MAX(income) AS income FROM enriched GROUP BY zip)"""
 
+
+_ENRICHED_SQL = _enriched_sql(order_facts_sql())
+
 _DECODE_SQL = "CASE status WHEN 'F' THEN 'Filled' WHEN 'O' THEN 'Open' ELSE status END"
 
 
@@ -162,8 +177,8 @@ def _chosen_sql(order: str, keep_null: bool, limit: int | None) -> str:
     return f"SELECT zip, income FROM zips {where} ORDER BY {order} {lim}"
 
 
-def _descent_sql(chosen: str) -> str:
-    return f"""{_ENRICHED_SQL},
+def _descent_sql(chosen: str, enriched: str = _ENRICHED_SQL) -> str:
+    return f"""{enriched},
 chosen AS ({chosen})
 SELECT {_DECODE_SQL} AS status, COUNT(*) AS n FROM enriched
 WHERE zip IN (SELECT zip FROM chosen) GROUP BY 1"""
@@ -183,6 +198,7 @@ QUERIES = {
     "descent_top": q_descent_top,
     "descent_top_nolimit": q_descent_top_nolimit,
     "descent_bottom": q_descent_bottom,
+    "descent_top_year": q_descent_top_year,
     "join_broadcast": descent_bottom_with("broadcast"),
     "join_merge": descent_bottom_with("merge"),
     "join_shuffle_hash": descent_bottom_with("shuffle_hash"),
@@ -190,8 +206,16 @@ QUERIES = {
 }
 
 ORACLE = {
+    "descent_top_year": _descent_sql(
+        _TOP,
+        _enriched_sql(
+            order_facts_sql(
+                f"o_orderdate >= TIMESTAMP '{YEAR}-01-01' AND o_orderdate < TIMESTAMP '{YEAR + 1}-01-01'"
+            )
+        ),
+    ),
     "geo_enrich": f"""WITH {GEO_SQL},
-{ORDER_FACTS_SQL}
+{order_facts_sql()}
 SELECT g.zip, COUNT(*) AS n FROM facts f
 LEFT JOIN geo g ON f.lat = g.lat AND f.lon = g.lon GROUP BY 1""",
     "income_enrich": f"""{_ENRICHED_SQL}

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from blotter.functions.timeparts import hour_of_hhmm, part_of_day
 from blotter.operators.aggregates import count_by
 from blotter.operators.filters import code_filter, drop_malformed
-from blotter.plans.standins import event_incidents, hhmm_sql
+from blotter.plans.standins import EVENTS_CSV_FIELDS, event_incidents, events_csv, hhmm_sql
+from blotter.sources.files import read_delimited
 
 NULL_EVERY = 37
 
@@ -67,6 +68,26 @@ def q_drop_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_part_of_day_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 in its line-by-line form: positional fields of the text export,
+    string equality on the type field, zfill padding, unreadable hours
+    dropped.  An empty time field pads to ``0000`` (hour 0, Night); a line
+    too short to have the field is dropped."""
+    pos = {name: i for i, name in enumerate(EVENTS_CSV_FIELDS)}
+    lines = read_delimited(
+        spark, events_csv(spark, sf_dir, NULL_EVERY),
+        {"event_type": pos["event_type"], "TIME OCC": pos["TIME OCC"]},
+    )
+    purchases = lines.filter(F.col("event_type") == F.lit("purchase"))
+    return part_of_day_counts(purchases, "TIME OCC", invalid="drop", pad="zfill")
+
+
+def _bucket_sql(hour: str) -> str:
+    return f"""CASE WHEN {hour} BETWEEN 5 AND 11 THEN 'Morning'
+            WHEN {hour} BETWEEN 12 AND 16 THEN 'Afternoon'
+            WHEN {hour} BETWEEN 17 AND 20 THEN 'Evening' ELSE 'Night' END"""
+
+
 def _part_sql(hhmm: str) -> str:
     hour = f"CAST(substr(lpad(CAST({hhmm} AS VARCHAR), 4, '0'), 1, 2) AS INTEGER)"
     return f"""CASE WHEN {hour} BETWEEN 5 AND 11 THEN 'Morning'
@@ -80,9 +101,17 @@ QUERIES = {
     "part_of_day_null_other": q_part_of_day_null_other,
     "part_of_day_null_drop": q_part_of_day_null_drop,
     "drop_malformed": q_drop_malformed,
+    "part_of_day_text": q_part_of_day_text,
 }
 
+_TEXT_HOUR = "TRY_CAST(substr(lpad(t, CAST(greatest(4, length(t)) AS INTEGER), '0'), 1, 2) AS INTEGER)"
+
 ORACLE = {
+    "part_of_day_text": f"""WITH t AS (
+  SELECT COALESCE(CAST({hhmm_sql(NULL_EVERY)} AS VARCHAR), '') AS t FROM events
+  WHERE event_type = 'purchase'),
+h AS (SELECT {_TEXT_HOUR} AS h FROM t)
+SELECT {_bucket_sql('h')} AS part_day, COUNT(*) AS n FROM h WHERE h IS NOT NULL GROUP BY 1""",
     "hhmm_hour": f"""SELECT CAST(substr(lpad(CAST({hhmm_sql()} AS VARCHAR), 4, '0'), 1, 2) AS INTEGER) AS hour,
        COUNT(*) AS n FROM events GROUP BY 1""",
     "part_of_day": f"""SELECT {_part_sql(hhmm_sql())} AS part_day, COUNT(*) AS n

@@ -99,20 +99,31 @@ def order_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ORDER_FACTS_SQL = f"""facts AS (
+def order_facts_sql(extra_where: str = "") -> str:
+    where = "o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL"
+    if extra_where:
+        where += f" AND {extra_where}"
+    return f"""facts AS (
   SELECT o_orderstatus AS status, {lat_sql('o_custkey')} AS lat, {lon_sql('o_custkey')} AS lon
-  FROM orders WHERE o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL)"""
+  FROM orders WHERE {where})"""
 
 
-def event_incidents(spark: SparkSession, sf_dir: str, null_every: int | None = None) -> DataFrame:
-    """events as incidents with an HHMM time (``hour*100 + minute``).
+ORDER_FACTS_SQL = order_facts_sql()
 
-    ``null_every=n`` blanks the time of every n-th event id (unknown times)."""
-    e = table(spark, sf_dir, "events")
+
+def hhmm_col(null_every: int | None = None) -> Column:
+    """HHMM time of an event (``hour*100 + minute``); with ``null_every=n``
+    the time of every n-th event id is unknown (NULL)."""
     hhmm = F.hour("ts") * 100 + F.minute("ts")
     if null_every:
         hhmm = F.when(F.col("event_id") % null_every == 0, F.lit(None)).otherwise(hhmm)
-    return e.select("event_id", "event_type", "user_id", "props", hhmm.cast("int").alias("hhmm"))
+    return hhmm.cast("int")
+
+
+def event_incidents(spark: SparkSession, sf_dir: str, null_every: int | None = None) -> DataFrame:
+    """events as incidents with an HHMM time."""
+    e = table(spark, sf_dir, "events")
+    return e.select("event_id", "event_type", "user_id", "props", hhmm_col(null_every).alias("hhmm"))
 
 
 def hhmm_sql(null_every: int | None = None) -> str:
@@ -165,26 +176,49 @@ ORDERS_CSV_DDL = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
     "date_occ STRING, o_orderpriority STRING"
 )
-_CSV_CACHE: dict[tuple[str, str], list[str]] = {}
+_CSV_CACHE: dict[tuple[str, str, str], list[str]] = {}
 
 
-def orders_csv(spark: SparkSession, sf_dir: str) -> list[str]:
-    """orders exported as two CSV files with a header each, the date as
-    12-hour text.  Written once per application under the shared checkpoint
-    folder, with one job (a partitioned write splits the table in two)."""
-    cache_key = (spark.sparkContext.applicationId, sf_dir)
+def _export_two_files(spark: SparkSession, sf_dir: str, name: str, export: DataFrame, key: str) -> list[str]:
+    """Write ``export`` once per application as two CSV files with a header
+    each (a partitioned write on ``key % 2``: one job), under the shared
+    checkpoint folder; return the two paths."""
+    cache_key = (spark.sparkContext.applicationId, sf_dir, name)
     if cache_key not in _CSV_CACHE:
-        base = scratch_path(spark, "orders-csv")
-        o = table(spark, sf_dir, "orders")
-        export = o.select(
-            "o_orderkey",
-            "o_custkey",
-            "o_orderstatus",
-            "o_totalprice",
-            F.date_format("o_orderdate", INCIDENT_TS_FORMAT).alias("date_occ"),
-            "o_orderpriority",
-            (F.col("o_orderkey") % 2 + 1).alias("file_no"),
-        )
-        write_csv(export, base, partition_by=["file_no"])
+        base = scratch_path(spark, f"{name}-csv")
+        write_csv(export.withColumn("file_no", F.col(key) % 2 + 1), base, partition_by=["file_no"])
         _CSV_CACHE[cache_key] = [f"{base}/file_no=1", f"{base}/file_no=2"]
     return _CSV_CACHE[cache_key]
+
+
+def orders_csv(spark: SparkSession, sf_dir: str) -> list[str]:
+    """orders exported as two CSV files, the order date as 12-hour text."""
+    o = table(spark, sf_dir, "orders")
+    export = o.select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        F.date_format("o_orderdate", INCIDENT_TS_FORMAT).alias("date_occ"),
+        "o_orderpriority",
+    )
+    return _export_two_files(spark, sf_dir, "orders", export, "o_orderkey")
+
+
+# Field positions of the events export (the line-by-line reader uses them).
+EVENTS_CSV_FIELDS = ["event_id", "ts", "user_id", "event_type", "value", "TIME OCC"]
+
+
+def events_csv(spark: SparkSession, sf_dir: str, null_every: int = 37) -> list[str]:
+    """events exported as two CSV files; ``TIME OCC`` is the HHMM time,
+    empty for every ``null_every``-th event."""
+    e = table(spark, sf_dir, "events")
+    export = e.select(
+        "event_id",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"),
+        "user_id",
+        "event_type",
+        "value",
+        hhmm_col(null_every).alias("TIME OCC"),
+    )
+    return _export_two_files(spark, sf_dir, "events", export, "event_id")
