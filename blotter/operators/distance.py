@@ -23,6 +23,7 @@ def distance_by_group(
     dedupe: str | None = None,
     digits: int | None = 6,
     count_name: str = "incidents_total",
+    salt: int | None = None,
 ) -> DataFrame:
     """``group, average_distance, <count_name>`` for facts joined to stations.
 
@@ -40,7 +41,7 @@ def distance_by_group(
     slat, slon = station_point
     facts = drop_null_island(facts, flat, flon)
     stations = drop_null_island(stations, slat, slon)
-    joined = join_with_strategy(facts, stations, keys, "inner", strategy, dedupe=dedupe)
+    joined = join_with_strategy(facts, stations, keys, "inner", strategy, dedupe=dedupe, salt=salt)
     dist = haversine_km(flat, flon, slat, slon)
     out = joined.groupBy(*groups).agg(
         F.avg(dist).alias("average_distance"), F.count(F.lit(1)).alias(count_name)

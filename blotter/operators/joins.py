@@ -58,6 +58,26 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     return kept.select(*[F.col(k) for k in keys], *fields).select(*df.columns)
 
 
+_SALTABLE = {"inner", "left", "leftouter", "left_outer", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"}
+
+
+def salted(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, salt: int):
+    """Spread every key of ``left`` over ``salt`` sub-keys and replicate
+    ``right`` once per sub-key, so a hot key is joined by ``salt`` tasks.
+
+    The sub-key is a hash of the whole row (not ``rand()``): a recomputed
+    task assigns the same sub-keys, so retries after a lost executor neither
+    drop nor duplicate rows.  Exact for joins that preserve only the left
+    side; ``right`` grows ``salt`` times, so use it for dimension-sized sides.
+    """
+    if how.lower() not in _SALTABLE:
+        raise ValueError(f"salting replicates the right side; not valid for {how!r} joins")
+    sub = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salt))
+    left = left.withColumn("_salt", sub)
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+    return left, right, [*keys, "_salt"]
+
+
 def join_with_strategy(
     left: DataFrame,
     right: DataFrame,
@@ -67,6 +87,7 @@ def join_with_strategy(
     dedupe: str | None = None,
     max_rows: int | None = None,
     bounded: bool = False,
+    salt: int | None = None,
 ) -> DataFrame:
     """Join ``left`` with ``right`` under an optional strategy hint.
 
@@ -83,11 +104,19 @@ def join_with_strategy(
     ``bounded=True`` declares that ``right`` has a size bound by construction
     (a top-k list, a literal table) and skips the broadcast size check.
     NULL keys never match, whatever the strategy.
+
+    ``salt=n`` splits each key of a shuffle join over n tasks (see
+    :func:`salted`).  AQE's skew-join splitting does this adaptively and is
+    the default; salting is for sessions where it is off or does not apply.
     """
+    if (dedupe is not None or salt) and isinstance(on, Column):
+        raise ValueError("dedupe and salt need join keys given by name")
+    keys = None if isinstance(on, Column) else ([on] if isinstance(on, str) else list(on))
     if dedupe is not None:
-        if isinstance(on, Column):
-            raise ValueError("dedupe needs join keys given by name")
-        right = keep_first(right, [on] if isinstance(on, str) else list(on), dedupe)
+        right = keep_first(right, keys, dedupe)
+    if salt and salt > 1 and strategy != "broadcast":
+        left, right, on = salted(left, right, keys, how, salt)
+        return join_with_strategy(left, right, on, how, strategy, max_rows=max_rows).drop("_salt")
     if strategy is None:
         return left.join(right, on, how)
     if strategy not in STRATEGIES:

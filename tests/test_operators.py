@@ -117,6 +117,25 @@ def test_join_semantics_invariant_under_hint(spark, strategy):
     assert sorted((r.k, r.rv) for r in deduped.collect()) == [(1, "r1a"), (2, "r2")]
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(spark, how):
+    hot = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("v"))
+    cold = spark.range(50).select((F.col("id") + 2).alias("k"), F.col("id").alias("v"))
+    facts = hot.unionByName(cold).unionByName(spark.createDataFrame([(None, -1)], "k bigint, v bigint"))
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (3, "c"), (99, "z")], "k bigint, d string")
+    plain = join_with_strategy(facts, dim, "k", how, "merge")
+    salty = join_with_strategy(facts, dim, "k", how, "merge", salt=7)
+    assert salty.columns == plain.columns
+    assert sorted(map(tuple, salty.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    assert "_salt" in formatted_plan(salty)
+
+
+def test_salting_rejects_right_preserving_joins(spark):
+    left, right = _join_sides(spark)
+    with pytest.raises(ValueError):
+        join_with_strategy(left, right, "k", "full", "merge", salt=4)
+
+
 def test_keep_first_is_an_aggregate(spark):
     _, right = _join_sides(spark)
     kept = keep_first(right, ["k"], "rv")
