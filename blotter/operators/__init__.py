@@ -1,8 +1,7 @@
 """DataFrame -> DataFrame building blocks.
 
 None of them collects rows to the driver or leaves the DataFrame API; the
-only driver round trips are bounded peeks (a header line, a row-count check
-capped by ``limit``)."""
+only driver round trips are bounded: a header line, a row count."""
 
 from blotter.operators.aggregates import count_by, decode_codes, duplicate_keys
 from blotter.operators.distance import distance_by_group

@@ -5,8 +5,8 @@ re-plans at runtime from the *measured* shuffle sizes - converting to a
 broadcast join when one side turns out small, splitting skewed partitions
 otherwise.  That is the right choice for almost every join here.
 
-An explicit ``'broadcast'`` is honoured only after a bounded row-count check
-of the side to broadcast; beyond the bound the join falls back to a shuffle
+An explicit ``'broadcast'`` is honoured only after a row-count check of the
+side to broadcast; beyond the bound the join falls back to a shuffle
 join, so a dimension that grows with the data can never be pushed whole into
 every executor's memory.
 """
@@ -35,11 +35,11 @@ def max_broadcast_rows(df: DataFrame, override: int | None = None) -> int:
 def broadcast_fits(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(n + 1).count()`` stops each task after n + 1 rows, so the check
-    costs at most that much reading even when the answer is "too big".
+    A plain ``count()``: each task counts its own split and only one number
+    per task reaches the final sum.  (``limit(n).count()`` would instead move
+    up to n rows of every task through a single partition.)
     """
-    bound = max_broadcast_rows(df, max_rows)
-    return df.limit(bound + 1).count() <= bound
+    return df.count() <= max_broadcast_rows(df, max_rows)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:

@@ -51,6 +51,25 @@ def build_session(
     return spark
 
 
+def partition_conf(
+    shuffle_bytes: int, total_cores: int, target_bytes: int = 256 * 1024 * 1024
+) -> dict[str, str]:
+    """Sizing for a cluster run, from the expected shuffle volume.
+
+    The initial shuffle partition count is high enough that each partition
+    is about ``target_bytes`` (so sorts and hash tables fit in an executor's
+    memory and spill little), and at least two waves of tasks; AQE then
+    coalesces small partitions and splits skewed ones at runtime.
+    """
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    }
+
+
 def checkpoint_base(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only in local mode."""
     sc = spark.sparkContext

@@ -36,6 +36,7 @@ def read_csv(
     sep: str = ",",
     sampling_ratio: float | None = None,
     mode: str = "PERMISSIVE",
+    glob: str | None = None,
 ) -> DataFrame:
     """CSV scan with a header row.
 
@@ -43,8 +44,12 @@ def read_csv(
     fields become NULL.  With ``schema=None`` types are inferred; pass
     ``sampling_ratio`` to infer from a sample instead of a full extra pass.
     ``mode='DROPMALFORMED'`` drops rows whose fields do not fit the schema.
+    ``glob`` (e.g. ``'*.csv'``) keeps only matching files of a folder, so a
+    folder can be read without listing it on the driver first.
     """
     reader = spark.read.option("header", header).option("sep", sep).option("mode", mode)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
     if schema is not None:
         reader = reader.schema(schema)
     else:

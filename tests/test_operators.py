@@ -235,3 +235,18 @@ def test_quoted_csv_reader_vs_naive_split(spark, tmp_path):
     assert [tuple(r) for r in csv.collect()] == [(1, "A, B", 101)]
     naive = read_delimited(spark, str(path), {"f0": 0, "f1": 1, "f2": 2, "f3": 3})
     assert [tuple(r) for r in naive.collect()] == [("1", '"A', ' B"', "101")]
+
+
+def test_read_csv_glob_skips_other_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k\n1\n")
+    (tmp_path / "b.txt").write_text("k\n2\n")
+    assert [r.k for r in read_csv(spark, str(tmp_path), schema="k int", glob="*.csv").collect()] == [1]
+
+
+def test_partition_conf_scales_with_volume():
+    from blotter.session import partition_conf
+
+    small = partition_conf(10 * 1024**2, 8)
+    big = partition_conf(100 * 1024**4, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
