@@ -8,6 +8,8 @@ relied on).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, IntegerType
@@ -39,6 +41,4 @@ def split_field(line: ColumnOrName, sep: str, index: int) -> Column:
 
     Plain ``[i]`` indexing throws out of range under ANSI; ``get`` does not.
     """
-    import re
-
     return F.get(F.split(as_col(line), re.escape(sep), -1), index)

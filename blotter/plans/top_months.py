@@ -61,11 +61,15 @@ def top_months_sql(
                    RANK() OVER (PARTITION BY year ORDER BY incident_total DESC) AS ranking
             FROM {agg}"""
     ).createOrReplaceTempView(ranked)
-    return spark.sql(
+    result = spark.sql(
         f"""SELECT year, month, incident_total, ranking FROM {ranked}
             WHERE ranking <= {int(k)}
             ORDER BY year ASC, incident_total DESC, month ASC"""
     )
+    # The plan is resolved when spark.sql returns; the names can go.
+    for view in (src, agg, ranked):
+        spark.catalog.dropTempView(view)
+    return result
 
 
 # ------------------------------------------------------------------ roster
@@ -76,11 +80,13 @@ def q_monthly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_monthly_counts_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = f"orders_{uuid.uuid4().hex[:8]}"
     table(spark, sf_dir, "orders").createOrReplaceTempView(view)
-    return spark.sql(
+    result = spark.sql(
         f"""SELECT year, month, COUNT(*) AS n
             FROM (SELECT year(o_orderdate) AS year, month(o_orderdate) AS month FROM {view})
             GROUP BY year, month"""
     )
+    spark.catalog.dropTempView(view)
+    return result
 
 
 def q_top_months(spark: SparkSession, sf_dir: str) -> DataFrame:
