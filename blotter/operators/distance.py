@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.geo import haversine_km
@@ -24,6 +24,7 @@ def distance_by_group(
     digits: int | None = 6,
     count_name: str = "incidents_total",
     salt: int | None = None,
+    distance: Callable[[Column, Column, Column, Column], Column] = haversine_km,
 ) -> DataFrame:
     """``group, average_distance, <count_name>`` for facts joined to stations.
 
@@ -33,7 +34,8 @@ def distance_by_group(
     immediately reduced by a partial aggregate, so only per-task partial sums
     per group are shuffled - a group holding a third of all rows costs no
     more shuffle than any other.  ``dedupe`` (an ordering column) keeps one
-    station per key; otherwise every matching station counts.
+    station per key; otherwise every matching station counts.  ``distance``
+    maps (lat1, lon1, lat2, lon2) columns to km; keep it a native expression.
     """
     groups = [group] if isinstance(group, str) else list(group)
     keys = [on] if isinstance(on, str) else list(on)
@@ -42,7 +44,7 @@ def distance_by_group(
     facts = drop_null_island(facts, flat, flon)
     stations = drop_null_island(stations, slat, slon)
     joined = join_with_strategy(facts, stations, keys, "inner", strategy, dedupe=dedupe, salt=salt)
-    dist = haversine_km(flat, flon, slat, slon)
+    dist = distance(F.col(flat), F.col(flon), F.col(slat), F.col(slon))
     out = joined.groupBy(*groups).agg(
         F.avg(dist).alias("average_distance"), F.count(F.lit(1)).alias(count_name)
     )

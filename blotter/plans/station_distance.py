@@ -47,9 +47,9 @@ def station_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_distance_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_distance_by_group(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     return distance_by_group(
-        firearm_incidents(spark, sf_dir), station_points(spark, sf_dir), "AREA", "s_name"
+        firearm_incidents(spark, sf_dir), station_points(spark, sf_dir), "AREA", "s_name", **options
     )
 
 
