@@ -43,7 +43,9 @@ def read_csv(
     With ``schema`` (the default path) reading starts no job and malformed
     fields become NULL.  With ``schema=None`` types are inferred; pass
     ``sampling_ratio`` to infer from a sample instead of a full extra pass.
-    ``mode='DROPMALFORMED'`` drops rows whose fields do not fit the schema.
+    ``mode='DROPMALFORMED'`` drops rows whose fields do not fit the schema -
+    but only fields a query reads are parsed, so a bare ``count()`` drops
+    nothing; select the columns that must be well-formed first.
     ``glob`` (e.g. ``'*.csv'``) keeps only matching files of a folder, so a
     folder can be read without listing it on the driver first.
     """
