@@ -5,7 +5,7 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from blotter.functions import (
     DESCENT_CODES,
@@ -17,6 +17,7 @@ from blotter.functions import (
     part_of_day,
     split_field,
 )
+from tests.conftest import formatted_plan
 
 
 def test_parse_ts_malformed_is_null(spark):
@@ -107,8 +108,5 @@ def test_functions_stay_native(spark):
         decode("c", DESCENT_CODES), part_of_day(hour_of_hhmm("t")), parse_currency("m"),
         haversine_km("x", "y", "y", "x"), parse_ts("c"),
     )
-    from tests.conftest import formatted_plan
-
     text = formatted_plan(out)
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
-    assert IntegerType  # imported type used in other tests
