@@ -147,6 +147,12 @@ def q_descent_bottom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return victims_by_descent(_counts(spark, sf_dir), 3, ascending=True)
 
 
+def q_descent_bottom_nulls_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bottom 3 as originally sorted: ZIPs without income come first (the
+    NULL-ZIP group can take a slot and then matches no incident)."""
+    return victims_by_descent(_counts(spark, sf_dir), 3, ascending=True, nulls="first")
+
+
 def descent_bottom_with(strategy: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return victims_by_descent(_counts(spark, sf_dir, strategy), 3, ascending=True)
@@ -199,6 +205,7 @@ QUERIES = {
     "descent_top_nolimit": q_descent_top_nolimit,
     "descent_bottom": q_descent_bottom,
     "descent_top_year": q_descent_top_year,
+    "descent_bottom_nulls_first": q_descent_bottom_nulls_first,
     "join_broadcast": descent_bottom_with("broadcast"),
     "join_merge": descent_bottom_with("merge"),
     "join_shuffle_hash": descent_bottom_with("shuffle_hash"),
@@ -226,6 +233,7 @@ SELECT CAST(income IS NOT NULL AS INTEGER) AS has_income, COUNT(*) AS n FROM enr
     "descent_top": _descent_sql(_TOP),
     "descent_top_nolimit": _descent_sql(_ALL),
     "descent_bottom": _descent_sql(_BOTTOM),
+    "descent_bottom_nulls_first": _descent_sql(_BOTTOM_NULLS_FIRST),
 }
 for _hint in ("broadcast", "merge", "shuffle_hash", "replicate_nl"):
     ORACLE[f"join_{_hint}"] = ORACLE["descent_bottom"]
