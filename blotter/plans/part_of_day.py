@@ -16,7 +16,11 @@ from blotter.functions.timeparts import hour_of_hhmm, part_of_day
 from blotter.operators.aggregates import count_by
 from blotter.operators.filters import code_filter, drop_malformed
 from blotter.plans.standins import EVENTS_CSV_FIELDS, event_incidents, events_csv, hhmm_sql
-from blotter.sources.files import read_delimited
+from blotter.sources.files import read_csv, read_delimited
+
+EVENTS_CSV_DDL = (
+    "event_id BIGINT, ts STRING, user_id BIGINT, event_type STRING, value DOUBLE, `TIME OCC` INT"
+)
 
 NULL_EVERY = 37
 
@@ -82,6 +86,13 @@ def q_part_of_day_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_of_day_counts(purchases, "TIME OCC", invalid="drop", pad="zfill")
 
 
+def q_part_of_day_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The DataFrame form over the CSV export: typed code filter, lpad,
+    unknown times counted as Night."""
+    ev = read_csv(spark, events_csv(spark, sf_dir, NULL_EVERY), schema=EVENTS_CSV_DDL)
+    return part_of_day_counts(code_filter(ev, "event_type", "purchase"), "TIME OCC")
+
+
 def _bucket_sql(hour: str) -> str:
     return f"""CASE WHEN {hour} BETWEEN 5 AND 11 THEN 'Morning'
             WHEN {hour} BETWEEN 12 AND 16 THEN 'Afternoon'
@@ -102,6 +113,7 @@ QUERIES = {
     "part_of_day_null_drop": q_part_of_day_null_drop,
     "drop_malformed": q_drop_malformed,
     "part_of_day_text": q_part_of_day_text,
+    "part_of_day_csv": q_part_of_day_csv,
 }
 
 _TEXT_HOUR = "TRY_CAST(substr(lpad(t, CAST(greatest(4, length(t)) AS INTEGER), '0'), 1, 2) AS INTEGER)"
@@ -117,6 +129,8 @@ SELECT {_bucket_sql('h')} AS part_day, COUNT(*) AS n FROM h WHERE h IS NOT NULL
     "part_of_day": f"""SELECT {_part_sql(hhmm_sql())} AS part_day, COUNT(*) AS n
 FROM events WHERE event_type = 'purchase' GROUP BY 1""",
     "part_of_day_null_other": f"""SELECT {_part_sql(hhmm_sql(NULL_EVERY))} AS part_day, COUNT(*) AS n
+FROM events WHERE event_type = 'purchase' GROUP BY 1""",
+    "part_of_day_csv": f"""SELECT {_part_sql(hhmm_sql(NULL_EVERY))} AS part_day, COUNT(*) AS n
 FROM events WHERE event_type = 'purchase' GROUP BY 1""",
     "part_of_day_null_drop": f"""SELECT {_part_sql(hhmm_sql(NULL_EVERY))} AS part_day, COUNT(*) AS n
 FROM events WHERE event_type = 'purchase' AND {hhmm_sql(NULL_EVERY)} IS NOT NULL GROUP BY 1""",

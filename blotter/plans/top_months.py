@@ -102,6 +102,12 @@ def q_top_months_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_months(df, "date_occ", INCIDENT_TS_FORMAT)
 
 
+def q_top_months_sql_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL form over the CSV export: the 12-hour text is parsed in SQL."""
+    df = read_csv(spark, orders_csv(spark, sf_dir), schema=ORDERS_CSV_DDL)
+    return top_months_sql(spark, df, "date_occ", INCIDENT_TS_FORMAT)
+
+
 def q_year_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of 1997 after a round trip through 12-hour date text."""
     o = table(spark, sf_dir, "orders")
@@ -128,6 +134,7 @@ QUERIES = {
     "top_months": q_top_months,
     "top_months_sql": q_top_months_sql,
     "top_months_csv": q_top_months_csv,
+    "top_months_sql_csv": q_top_months_sql_csv,
     "year_filter": q_year_filter,
 }
 
@@ -137,6 +144,7 @@ ORACLE = {
     "top_months": _TOP_SQL,
     "top_months_sql": _TOP_SQL,
     "top_months_csv": _TOP_SQL,
+    "top_months_sql_csv": _TOP_SQL,
     "year_filter": """SELECT CAST(month(d) AS INTEGER) AS month, COUNT(*) AS n
 FROM (SELECT try_strptime(strftime(o_orderdate, '%m/%d/%Y %I:%M:%S %p'), '%m/%d/%Y %I:%M:%S %p') AS d
       FROM orders)
