@@ -252,4 +252,4 @@ def events_csv(spark: SparkSession, sf_dir: str, null_every: int = 37) -> list[s
         "value",
         hhmm_col(null_every).alias("TIME OCC"),
     )
-    return _export_two_files(spark, sf_dir, "events", export, "event_id")
+    return _export_two_files(spark, sf_dir, f"events-null{null_every}", export, "event_id")
