@@ -149,14 +149,22 @@ def geo_enrich(
     on: Sequence[str] = ("lat", "lon"),
     cols: Sequence[str] = ("zip",),
     strategy: str | None = None,
+    digits: int | None = None,
 ) -> DataFrame:
-    """Left join facts to a coordinate lookup on exact coordinate equality.
+    """Left join facts to a coordinate lookup.
 
-    Facts without a match keep NULL in ``cols``.  Duplicate lookup rows for a
-    coordinate fan out (check with ``duplicate_keys``).
+    By default coordinates must be exactly equal doubles.  ``digits`` rounds
+    both sides to that many decimals for the comparison only (the facts keep
+    their own coordinates).  Facts without a match keep NULL in ``cols``.
+    Duplicate lookup rows for a coordinate fan out (see ``duplicate_keys``).
     """
-    lookup = geo.select(*on, *cols)
-    return join_with_strategy(facts, lookup, list(on), "left", strategy)
+    if digits is None:
+        lookup = geo.select(*on, *cols)
+        return join_with_strategy(facts, lookup, list(on), "left", strategy)
+    keys = [f"_geo_{i}" for i in range(len(on))]
+    lookup = geo.select(*[F.round(c, digits).alias(k) for c, k in zip(on, keys)], *cols)
+    rounded = facts.withColumns({k: F.round(c, digits) for c, k in zip(on, keys)})
+    return join_with_strategy(rounded, lookup, keys, "left", strategy).drop(*keys)
 
 
 def semi_join_keys(
