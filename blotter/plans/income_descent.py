@@ -6,19 +6,21 @@ income are chosen, and victims in those ZIPs are counted by decoded descent.
 
 Plan choices, all for scale:
 
-* Facts are pre-aggregated to ``(lat, lon, status) -> n`` before any join.
-  The partial aggregate runs inside each scan task, so a coordinate that
-  holds a third of all incidents (or the NULL coordinate) becomes one row
-  per task before the shuffle, and both joins see at most one row per
-  distinct point and status instead of one per incident.  Counts are summed
-  afterwards, so duplicate lookup rows still fan out exactly like a
-  row-level join would.
-* After the ZIP join the counts are re-aggregated per ``(zip, status)``, so
-  the income join and everything after it work on ZIP-sized data.
+* If the coordinate lookup passes the broadcast row-count check, every scan
+  task joins its own incidents to it and counts per ``(zip, code)``; only
+  those partial counts are shuffled - nothing proportional to the facts.
+* Otherwise (or when a shuffle join is requested) facts are first reduced
+  to ``(lat, lon, code) -> n`` by a partial aggregate inside each scan task,
+  so a hot coordinate (or the NULL coordinate) is one row per task, and the
+  shuffle join sees one row per distinct point and code.  Counts are summed
+  afterwards, so duplicate lookup rows fan out exactly like a row-level join.
+* Everything after the ZIP join works on ZIP-sized data.  That table is read
+  twice (to choose ZIPs, then to count in them), so it is materialized once
+  with ``checkpoint()`` in the shared checkpoint folder: the facts are
+  scanned once, and a lost executor cannot lose it.
 * Top-k is ``orderBy + limit`` (TakeOrderedAndProject, bounded), and the
   chosen keys - at most k rows by construction - are broadcast into a
-  ``left_semi`` join.
-* Decoding runs on the few aggregated rows, not per incident.
+  ``left_semi`` join.  Decoding runs on the few aggregated rows.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from blotter.functions.text import parse_currency
 from blotter.operators.aggregates import decode_codes
 from blotter.operators.filters import require_not_null, year_filter
-from blotter.operators.joins import geo_enrich, join_with_strategy, semi_join_keys
+from blotter.operators.joins import broadcast_fits, geo_enrich, join_with_strategy, semi_join_keys
 from blotter.operators.naming import rename_strict
 from blotter.operators.ranking import top_k_groups
 from blotter.plans.cleaning import STATUS_LABELS
@@ -41,6 +43,7 @@ from blotter.plans.standins import (
     order_facts_sql,
     order_incidents,
 )
+from blotter.session import checkpoint_base
 
 # Year of the year-restricted variant (a filter on the stored timestamp).
 YEAR = 1998
@@ -64,15 +67,28 @@ def zip_status_counts(
     income: DataFrame,
     strategy: str | None = None,
     code_col: str = "status",
+    max_rows: int | None = None,
 ) -> DataFrame:
     """``zip, status, n, income``: incident counts per ZIP and code.
 
     Facts need ``lat, lon`` and ``code_col``.  ZIP is NULL for incidents at
     points missing from ``geo``; income is NULL for ZIPs missing from it.
+    ``strategy`` hints both lookup joins; ``merge`` and ``shuffle_hash``
+    (and a lookup over the broadcast bound) take the pre-aggregated path.
     """
-    points = facts.groupBy("lat", "lon", code_col).agg(F.count(F.lit(1)).alias("n"))
-    with_zip = geo_enrich(points, geo, ["lat", "lon"], ["zip"], strategy)
-    per_zip = with_zip.groupBy("zip", code_col).agg(F.sum("n").alias("n"))
+    lookup = geo.select("lat", "lon", "zip")
+    direct = strategy in (None, "broadcast", "shuffle_replicate_nl") and broadcast_fits(
+        lookup, max_rows
+    )
+    if direct:
+        located = facts.select("lat", "lon", code_col).join(
+            F.broadcast(lookup), ["lat", "lon"], "left"
+        )
+        per_zip = located.groupBy("zip", code_col).agg(F.count(F.lit(1)).alias("n"))
+    else:
+        points = facts.groupBy("lat", "lon", code_col).agg(F.count(F.lit(1)).alias("n"))
+        with_zip = geo_enrich(points, lookup, ["lat", "lon"], ["zip"], strategy)
+        per_zip = with_zip.groupBy("zip", code_col).agg(F.sum("n").alias("n"))
     return join_with_strategy(per_zip, income, "zip", "left", strategy)
 
 
@@ -84,12 +100,13 @@ def victims_by_descent(
     mapping=STATUS_LABELS,
     code_col: str = "status",
 ) -> DataFrame:
-    """``<code_col>, n`` for incidents in the top (or bottom) k ZIPs by income."""
-    # Candidate ZIPs are those with at least one incident.  Reading ``n``
-    # here also keeps this branch's plan identical to the counting branch,
-    # so Spark reuses one exchange and the facts are scanned once.
-    present = counts.filter(F.col("n") > 0)
-    keys = top_k_groups(present, "zip", "income", k, ascending, nulls, sort=False)
+    """``<code_col>, n`` for incidents in the top (or bottom) k ZIPs by income.
+
+    ``counts`` is read twice, so it is checkpointed first (see module notes).
+    """
+    checkpoint_base(counts.sparkSession)
+    counts = counts.checkpoint(eager=True)
+    keys = top_k_groups(counts, "zip", "income", k, ascending, nulls, sort=False)
     chosen = semi_join_keys(counts, keys, "zip", bounded=k is not None)
     decoded = decode_codes(chosen, code_col, mapping)
     out = decoded.groupBy(code_col).agg(F.sum("n").alias("n"))

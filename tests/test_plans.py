@@ -32,10 +32,42 @@ def test_top_months_uses_window_group_limit(spark):
     assert "WindowGroupLimit" in final_plan(entry.queries()["top_months"](spark, SF01))
 
 
-def test_income_descent_scans_facts_once(spark):
-    plan = final_plan(entry.queries()["descent_bottom"](spark, SF01))
-    assert "ReusedExchange" in plan
+def _income_counts(spark, strategy=None):
+    from blotter.operators import require_not_null
+    from blotter.plans.income_descent import clean_income, zip_status_counts
+    from blotter.plans.standins import geo_lookup, income_raw, order_incidents
+
+    facts = require_not_null(order_incidents(spark, SF01), ["status", "priority"])
+    return zip_status_counts(facts, geo_lookup(spark), clean_income(income_raw(spark)), strategy)
+
+
+def test_income_counts_shuffle_only_zip_partials(spark):
+    plan = final_plan(_income_counts(spark))
     assert plan.count("FileScan parquet") == 1
+    assert "BroadcastHashJoin" in plan
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert exchanges and all("lat" not in e for e in exchanges)
+
+
+def test_income_counts_over_bound_pre_aggregate(spark):
+    from blotter.operators.joins import MAX_BROADCAST_ROWS_CONF
+
+    direct = sorted(map(tuple, _income_counts(spark).collect()), key=repr)
+    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "10")
+    try:
+        counts = _income_counts(spark)
+        plan = formatted_plan(counts)
+        rows = sorted(map(tuple, counts.collect()), key=repr)
+    finally:
+        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
+    assert re.search(r"hashpartitioning\(lat", plan)
+    assert rows == direct
+
+
+def test_income_descent_reads_facts_once(spark):
+    plan = final_plan(entry.queries()["descent_bottom"](spark, SF01))
+    # downstream of the checkpoint nothing reads the fact table again
+    assert "FileScan parquet" not in plan
 
 
 def test_distance_broadcasts_stations_and_aggregates_partially(spark):
