@@ -20,3 +20,25 @@ def test_conversion_resumes_and_never_duplicates(spark, tmp_path):
     # a third run with nothing new adds nothing
     convert_csv_folder(spark, str(src), str(dst), schema, checkpoint=str(ckpt)).awaitTermination()
     assert spark.read.parquet(str(dst)).count() == 3
+
+
+def test_part_of_day_counts_run_on_a_file_stream(spark):
+    """The batch operators compose on a streaming DataFrame (complete mode)."""
+    import uuid
+
+    from blotter.operators import code_filter
+    from blotter.plans.part_of_day import EVENTS_CSV_DDL, NULL_EVERY, part_of_day_counts
+    from blotter.plans.standins import events_csv
+    from tests.conftest import SF01
+
+    paths = events_csv(spark, SF01, NULL_EVERY)
+    batch = {r.part_day: r.n for r in part_of_day_counts(
+        code_filter(spark.read.schema(EVENTS_CSV_DDL).option("header", True).csv(paths), "event_type", "purchase"),
+        "TIME OCC").collect()}
+    stream = spark.readStream.schema(EVENTS_CSV_DDL).option("header", True).csv(paths[0].rsplit("/", 1)[0])
+    counts = part_of_day_counts(code_filter(stream, "event_type", "purchase"), "TIME OCC")
+    name = f"pod_{uuid.uuid4().hex[:8]}"
+    query = counts.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    query.awaitTermination()
+    streamed = {r.part_day: r.n for r in spark.table(name).collect()}
+    assert streamed == batch
