@@ -81,3 +81,10 @@ def test_q13_one_schema_for_all_files(spark, tmp_path):
     (tmp_path / "b.csv").write_text("id,code\n2,A7\n")
     df = read_csv(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], schema="id bigint, code string")
     assert sorted(map(tuple, df.collect())) == [(1, "101"), (2, "A7")]
+
+
+def test_j2_using_key_resolves_case_insensitively(spark):
+    facts = spark.createDataFrame([("90001", "F")], "ZIPcode string, status string")
+    income = spark.createDataFrame([("90001", 30001)], "ZIPcode string, income int")
+    out = join_with_strategy(facts, income, "ZIPCode", "left")
+    assert out.columns[0] == "ZIPcode" and out.first().income == 30001
