@@ -68,10 +68,10 @@ def q_distance_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_distance_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broadcast join after keeping one station per division (smallest key)."""
     facts = _paired_area(firearm_incidents(spark, sf_dir), "AREA").drop("AREA")
-    st = _paired_area(station_points(spark, sf_dir), "AREA").drop("AREA")
-    st = st.select("division", "s_name", "STATION_LAT", "STATION_LON")
+    st = _paired_area(station_points(spark, sf_dir), "AREA")
+    st = st.select("division", F.col("AREA").alias("station_key"), "STATION_LAT", "STATION_LON")
     return distance_by_group(
-        facts, st, "division", "division", strategy="broadcast", dedupe="s_name"
+        facts, st, "division", "division", strategy="broadcast", dedupe="station_key"
     )
 
 
@@ -122,7 +122,7 @@ FROM facts f JOIN stations s ON f.area // 2 = s.area // 2
 WHERE {_PAIRS_WHERE} GROUP BY 1""",
     "distance_broadcast": f"""WITH {LINE_FACTS_SQL},
 {STATIONS_SQL},
-one AS (SELECT area // 2 AS division, arg_min(slat, s_name) AS slat, arg_min(slon, s_name) AS slon
+one AS (SELECT area // 2 AS division, arg_min(slat, s_suppkey) AS slat, arg_min(slon, s_suppkey) AS slon
         FROM stations WHERE slat <> 0 AND slon <> 0 GROUP BY 1)
 SELECT f.area // 2 AS division, round(AVG({haversine_sql("f.lat", "f.lon", "s.slat", "s.slon")}), 6)
        AS average_distance, COUNT(*) AS incidents_total
