@@ -26,6 +26,8 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpointed ZIP-level tables are removed once no DataFrame uses them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
