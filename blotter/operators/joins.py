@@ -112,6 +112,9 @@ def join_with_strategy(
     if (dedupe is not None or salt) and isinstance(on, Column):
         raise ValueError("dedupe and salt need join keys given by name")
     keys = None if isinstance(on, Column) else ([on] if isinstance(on, str) else list(on))
+    # The size check runs on the side as given: de-duplication only removes
+    # rows, so this bounds the reduced side without computing it twice.
+    unreduced = right
     if dedupe is not None:
         right = keep_first(right, keys, dedupe)
     if salt and salt > 1 and strategy != "broadcast":
@@ -133,7 +136,7 @@ def join_with_strategy(
             stacklevel=2,
         )
         return left.join(right, on, how)
-    if strategy == "broadcast" and not bounded and not broadcast_fits(right, max_rows):
+    if strategy == "broadcast" and not bounded and not broadcast_fits(unreduced, max_rows):
         warnings.warn(
             "broadcast side exceeds the row bound; using a shuffle join instead",
             RuntimeWarning,
