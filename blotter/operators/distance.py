@@ -44,9 +44,12 @@ def distance_by_group(
     facts = drop_null_island(facts, flat, flon)
     stations = drop_null_island(stations, slat, slon)
     joined = join_with_strategy(facts, stations, keys, "inner", strategy, dedupe=dedupe, salt=salt)
+    # Distance in a projection, not inside the aggregate: the projection's
+    # generated code computes the repeated haversine term once per row.
     dist = distance(F.col(flat), F.col(flon), F.col(slat), F.col(slon))
-    out = joined.groupBy(*groups).agg(
-        F.avg(dist).alias("average_distance"), F.count(F.lit(1)).alias(count_name)
+    measured = joined.select(*[F.col(g) for g in groups], dist.alias("_distance"))
+    out = measured.groupBy(*groups).agg(
+        F.avg("_distance").alias("average_distance"), F.count(F.lit(1)).alias(count_name)
     )
     if digits is not None:
         out = out.withColumn("average_distance", F.round("average_distance", digits))
