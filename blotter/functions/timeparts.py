@@ -39,6 +39,8 @@ def part_of_day(hour: ColumnOrName, invalid: str = "other") -> Column:
 
     ``invalid='other'``: a NULL hour falls through to Night (CASE semantics).
     ``invalid='null'``: a NULL hour stays NULL so the caller can drop it.
+    The hour is read by every bucket test; pass a column (computed in an
+    earlier projection) rather than a long expression.
     """
     h = as_col(hour)
     expr = None

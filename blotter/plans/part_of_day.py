@@ -35,9 +35,11 @@ def part_of_day_counts(
     """
     if invalid not in ("other", "drop"):
         raise ValueError(f"invalid must be 'other' or 'drop', got {invalid!r}")
-    hour = hour_of_hhmm(time_col, pad)
-    part = part_of_day(hour, "other" if invalid == "other" else "null").alias("part_day")
-    parts = df.select(part)
+    # The hour gets its own projection: the bucket tests read it several
+    # times, and a column reference is parsed once per row.
+    hours = df.select(hour_of_hhmm(time_col, pad).alias("_hour"))
+    part = part_of_day("_hour", "other" if invalid == "other" else "null").alias("part_day")
+    parts = hours.select(part)
     if invalid == "drop":
         parts = parts.filter(F.col("part_day").isNotNull())
     return count_by(parts, "part_day").orderBy(F.col("n").desc(), F.col("part_day").asc())
