@@ -28,8 +28,9 @@ def _ts(df: DataFrame, column: str, fmt: str | None):
 def monthly_counts(df: DataFrame, column: str, fmt: str | None = None, name: str = "n") -> DataFrame:
     """Incidents per (year, month); ``fmt`` parses a text column first
     (malformed dates form the NULL year/month group)."""
-    ts = _ts(df, column, fmt)
-    months = df.select(F.year(ts).alias("year"), F.month(ts).alias("month"))
+    # Parsed once in its own projection; year and month both read it.
+    stamped = df.select(_ts(df, column, fmt).alias("_ts"))
+    months = stamped.select(F.year("_ts").alias("year"), F.month("_ts").alias("month"))
     return count_by(months, ["year", "month"], name)
 
 
@@ -53,7 +54,8 @@ def top_months_sql(
     ts = f"try_to_timestamp(`{column}`, '{fmt}')" if fmt else f"`{column}`"
     spark.sql(
         f"""SELECT year, month, COUNT(*) AS incident_total
-            FROM (SELECT year({ts}) AS year, month({ts}) AS month FROM {src})
+            FROM (SELECT year(ts) AS year, month(ts) AS month
+                  FROM (SELECT {ts} AS ts FROM {src}))
             GROUP BY year, month"""
     ).createOrReplaceTempView(agg)
     spark.sql(
