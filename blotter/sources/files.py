@@ -6,6 +6,7 @@ files are split into tasks together, and one schema applies to all of them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
@@ -13,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
 
-from blotter.functions.text import split_field
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -87,14 +87,16 @@ def read_delimited(
         header_text = first[0]["value"] if first else None
     if header_text is not None:
         lines = lines.filter(F.col("value") != F.lit(header_text))
+    # Split each line once; every field then indexes the same array.
+    parts = lines.select(F.split(F.col("value"), re.escape(sep), -1).alias("_fields"))
     cols = []
     for name, spec in fields.items():
         index, dtype = (spec, StringType()) if isinstance(spec, int) else spec
-        value = split_field("value", sep, index)
-        if not isinstance(dtype, StringType):
+        value = F.get(F.col("_fields"), index)
+        if not (isinstance(dtype, StringType) or dtype == "string"):
             value = value.try_cast(dtype)
         cols.append(value.alias(name))
-    return lines.select(*cols)
+    return parts.select(*cols)
 
 
 def union_files(frames: Iterable[DataFrame], allow_missing: bool = False) -> DataFrame:
