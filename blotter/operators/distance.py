@@ -33,10 +33,15 @@ def distance_by_group(
     distance is a native expression evaluated in the join's codegen stage and
     immediately reduced by a partial aggregate, so only per-task partial sums
     per group are shuffled - a group holding a third of all rows costs no
-    more shuffle than any other.  ``dedupe`` (an ordering column) keeps one
-    station per key; otherwise every matching station counts.  ``distance``
+    more shuffle than any other.  ``strategy=None`` broadcasts the stations
+    after a row-count check and falls back to a shuffle join beyond it.
+    ``dedupe`` (an ordering column) keeps one station per key; otherwise
+    every matching station counts.  ``distance``
     maps (lat1, lon1, lat2, lon2) columns to km; keep it a native expression.
     """
+    # No strategy: broadcast the stations if their row count passes the
+    # check (the facts are then never shuffled), else a shuffle join.
+    strategy = strategy or "broadcast"
     groups = [group] if isinstance(group, str) else list(group)
     keys = [on] if isinstance(on, str) else list(on)
     flat, flon = fact_point

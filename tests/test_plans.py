@@ -94,3 +94,27 @@ def test_year_filter_pushes_to_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in formatted_plan(
         df.select(F.col("o_orderkey"))
     )
+
+
+def test_distance_falls_back_to_shuffle_join_beyond_bound(spark):
+    import warnings
+
+    from blotter.operators.joins import MAX_BROADCAST_ROWS_CONF
+
+    key = "distance_by_group"
+    expected = sorted(map(tuple, entry.queries()[key](spark, SF01).collect()))
+    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "5")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            df = entry.queries()[key](spark, SF01)
+        plan = final_plan(df)
+        rows = sorted(map(tuple, df.collect()))
+    finally:
+        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert rows == expected
