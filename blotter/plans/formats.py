@@ -52,10 +52,13 @@ def q_union_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
+CONVERTED = ["orders", "customer"]
+
+
 def q_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export region and nation as CSV into one folder, convert the folder."""
+    """Export two tables as CSV into one folder, convert the folder."""
     src, dst = scratch_path(spark, "csv-in"), scratch_path(spark, "parquet-out")
-    names = ["region", "nation"]
+    names = CONVERTED
     for name in names:
         write_csv(table(spark, sf_dir, name), f"{src}/{name}.csv")
     schemas = {name: table(spark, sf_dir, name).schema for name in names}
@@ -66,7 +69,7 @@ def q_csv_to_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same conversion as a file stream run to completion (availableNow)."""
     src, dst = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     readbacks = []
-    for name in ["region", "nation"]:
+    for name in CONVERTED:
         t = table(spark, sf_dir, name)
         write_csv(t, f"{src}/{name}.csv")
         query = convert_csv_folder(spark, f"{src}/{name}.csv", f"{dst}/{name}.parquet", t.schema)
@@ -78,12 +81,12 @@ def q_csv_to_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rename_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column names with stray blanks (``'n_nationkey '``) are trimmed, then
-    the frame joins back to nation by the cleaned name."""
-    nation = table(spark, sf_dir, "nation")
-    messy = nation.select(F.col("n_nationkey").alias("n_nationkey "), F.col("n_name").alias(" n_name"))
+    """Column names with stray blanks (``'c_custkey '``) are trimmed, then
+    the frame joins back to customer by the cleaned name."""
+    customer = table(spark, sf_dir, "customer")
+    messy = customer.select(F.col("c_custkey").alias("c_custkey "), F.col("c_name").alias(" c_name"))
     clean = trim_column_names(messy)
-    return clean.join(nation.select("n_nationkey"), "n_nationkey", "inner").select("n_nationkey", "n_name")
+    return clean.join(customer.select("c_custkey"), "c_custkey", "inner").select("c_custkey", "c_name")
 
 
 def q_select_left_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +102,8 @@ def q_select_left_plus(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KEY_RANGE_SQL = """SELECT o_orderstatus, COUNT(*) AS n, MIN(o_orderkey) AS lo, MAX(o_orderkey) AS hi
 FROM orders GROUP BY 1"""
 _STATUS_COUNT_SQL = "SELECT o_orderstatus, COUNT(*) AS n FROM orders GROUP BY 1"
+_CONVERTED_SQL = """SELECT 'orders' AS table_name, COUNT(*) AS n FROM orders
+UNION ALL SELECT 'customer' AS table_name, COUNT(*) AS n FROM customer"""
 
 QUERIES = {
     "scan_parquet": q_scan_parquet,
@@ -118,11 +123,9 @@ ORACLE = {
     "scan_csv_infer": _KEY_RANGE_SQL,
     "scan_text_delimited": _STATUS_COUNT_SQL,
     "union_files": _STATUS_COUNT_SQL,
-    "csv_to_parquet": """SELECT 'region' AS table_name, COUNT(*) AS n FROM region
-UNION ALL SELECT 'nation' AS table_name, COUNT(*) AS n FROM nation""",
-    "rename_trim": "SELECT n_nationkey, n_name FROM nation",
-    "csv_to_parquet_stream": """SELECT 'region' AS table_name, COUNT(*) AS n FROM region
-UNION ALL SELECT 'nation' AS table_name, COUNT(*) AS n FROM nation""",
+    "csv_to_parquet": _CONVERTED_SQL,
+    "rename_trim": "SELECT c_custkey, c_name FROM customer",
+    "csv_to_parquet_stream": _CONVERTED_SQL,
     "select_left_plus": """SELECT o.*, c.c_mktsegment FROM orders o
 LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",
 }
