@@ -42,3 +42,15 @@ def test_part_of_day_counts_run_on_a_file_stream(spark):
     query.awaitTermination()
     streamed = {r.part_day: r.n for r in spark.table(name).collect()}
     assert streamed == batch
+
+
+def test_conversion_in_bounded_batches(spark, tmp_path):
+    src, dst, ckpt = tmp_path / "in", tmp_path / "out", tmp_path / "ckpt"
+    src.mkdir()
+    for i in range(3):
+        (src / f"f{i}.csv").write_text(f"k,v\n{i},x\n{i + 10},y\n")
+    query = convert_csv_folder(spark, str(src), str(dst), "k int, v string", checkpoint=str(ckpt),
+                               max_files_per_trigger=1)
+    query.awaitTermination()
+    assert sorted(r.k for r in spark.read.parquet(str(dst)).collect()) == [0, 1, 2, 10, 11, 12]
+    assert len(query.recentProgress) >= 3  # one file per micro-batch
