@@ -88,3 +88,41 @@ def test_keep_first_matches_brute_force(spark, rows):
             expected[key] = (o, s)
     got = {r.k: (r.o, r.s) for r in keep_first(df, ["k"], "o").collect()}
     assert got == expected
+
+
+def brute_rank(rows, k, method):
+    out = []
+    groups = {}
+    for g, v, tie in rows:
+        groups.setdefault(g, []).append((g, v, tie))
+    for members in groups.values():
+        members.sort(key=lambda r: (-r[1], r[2]))
+        for i, r in enumerate(members):
+            if method == "row_number":
+                rank = i + 1
+            elif method == "rank":
+                rank = 1 + sum(1 for m in members if m[1] > r[1])
+            else:
+                rank = 1 + len({m[1] for m in members if m[1] > r[1]})
+            if rank <= k:
+                out.append((*r, rank))
+    return sorted(out, key=repr)
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.integers(0, 4), st.integers(0, 10**6)),
+             min_size=1, max_size=30, unique_by=lambda r: r[2]),
+    st.integers(1, 4),
+    st.sampled_from(["rank", "dense_rank", "row_number"]),
+)
+def test_top_k_per_group_matches_brute_force(spark, rows, k, method):
+    from pyspark.sql import functions as F
+
+    from blotter.operators import top_k_per_group
+
+    df = spark.createDataFrame(rows, "g int, v int, t int")
+    # rank / dense_rank see ties on v; row_number needs the unique t to be deterministic
+    order = [F.col("v").desc()] + ([F.col("t").asc()] if method == "row_number" else [])
+    got = top_k_per_group(df, ["g"], order, k, method).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_rank(rows, k, method)
