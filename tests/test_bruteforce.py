@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from blotter.operators import join_with_strategy, keep_first, top_k_groups
 
-SETTINGS = settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "e"]))
 measures = st.one_of(st.none(), st.integers(0, 5))
 
