@@ -12,7 +12,7 @@ from blotter.operators.naming import trim_column_names
 from blotter.plans.standins import ORDERS_CSV_DDL, orders_csv, table
 from blotter.session import scratch_path
 from blotter.sources.files import read_csv, read_delimited, union_files
-from blotter.sources.sinks import csv_to_parquet, write_csv
+from blotter.sources.sinks import csv_to_parquet, list_tables, write_csv
 from blotter.streaming.convert import convert_csv_folder
 
 
@@ -61,8 +61,9 @@ def q_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = CONVERTED
     for name in names:
         write_csv(table(spark, sf_dir, name), f"{src}/{name}.csv")
-    schemas = {name: table(spark, sf_dir, name).schema for name in names}
-    return csv_to_parquet(spark, src, dst, schemas)
+    # the folder's tables are discovered, not named; types stay declared
+    found = list_tables(spark, src)
+    return csv_to_parquet(spark, src, dst, {name: table(spark, sf_dir, name).schema for name in found})
 
 
 def q_csv_to_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

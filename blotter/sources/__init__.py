@@ -2,10 +2,11 @@
 passes over the input and can type the same column differently per file."""
 
 from blotter.sources.files import read_csv, read_delimited, read_parquet, union_files
-from blotter.sources.sinks import csv_to_parquet, write_csv, write_parquet
+from blotter.sources.sinks import csv_to_parquet, list_tables, write_csv, write_parquet
 
 __all__ = [
     "csv_to_parquet",
+    "list_tables",
     "read_csv",
     "read_delimited",
     "read_parquet",

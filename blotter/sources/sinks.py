@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,21 +38,46 @@ def write_csv(
     writer.csv(path)
 
 
+def list_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
+    """Names of the entries directly under ``folder`` that end in ``suffix``:
+    single files (``a.csv``) or folders of part files (``a.csv/part-0.csv``).
+
+    Files are listed by Spark's file index (the ``binaryFile`` source with
+    its content column pruned, so no file is read); names are reduced to
+    distinct values on the cluster and only those reach the driver.
+    """
+    ext = re.escape(suffix)
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", f"*{suffix}")
+        .option("recursiveFileLookup", "true")
+        .load(folder)
+        .select("path")
+    )
+    in_folder = F.regexp_extract("path", rf"/([^/]+){ext}/[^/]+$", 1)
+    single = F.regexp_extract("path", rf"/([^/]+){ext}$", 1)
+    name = F.when(in_folder != "", in_folder).otherwise(single).alias("name")
+    return sorted(r["name"] for r in files.select(name).distinct().collect() if r["name"])
+
+
 def csv_to_parquet(
     spark: SparkSession,
     in_dir: str,
     out_dir: str,
-    tables: Mapping[str, StructType | None] | Sequence[str],
+    tables: Mapping[str, StructType | None] | Sequence[str] | None = None,
     mode: str = "errorifexists",
     sampling_ratio: float | None = None,
 ) -> DataFrame:
     """Convert ``in_dir/<name>.csv`` to ``out_dir/<name>.parquet`` per table.
 
     ``tables`` names the inputs (with an explicit schema, or ``None`` to
-    infer).  Each conversion is one distributed job; the driver only walks
-    the list of names.  Returns a lazy DataFrame ``(table_name, n)`` counting
-    the rows read back from the written Parquet.
+    infer); without it every ``*.csv`` entry of ``in_dir`` is converted with
+    inferred types.  Each conversion is one distributed job; the driver only
+    walks the list of names.  Returns a lazy DataFrame ``(table_name, n)``
+    counting the rows read back from the written Parquet.
     """
+    if tables is None:
+        tables = list_tables(spark, in_dir)
     specs = dict(tables) if isinstance(tables, Mapping) else {t: None for t in tables}
     readbacks = []
     for name, schema in specs.items():

@@ -68,3 +68,17 @@ def test_read_csv_malformed_fields_become_null(spark, tmp_path):
     assert len(dropped.collect()) == 1
     # a bare count parses no field (CSV column pruning), so nothing is dropped
     assert dropped.count() == 2
+
+
+def test_list_tables_and_convert_whole_folder(spark, tmp_path):
+    from blotter.sources import list_tables
+
+    src, dst = tmp_path / "in", tmp_path / "out"
+    (src / "a.csv").mkdir(parents=True)
+    (src / "a.csv" / "part-0.csv").write_text("id,name\n1,x\n2,y\n")
+    (src / "a.csv" / "part-1.csv").write_text("id,name\n3,z\n")
+    (src / "b.csv").write_text("code,amount\n7,1.5\n")
+    (src / "notes.txt").write_text("skip me\n")
+    assert list_tables(spark, str(src)) == ["a", "b"]
+    out = csv_to_parquet(spark, str(src), str(dst))
+    assert sorted(map(tuple, out.collect())) == [("a", 3), ("b", 1)]
