@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 
@@ -17,17 +19,23 @@ def spark():
     return build_session(master="local[*]", app="blotter-tests", shuffle_partitions=8)
 
 
-def plan_text(df) -> str:
-    """Executed physical plan (after AQE) as text."""
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def formatted_plan(df) -> str:
-    import contextlib
-    import io
-
+def _explain(df, mode: str) -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
+        df.explain(mode)
     return buf.getvalue()
+
+
+def final_plan(df) -> str:
+    """Run ``df`` and return its adaptive plan as executed (the part before
+    the initial plan); ``explain`` shows it once the DataFrame has run."""
+    df.collect()
+    return _explain(df, "simple").split("== Initial Plan ==")[0]
+
+
+plan_text = final_plan
+
+
+def formatted_plan(df) -> str:
+    """The plan as planned, before execution."""
+    return _explain(df, "formatted")

@@ -5,14 +5,10 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from tests.conftest import SF01, formatted_plan
+from tests.conftest import SF01, final_plan, formatted_plan
+
 
 
-def final_plan(df) -> str:
-    """The adaptive plan as executed (the part before the initial plan)."""
-    df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[0]
 
 
 @pytest.mark.parametrize("key", sorted(entry.queries()))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from blotter.operators import distance_by_group
 from blotter.plans.station_distance import firearm_incidents, station_points
-from tests.conftest import SF01
+from tests.conftest import SF01, final_plan
 
 SKEW_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4096",
@@ -49,8 +49,7 @@ def test_hot_key_is_split_by_aqe(skew_session):
     spark = skew_session
     facts, st = hot_facts(spark), station_points(spark, SF01)
     out = distance_by_group(facts, st, "AREA", "s_name", strategy="merge")
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    plan = final_plan(out)
     assert "SortMergeJoin" in plan and "skew=true" in plan
 
 
