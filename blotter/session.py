@@ -9,6 +9,8 @@ fallback to a machine-local path.
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 
@@ -38,15 +40,35 @@ SCALE_CONF = {
 _LOCAL_BASES: dict[str, str] = {}
 
 
+def _local_cores(master: str) -> int | None:
+    """Thread count of a ``local[N]`` / ``local[*]`` / ``local[N,F]`` master."""
+    match = re.fullmatch(r"local(?:\[(\*|\d+)(?:,\s*\d+)?\])?", master.strip())
+    if not match:
+        return None
+    n = match.group(1)
+    if n is None:
+        return 1
+    return (os.cpu_count() or 1) if n == "*" else int(n)
+
+
 def build_session(
     master: str = "local[8]",
     app: str = "blotter",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the library's scale settings."""
+    """Create (or reuse) a session with the library's scale settings.
+
+    ``shuffle_partitions`` defaults to the core count of a local master; on a
+    cluster it is left to the cluster's configuration (see
+    :func:`partition_conf` for sizing it from the expected shuffle volume).
+    """
     builder = SparkSession.builder.master(master).appName(app)
-    settings = {**SCALE_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions)}
+    settings = dict(SCALE_CONF)
+    if shuffle_partitions is None:
+        shuffle_partitions = _local_cores(master)
+    if shuffle_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -82,3 +82,11 @@ def test_list_tables_and_convert_whole_folder(spark, tmp_path):
     assert list_tables(spark, str(src)) == ["a", "b"]
     out = csv_to_parquet(spark, str(src), str(dst))
     assert sorted(map(tuple, out.collect())) == [("a", 3), ("b", 1)]
+
+
+def test_local_core_count_from_master():
+    from blotter.session import _local_cores
+
+    assert _local_cores("local[8]") == 8 and _local_cores("local[4,3]") == 4
+    assert _local_cores("yarn") is None and _local_cores("spark://host:7077") is None
+    assert _local_cores("local[*]") >= 1 and _local_cores("local") == 1
