@@ -9,6 +9,6 @@ plans/      the four analytical questions and their variants, plus oracle SQL
 streaming/  incremental (Structured Streaming) forms of the same operators
 """
 
-from blotter.session import build_session, checkpoint_base, scratch_path
+from blotter.session import build_session, checkpoint_base, partition_conf, scratch_path
 
-__all__ = ["build_session", "checkpoint_base", "scratch_path"]
+__all__ = ["build_session", "checkpoint_base", "partition_conf", "scratch_path"]

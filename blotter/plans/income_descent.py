@@ -25,6 +25,8 @@ Plan choices, all for scale:
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,7 +106,7 @@ def victims_by_descent(
     k: int | None = 3,
     ascending: bool = False,
     nulls: str = "drop",
-    mapping=STATUS_LABELS,
+    mapping: Mapping[str, str] = STATUS_LABELS,
     code_col: str = "status",
 ) -> DataFrame:
     """``<code_col>, n`` for incidents in the top (or bottom) k ZIPs by income.
