@@ -21,14 +21,20 @@ def hour_of_hhmm(c: ColumnOrName, pad: str = "lpad") -> Column:
     """Hour of an HHMM value given as int or text; NULL when unparseable.
 
     ``pad='lpad'`` left-pads to 4 and truncates longer values (SQL ``lpad``);
-    ``pad='zfill'`` pads but never truncates.  Both then read the first two
-    characters as the hour.
+    ``pad='zfill'`` pads but never truncates, and puts the zeros after a
+    leading sign.  Both then read the first two characters as the hour.
     """
     text = as_col(c).cast("string")
     if pad == "lpad":
         padded = F.lpad(text, 4, "0")
     elif pad == "zfill":
-        padded = F.lpad(text, F.greatest(F.lit(4), F.length(text)), "0")
+        # zeros go after a leading sign, as Python's str.zfill does
+        width = F.greatest(F.lit(4), F.length(text))
+        signed = text.startswith("-") | text.startswith("+")
+        rest = text.substr(F.lit(2), F.length(text))
+        padded = F.when(
+            signed, F.concat(text.substr(1, 1), F.lpad(rest, width - 1, "0"))
+        ).otherwise(F.lpad(text, width, "0"))
     else:
         raise ValueError(f"pad must be 'lpad' or 'zfill', got {pad!r}")
     return F.substring(padded, 1, 2).try_cast("int")

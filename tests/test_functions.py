@@ -110,3 +110,17 @@ def test_functions_stay_native(spark):
     )
     text = formatted_plan(out)
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_zfill_matches_python(spark):
+    values = ["-15", "+5", "15", "2015", "20150", "", "-", "abc", "7", "-0930"]
+
+    def expected(v):
+        try:
+            return int(v.zfill(4)[:2])
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    got = [r[0] for r in df.select(hour_of_hhmm("t", pad="zfill")).collect()]
+    assert got == [expected(v) for v in values]
