@@ -114,3 +114,23 @@ def test_distance_falls_back_to_shuffle_join_beyond_bound(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     assert rows == expected
+
+
+@pytest.mark.parametrize("key", sorted(entry.queries()))
+def test_nothing_whole_through_one_task(spark, key):
+    """A single-partition exchange only ever carries partial aggregates
+    (one row per task), and every window is partitioned."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        entry.queries()[key](spark, SF01).explain("simple")
+    lines = [line for line in buf.getvalue().splitlines() if line.strip()]
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1]
+            assert "partial_" in child, f"{key}: {line.strip()} <- {child.strip()}"
+        window = re.search(r"Window \[.*\], \[(.*?)\], \[", line)
+        if window:
+            assert window.group(1).strip(), f"{key}: unpartitioned window {line.strip()}"
