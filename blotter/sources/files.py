@@ -21,10 +21,17 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
 
 
 def read_parquet(
-    spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    columns: Sequence[str] | None = None,
+    schema: StructType | str | None = None,
 ) -> DataFrame:
-    """Parquet scan; selecting ``columns`` here keeps ``ReadSchema`` narrow."""
-    df = spark.read.parquet(*_paths(paths))
+    """Parquet scan; selecting ``columns`` here keeps ``ReadSchema`` narrow.
+
+    A declared ``schema`` skips the job that reads file footers to infer it
+    (and pins the types when files disagree)."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(*_paths(paths))
     return df.select(*columns) if columns else df
 
 

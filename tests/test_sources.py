@@ -90,3 +90,13 @@ def test_local_core_count_from_master():
     assert _local_cores("local[8]") == 8 and _local_cores("local[4,3]") == 4
     assert _local_cores("yarn") is None and _local_cores("spark://host:7077") is None
     assert _local_cores("local[*]") >= 1 and _local_cores("local") == 1
+
+
+def test_read_parquet_with_declared_schema(spark):
+    from blotter.sources import read_parquet
+    from tests.conftest import SF01
+
+    df = read_parquet(spark, f"{SF01}/nation.parquet", ["n_nationkey", "n_name"],
+                      schema="n_nationkey INT, n_name STRING, n_regionkey INT")
+    assert df.dtypes == [("n_nationkey", "int"), ("n_name", "string")]
+    assert df.count() == 25
