@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from blotter.llm import quality_rules, url_filter
+from blotter.llm import mixing, quality_rules, sharding, url_filter
 
 QUERIES = {
     "op5_quality_rules": quality_rules.query,
+    "op6_source_mixing": mixing.query,
     "op7_url_filter": url_filter.query,
+    "op9_slot_sharding": sharding.query,
 }
 ORACLE = {
     "op5_quality_rules": quality_rules.SQL,
