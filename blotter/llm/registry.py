@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from blotter.llm import mixing, quality_rules, sharding, url_filter
+from blotter.llm import bpe, mixing, quality_rules, sharding, url_filter
 
 QUERIES = {
+    "op1_byte_bpe": bpe.query,
     "op5_quality_rules": quality_rules.query,
     "op6_source_mixing": mixing.query,
     "op7_url_filter": url_filter.query,
