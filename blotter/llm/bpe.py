@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.native_text import documents
+from blotter.llm.shipping import on_workers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of what a worker remembers; results do not depend on them.
@@ -333,6 +334,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, ids``: ids of the whole text as packed little-endian 32-bit."""
+    on_workers(docs.sparkSession)
     id_type = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
@@ -348,6 +350,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, ids, decoded`` (bytes) and ``decoded_chars``."""
+    on_workers(encoded.sparkSession)
     id_type = dict(encoded.dtypes)["doc_id"]
 
     def run(batches):
