@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from blotter.llm import bpe, edit_fingerprint, mixing, quality_rules, sharding, token_store, url_filter
+from blotter.llm import bpe, edit_fingerprint, mixing, quality_rules, sharding, simhash, token_store, url_filter
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
     "op2_edit_fingerprint": edit_fingerprint.query,
     "op3_token_files": token_store.query,
+    "op4_simhash": simhash.query,
     "op5_quality_rules": quality_rules.query,
     "op6_source_mixing": mixing.query,
     "op7_url_filter": url_filter.query,
