@@ -18,13 +18,15 @@ RANGE_BYTES = 4 << 20
 MAX_RANGES = 1 << 16
 
 
-def with_ranges(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> tuple[DataFrame, int]:
-    """``doc_id, text, __range`` (NULL text as empty) and the number of ranges.
+def with_ranges(docs: DataFrame, range_bytes: int = RANGE_BYTES, keep: bool = False) -> tuple[DataFrame, int]:
+    """``doc_id, text, __range`` (NULL text as empty) and the number of ranges;
+    to ``keep`` the columns but the text, they are a struct ``rest``.
 
     Split points come from approximate quantiles of the ids.  NULL ids come
     last, in the highest range.  Several rows of one id share a range.
     """
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    others = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest")] if keep else []
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *others)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     wanted = int(min(MAX_RANGES, max(1, -(-total // range_bytes))))
     cuts: list[float] = []
@@ -38,7 +40,7 @@ def with_ranges(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> tuple[DataFr
         return rows.withColumn(RANGE, F.lit(0)), 1
     keyed = rows.withColumn("__key", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("inf"))))
     placed = Bucketizer(splits=splits, inputCol="__key", outputCol="__at", handleInvalid="error").transform(keyed)
-    return placed.select("doc_id", "text", F.col("__at").cast("int").alias(RANGE)), len(splits) - 1
+    return placed.withColumn(RANGE, F.col("__at").cast("int")).drop("__key", "__at"), len(splits) - 1
 
 
 def in_order(table):
