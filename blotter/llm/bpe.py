@@ -36,11 +36,13 @@ from blotter.llm.shipping import on_workers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of what a worker remembers; results do not depend on them.
-MEMO_WORDS, MEMO_LENGTH, MAX_STATES = 300_000, 48, 250_000
+MEMO_WORDS, MEMO_LENGTH, MAX_STATES = 400_000, 48, 150_000
 #: Tokens decoded at a time, and bytes of output per Arrow batch.
 DECODE_PIECE, BATCH_BYTES = 65_536, 4 << 20
 #: Above any rank.
 NEVER = 1 << 62
+#: Tokens below a trie node that are looked at one by one.
+FEW = 24
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -88,6 +90,16 @@ class Transducer:
             if token[:i] in ranks and token[i:] in ranks}
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.side_by_side: dict[int, bool] = {}
+        # the tokens below a trie node, where they are few
+        self.below: dict[int, tuple | None] = {}
+        for token, rank in ranks.items():
+            node = 0
+            for byte in token[:-1]:
+                node = self.child[node << 8 | byte]
+                held = self.below.get(node, ())
+                if held is not None:
+                    self.below[node] = held + (rank,) if len(held) < FEW else None
+        self.open_after: dict[int, int] = {}
         self.edges: dict[int, tuple[list, list] | None] = {}
         self._reset()
 
@@ -151,6 +163,19 @@ class Transducer:
             else:
                 j += 1
 
+    def _kept(self, last: int, node: int) -> int:
+        """Whether a token below ``node`` may follow ``last``: 0 none may, 1
+        some, 2 all.  Where many are below, 1."""
+        few = self.below[node]
+        if few is None:
+            return 1
+        key = last << 32 | node
+        told = self.open_after.get(key)
+        if told is None:
+            stay = sum([self._border_stays(last, token) for token in few])
+            told = self.open_after[key] = 0 if not stay else 2 if stay == len(few) else 1
+        return told
+
     def _move(self, state: int, byte: int) -> tuple[int, bytes]:
         emitted, places = self.configurations[state]
         child, token_at, inner, known = self.child, self.token_at, self.inner, self.side_by_side
@@ -169,7 +194,7 @@ class Transducer:
                         stays = known[key] = self._border_stays(last, token)
                     if stays:
                         here = (*tokens, token)
-            if node in inner:
+            if node in inner and self._kept(tokens[-1] if tokens else emitted, node):
                 after.append((node, tokens))
         shared = len(here)
         for _, tokens in after:
@@ -186,7 +211,7 @@ class Transducer:
             emitted = here[shared - 1]
             after = [(node, tokens[shared:]) for node, tokens in after]
         after.append((0, here[shared:]))
-        if all(tokens for _, tokens in after):
+        if all(tokens or node and self._kept(emitted, node) == 2 for node, tokens in after):
             emitted = -1  # no place asks what stood before it
         config = (emitted, tuple(after))
         number = self.numbers.get(config)
@@ -203,8 +228,9 @@ class Transducer:
             return whole.to_bytes(4, "little")
         if len(self.configurations) > MAX_STATES:
             self._reset()
-        if len(self.side_by_side) > 4 * MAX_STATES:
+        if len(self.side_by_side) + len(self.open_after) > 4 * MAX_STATES:
             self.side_by_side.clear()
+            self.open_after.clear()
         state, out, moves = 0, [], self.moves
         for byte in data:
             move = moves.get(state << 8 | byte)
@@ -242,18 +268,23 @@ class _Memo(dict):
         return ids
 
 
-class Tokenizer:
-    """Encodes and decodes whole texts with one rank file and one pattern."""
+class Encoder:
+    """Encodes whole texts with one rank file and one pattern."""
 
     def __init__(self, path: str, pattern: str):
-        ranks = load_ranks(path)
         self.split = regex.compile(pattern).findall
-        self.memo = _Memo(Transducer(ranks))
-        self.bytes_of = {i: t for t, i in ranks.items()}
+        self.memo = _Memo(Transducer(load_ranks(path)))
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.memo.__getitem__, self.split(text)))
 
+
+class Decoder:
+    """Decodes ids with one rank file."""
+
+    def __init__(self, path: str):
+        self.bytes_of = {rank: token for token, rank in load_ranks(path).items()}
+
     def decode(self, ids: bytes) -> Iterator[tuple[bytes, str]]:
         """Pieces of (bytes, text) of little-endian 32-bit ids."""
         machine, numbers = Utf8Machine(), np.frombuffer(ids, "<u4")
@@ -307,11 +338,16 @@ class Utf8Machine:
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str, pattern: str) -> Tokenizer:
+def encoder(path: str, pattern: str) -> Encoder:
     """One per worker process.  It makes many small tuples and no cycles, so
     the collector of cycles is told to look more seldom."""
     gc.set_threshold(200_000, 50, 100)
-    return Tokenizer(path, pattern)
+    return Encoder(path, pattern)
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def in_batches(rows: Iterator[tuple], schema: pa.Schema, size) -> Iterator[pa.RecordBatch]:
@@ -338,7 +374,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     id_type = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
-        coder = tokenizer(path, pattern)
+        coder = encoder(path, pattern)
         for batch in batches:
             rows = ((i.as_py(), coder.encode(t.as_py() or "")) for i, t in zip(batch["doc_id"], batch["text"]))
             schema = pa.schema([("doc_id", batch.schema.field("doc_id").type), ("ids", pa.binary())])
@@ -348,13 +384,13 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         run, f"doc_id {id_type}, ids binary")
 
 
-def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, decoded`` (bytes) and ``decoded_chars``."""
     on_workers(encoded.sparkSession)
     id_type = dict(encoded.dtypes)["doc_id"]
 
     def run(batches):
-        coder = tokenizer(path, pattern)
+        coder = decoder(path)
         for batch in batches:
             def one(i, ids):
                 pieces, chars = [], 0
@@ -377,7 +413,7 @@ def round_trip(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    return decode(encode(docs, path, pattern), path, pattern).select(
+    return decode(encode(docs, path, pattern), path).select(
         "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "decoded_chars")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from blotter.llm import bpe, edit_fingerprint, mixing, quality_rules, sharding, simhash, suffix_array, token_store, url_filter
+from blotter.llm import block_anchors, bpe, edit_fingerprint, mixing, quality_rules, sharding, simhash, suffix_array, token_store, url_filter
 
 QUERIES = {
     "op1_byte_bpe": bpe.query,
@@ -12,10 +12,12 @@ QUERIES = {
     "op5_quality_rules": quality_rules.query,
     "op6_source_mixing": mixing.query,
     "op7_url_filter": url_filter.query,
+    "op8_block_anchors": block_anchors.query,
     "op9_slot_sharding": sharding.query,
     "op10_suffix_array": suffix_array.query,
 }
 ORACLE = {
     "op5_quality_rules": quality_rules.SQL,
     "op7_url_filter": url_filter.SQL,
+    "op8_block_anchors": block_anchors.SQL,
 }

@@ -73,19 +73,21 @@ class Shard:
 
 
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
-    """64-bit hashes of the ``k`` bytes (any length) from each position."""
-    h, have, out, done = _TABLE[data], 1, None, 0
-    level = 0
+    """64-bit hashes of the ``k`` bytes from each position."""
+    return joint_hashes(_TABLE[data], k)
+
+
+def joint_hashes(h: np.ndarray, k: int, odd: np.ndarray = _ODD) -> np.ndarray:
+    """64-bit hashes of ``k`` values from each position, by doubling."""
+    have, out, done, level = 1, None, 0, 0
     while True:
         if k & have:
-            out = h if out is None else out[:len(h) - done] * _ODD[8 + level] + h[done:]
+            out = h if out is None else out[:max(0, len(h) - done)] * odd[8 + level] + h[done:]
             done += have
         if done == k:
             break
-        h = h[:-have] * _ODD[level] + h[have:] if len(h) > have else h[:0]
+        h = h[:-have] * odd[level] + h[have:] if len(h) > have else h[:0]
         have, level = 2 * have, level + 1
-        if not len(h):
-            return h
     out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return out ^ (out >> np.uint64(29))
 

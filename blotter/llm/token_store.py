@@ -48,7 +48,7 @@ END_ID = 2
 FRAME_BYTES = 256 << 10
 FILE_TEXT_BYTES = 8 << 20
 LEVEL = 3
-MEMO_CHUNKS = 400_000
+MEMO_CHUNKS = 700_000
 
 #: Fixed values of the seekable format.
 SKIPPABLE_INDEX, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -65,13 +65,14 @@ class ChunkTokenizer:
     """Whole texts through the tokenizers library, chunk by chunk.
 
     The vocabulary drops white space and no token spans it, so a text's ids
-    are the ids of its chunks between plain spaces and line ends; full stops
-    and commas that end a chunk after an ASCII letter or digit stand alone
-    too.  Texts with other white space go through the library whole.
+    are the ids of its chunks between white space.  Within a chunk, full
+    stops and commas at its end after an ASCII letter or digit are tokens of
+    their own, and ASCII letters count as lower case, so the library sees
+    each such core once.  Texts with white space that the library and Python
+    see differently go through the library whole.
     """
 
-    OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
-    STOPS = re.compile(r"(?<=[A-Za-z0-9])(?=[.,]+(?:[ \t\r\n]|\Z))")
+    OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -84,19 +85,34 @@ class ChunkTokenizer:
         encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _learn(self, chunks: set[str]) -> None:
+        known, older, parts = self.known, self.older, {}
+        for chunk in chunks:
+            ids = older.get(chunk)
+            if ids is not None:
+                known[chunk] = ids
+                continue
+            core = chunk.rstrip(".,")
+            if not core or not (core[-1].isascii() and core[-1].isalnum()):
+                core = chunk
+            tail = chunk[len(core):]
+            parts[chunk] = (core.lower() if core.isascii() else core, tail)
+        new = list({piece for pair in parts.values() for piece in pair if piece and piece not in known})
+        if new:
+            known.update(zip(new, self._ids(new)))
+        for chunk, (core, tail) in parts.items():
+            known[chunk] = known[core] + known[tail] if tail else known[core]
+
     def encode(self, text: str) -> bytes:
         if self.OTHER_SPACE.search(text):
             return self._ids([text])[0]
-        chunks = self.STOPS.sub(" ", text).split()
+        chunks = text.split()
         missing = set(chunks).difference(self.known)
         if missing:
-            if len(self.known) + len(missing) > MEMO_CHUNKS:
+            if len(self.known) > MEMO_CHUNKS:
                 self.older, self.known = self.known, {}
                 missing = set(chunks)
-            for chunk in missing & self.older.keys():
-                self.known[chunk] = self.older[chunk]
-            new = [c for c in missing if c not in self.known]
-            self.known.update(zip(new, self._ids(new)))
+            self._learn(missing)
         return b"".join(map(self.known.__getitem__, chunks))
 
 
