@@ -106,6 +106,18 @@ def apply_policy(rows: DataFrame, policy: str = CURRENT) -> DataFrame:
     return rows.filter(passes(policy))
 
 
+def filtered(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
+    """Rows of ``docs`` that pass the policy, all columns as they came.
+
+    The verdict goes through an ``explode``: a plain filter would be pushed
+    below the measurements and evaluate each of them once per use.
+    """
+    whole_row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
+    judged = ledger(docs.select(whole_row, "text")).select(
+        "__row", F.explode(F.array(F.when(passes(policy), F.lit(True)))).alias("__passes"))
+    return judged.filter("__passes").select("__row.*")
+
+
 def ablations(rows: DataFrame, policy: str = CURRENT) -> DataFrame:
     """``rule, failed, alone, kept_without`` for each rule of the policy.
 

@@ -1,7 +1,68 @@
-"""Placeholder until the stages exist."""
-STAGES = []
+"""From raw documents to token ids: five stages over the whole corpus.
+
+Each stage takes what its predecessor kept and returns the columns of
+``documents`` with its decisions carried out; the last returns the token ids.
+The driver that runs the stages writes and rereads each one's result; ``run``
+does the same in the shared folder, which also cuts the lineage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from blotter.llm import bpe, mixing, quality_rules, simhash, suffix_array
+from blotter.llm.native_text import documents
+from blotter.session import scratch_path
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the current quality policy."""
+    return quality_rules.filtered(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the smallest id, of each group of near duplicates."""
+    return simhash.representatives(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings that start earlier in the corpus too."""
+    cut = suffix_array.dedup(docs)
+    if "n_chars" not in docs.columns:
+        return cut
+    return cut.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    return mixing.mix(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, ids, n_tokens, ids_sha256, decoded_sha256`` per row."""
+    coded = bpe.round_trip(docs).select("doc_id", "ids", *bpe.digests())
+    return bpe.unpacked(coded)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("simhash_dedup", near_dedup),
+    ("suffix_array_dedup", substring_dedup),
+    ("source_mixing", mix_sources),
+    ("byte_bpe", tokenize),
+]
+
+#: XXH64, byte-level removal, dependent rounding and BPE are not SQL; the
+#: pipeline is tested against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to ``documents``."""
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        out = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(out)
+        docs = spark.read.parquet(out)
+    return STAGES[-1][1](spark, docs, sf_dir)
