@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from blotter.operators.joins import join_with_strategy
 from blotter.operators.naming import trim_column_names
-from blotter.plans.standins import ORDERS_CSV_DDL, orders_csv, table
+from blotter.plans.standins import ORDERS_CSV_DDL, orders_csv, orders_csv_reordered, table
 from blotter.session import scratch_path
 from blotter.sources.files import read_csv, read_delimited, union_files
 from blotter.sources.sinks import csv_to_parquet, list_tables, write_csv
@@ -52,29 +52,57 @@ def q_union_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_scan_csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two exports whose headers differ: other order, one undeclared column."""
+    return key_range_by_status(read_csv(spark, orders_csv_reordered(spark, sf_dir), schema=ORDERS_CSV_DDL))
+
+
 CONVERTED = ["orders", "customer"]
 
 
+def _export_folder(spark: SparkSession, sf_dir: str, src: str) -> None:
+    """A folder as exports leave it: a compressed table, a table in partition
+    folders, and a nested file that is no table of the folder."""
+    write_csv(table(spark, sf_dir, "orders"), f"{src}/orders.csv", compression="gzip")
+    write_csv(table(spark, sf_dir, "customer"), f"{src}/customer.csv", partition_by=["c_mktsegment"])
+    write_csv(table(spark, sf_dir, "region"), f"{src}/archive/region.csv")
+
+
+def _declared(spark: SparkSession, sf_dir: str, name: str):
+    """Types of the columns in a table's files (partition folders hold one)."""
+    found = table(spark, sf_dir, name).schema
+    return StructType([f for f in found.fields if f.name != "c_mktsegment"])
+
+
 def q_csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export two tables as CSV into one folder, convert the folder."""
     src, dst = scratch_path(spark, "csv-in"), scratch_path(spark, "parquet-out")
-    names = CONVERTED
-    for name in names:
-        write_csv(table(spark, sf_dir, name), f"{src}/{name}.csv")
+    _export_folder(spark, sf_dir, src)
     # the folder's tables are discovered, not named; types stay declared
     found = list_tables(spark, src)
-    return csv_to_parquet(spark, src, dst, {name: table(spark, sf_dir, name).schema for name in found})
+    return csv_to_parquet(spark, src, dst, {name: _declared(spark, sf_dir, name) for name in found})
+
+
+def q_csv_to_parquet_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder converted twice; the second conversion replaces the first."""
+    src, dst = scratch_path(spark, "csv-in"), scratch_path(spark, "parquet-out")
+    _export_folder(spark, sf_dir, src)
+    tables = {name: _declared(spark, sf_dir, name) for name in CONVERTED}
+    csv_to_parquet(spark, src, dst, tables)
+    return csv_to_parquet(spark, src, dst, tables, mode="overwrite")
 
 
 def q_csv_to_parquet_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same conversion as a file stream run to completion (availableNow)."""
+    """The conversion as a file stream run to completion, twice: the second
+    half of each table arrives between the runs."""
     src, dst = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
     readbacks = []
     for name in CONVERTED:
         t = table(spark, sf_dir, name)
-        write_csv(t, f"{src}/{name}.csv")
-        query = convert_csv_folder(spark, f"{src}/{name}.csv", f"{dst}/{name}.parquet", t.schema)
-        query.awaitTermination()
+        late = F.col(t.columns[0]) % 2 == 0
+        for rows in (t.filter(~late), t.filter(late)):
+            write_csv(rows, f"{src}/{name}.csv", mode="append")
+            convert_csv_folder(spark, f"{src}/{name}.csv", f"{dst}/{name}.parquet", t.schema).awaitTermination()
         readbacks.append(
             spark.read.parquet(f"{dst}/{name}.parquet").select(F.lit(name).alias("table_name"))
         )
@@ -110,9 +138,11 @@ QUERIES = {
     "scan_parquet": q_scan_parquet,
     "scan_csv_schema": q_scan_csv_schema,
     "scan_csv_infer": q_scan_csv_infer,
+    "scan_csv_reordered": q_scan_csv_reordered,
     "scan_text_delimited": q_scan_text_delimited,
     "union_files": q_union_files,
     "csv_to_parquet": q_csv_to_parquet,
+    "csv_to_parquet_overwrite": q_csv_to_parquet_overwrite,
     "csv_to_parquet_stream": q_csv_to_parquet_stream,
     "rename_trim": q_rename_trim,
     "select_left_plus": q_select_left_plus,
@@ -122,9 +152,11 @@ ORACLE = {
     "scan_parquet": _KEY_RANGE_SQL,
     "scan_csv_schema": _KEY_RANGE_SQL,
     "scan_csv_infer": _KEY_RANGE_SQL,
+    "scan_csv_reordered": _KEY_RANGE_SQL,
     "scan_text_delimited": _STATUS_COUNT_SQL,
     "union_files": _STATUS_COUNT_SQL,
     "csv_to_parquet": _CONVERTED_SQL,
+    "csv_to_parquet_overwrite": _CONVERTED_SQL,
     "rename_trim": "SELECT c_custkey, c_name FROM customer",
     "csv_to_parquet_stream": _CONVERTED_SQL,
     "select_left_plus": """SELECT o.*, c.c_mktsegment FROM orders o

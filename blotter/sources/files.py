@@ -6,14 +6,14 @@ files are split into tasks together, and one schema applies to all of them.
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructType
-
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 
 def _paths(paths: str | Sequence[str]) -> list[str]:
@@ -35,6 +35,29 @@ def read_parquet(
     return df.select(*columns) if columns else df
 
 
+def _header(spark: SparkSession, path: str, sep: str, glob: str | None) -> list[str]:
+    """Column names in the header line of ``path`` (of its first file, if it
+    is a folder): a bounded peek at one line."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    first = reader.text(path).filter(F.col("_metadata.file_block_start") == 0).select("value").limit(1).collect()
+    return next(csv.reader([first[0]["value"]], delimiter=sep)) if first else []
+
+
+def _in_header_order(schema: StructType, header: Sequence[str], path: str) -> tuple[StructType, list[Column]]:
+    """The schema of a file with this header, and the declared columns of it.
+
+    Names match exactly or else but for blanks around them; undeclared
+    columns are text, a missing declared one is an error."""
+    place = {name.strip(): name for name in header} | {name: name for name in header}
+    found = {f.name: place.get(f.name, place.get(f.name.strip())) for f in schema.fields}
+    missing = [name for name, at in found.items() if at is None]
+    if missing:
+        raise ValueError(f"{path}: header lacks declared columns {missing}")
+    types = {found[f.name]: f.dataType for f in schema.fields}
+    bound = StructType([StructField(name, types.get(name, StringType())) for name in header])
+    return bound, [F.col(f"`{found[f.name]}`").alias(f.name) for f in schema.fields]
+
+
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -47,9 +70,16 @@ def read_csv(
 ) -> DataFrame:
     """CSV scan with a header row.
 
-    With ``schema`` (the default path) reading starts no job and malformed
-    fields become NULL.  With ``schema=None`` types are inferred; pass
-    ``sampling_ratio`` to infer from a sample instead of a full extra pass.
+    With ``schema`` (the default path) columns are bound by *name*: each
+    path's header line says where a declared column stands, columns that are
+    not declared are left out, and a declared one that is missing raises.
+    Paths with one header order are one scan, and several scans are unioned
+    by name.  Within a folder all files must have the same header; a file
+    that differs fails the read instead of mixing columns.  Malformed fields
+    become NULL.  Without a header row columns are bound by position.
+
+    With ``schema=None`` types are inferred; pass ``sampling_ratio`` to infer
+    from a sample instead of a full extra pass.
     ``mode='DROPMALFORMED'`` drops rows whose fields do not fit the schema -
     but only fields a query reads are parsed, so a bare ``count()`` drops
     nothing; select the columns that must be well-formed first.
@@ -59,13 +89,24 @@ def read_csv(
     reader = spark.read.option("header", header).option("sep", sep).option("mode", mode)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
+    if schema is None:
         reader = reader.option("inferSchema", True)
         if sampling_ratio is not None:
             reader = reader.option("samplingRatio", sampling_ratio)
-    return reader.csv(_paths(paths))
+        return reader.csv(_paths(paths))
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if not header:
+        return reader.schema(schema).csv(_paths(paths))
+    scans: dict[tuple[str, ...], list[str]] = {}
+    for path in _paths(paths):
+        scans.setdefault(tuple(_header(spark, path, sep, glob)), []).append(path)
+    frames = []
+    for names, same in scans.items():
+        # an empty path has no header and no rows
+        bound, columns = _in_header_order(schema, names or schema.names, same[0])
+        frames.append(reader.option("enforceSchema", False).schema(bound).csv(same).select(*columns))
+    return union_files(frames)
 
 
 def read_delimited(

@@ -31,8 +31,11 @@ def write_csv(
     mode: str = "errorifexists",
     header: bool = True,
     partition_by: Sequence[str] | None = None,
+    compression: str | None = None,
 ) -> None:
     writer = df.write.mode(mode).option("header", header)
+    if compression:
+        writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
@@ -40,24 +43,19 @@ def write_csv(
 
 def list_tables(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
     """Names of the entries directly under ``folder`` that end in ``suffix``:
-    single files (``a.csv``) or folders of part files (``a.csv/part-0.csv``).
+    single files, or folders of part files whatever those are called
+    (compressed, without a suffix, in partition folders).
 
     Files are listed by Spark's file index (the ``binaryFile`` source with
     its content column pruned, so no file is read); names are reduced to
     distinct values on the cluster and only those reach the driver.
     """
-    ext = re.escape(suffix)
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select("path")
-    )
-    in_folder = F.regexp_extract("path", rf"/([^/]+){ext}/[^/]+$", 1)
-    single = F.regexp_extract("path", rf"/([^/]+){ext}$", 1)
-    name = F.when(in_folder != "", in_folder).otherwise(single).alias("name")
-    return sorted(r["name"] for r in files.select(name).distinct().collect() if r["name"])
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    top = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    below = F.substring(F.col("path"), len(top) + 2, 1 << 30)
+    entry = F.regexp_extract(below, rf"^([^/]+){re.escape(suffix)}(?:/|$)", 1).alias("name")
+    return sorted(r["name"] for r in files.select(entry).distinct().collect() if r["name"])
 
 
 def csv_to_parquet(

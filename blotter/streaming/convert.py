@@ -14,8 +14,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from blotter.session import scratch_path
-
 
 def convert_csv_folder(
     spark: SparkSession,
@@ -30,13 +28,16 @@ def convert_csv_folder(
 ) -> StreamingQuery:
     """Start converting CSV files under ``in_dir`` to Parquet in ``out_dir``.
 
-    A file stream needs an explicit ``schema``.  ``checkpoint`` defaults to a
-    fresh folder under ``spark.checkpoint.dir``; pass a stable one to resume
-    where a previous run stopped.  With ``available_now`` the query processes
+    A file stream needs an explicit ``schema``, in header order; a file with
+    another header fails the query.  ``checkpoint`` defaults to a folder
+    inside ``out_dir`` that readers skip, next to the sink's own log: the two
+    belong together, so every run continues where the last one stopped.  With ``available_now`` the query processes
     everything present at start (in several batches if
     ``max_files_per_trigger`` is set) and stops; otherwise it keeps watching.
     """
     reader = spark.readStream.schema(schema).option("header", header)
+    if header:
+        reader = reader.option("enforceSchema", False)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -45,7 +46,7 @@ def convert_csv_folder(
     writer = (
         stream.writeStream.format("parquet")
         .option("path", out_dir)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "convert-ckpt"))
+        .option("checkpointLocation", checkpoint or f"{out_dir.rstrip('/')}/_convert_checkpoint")
         .outputMode("append")
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

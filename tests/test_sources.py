@@ -100,3 +100,40 @@ def test_read_parquet_with_declared_schema(spark):
                       schema="n_nationkey INT, n_name STRING, n_regionkey INT")
     assert df.dtypes == [("n_nationkey", "int"), ("n_name", "string")]
     assert df.count() == 25
+
+
+def test_csv_columns_are_bound_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,area,weapon\n1,10,100\n2,20,200\n")
+    (tmp_path / "b.csv").write_text("id,weapon,extra,area\n3,100,x,10\n")
+    schema = "id int, area int, weapon int"
+    paths = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    got = read_csv(spark, paths, schema=schema)
+    assert got.columns == ["id", "area", "weapon"]
+    assert sorted(map(tuple, got.collect())) == [(1, 10, 100), (2, 20, 200), (3, 10, 100)]
+    (tmp_path / "c.csv").write_text("id,area\n4,40\n")
+    with pytest.raises(ValueError, match="weapon"):
+        read_csv(spark, [*paths, str(tmp_path / "c.csv")], schema=schema)
+
+
+def test_csv_folder_with_mixed_headers_fails_instead_of_mixing(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,area,weapon\n1,10,100\n")
+    (tmp_path / "b.csv").write_text("id,weapon,area\n3,100,10\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path), schema="id int, area int, weapon int").collect()
+
+
+def test_list_tables_takes_direct_children_of_any_layout(spark, tmp_path):
+    import gzip
+
+    from blotter.sources import list_tables
+
+    for folder in ("sub", "gz.csv", "plain.csv", "part.csv/k=1"):
+        (tmp_path / folder).mkdir(parents=True)
+    (tmp_path / "top.csv").write_text("a\n1\n")
+    (tmp_path / "sub" / "nested.csv").write_text("a\n1\n")
+    (tmp_path / "gz.csv" / "part-0.csv.gz").write_bytes(gzip.compress(b"a\n1\n2\n"))
+    (tmp_path / "plain.csv" / "part-0001").write_text("a\n1\n2\n3\n")
+    (tmp_path / "part.csv" / "k=1" / "part-0001.csv").write_text("a\n1\n")
+    assert list_tables(spark, str(tmp_path)) == ["gz", "part", "plain", "top"]
+    out = csv_to_parquet(spark, str(tmp_path), str(tmp_path / "out"))
+    assert sorted(map(tuple, out.collect())) == [("gz", 2), ("part", 1), ("plain", 3), ("top", 1)]

@@ -22,6 +22,16 @@ def test_conversion_resumes_and_never_duplicates(spark, tmp_path):
     assert spark.read.parquet(str(dst)).count() == 3
 
 
+def test_default_checkpoint_resumes(spark, tmp_path):
+    src, dst = tmp_path / "in", tmp_path / "out"
+    src.mkdir()
+    (src / "a.csv").write_text("k,v\n1,x\n2,y\n")
+    convert_csv_folder(spark, str(src), str(dst), "k int, v string").awaitTermination()
+    (src / "b.csv").write_text("k,v\n3,z\n4,w\n5,u\n")
+    convert_csv_folder(spark, str(src), str(dst), "k int, v string").awaitTermination()
+    assert sorted(r.k for r in spark.read.parquet(str(dst)).collect()) == [1, 2, 3, 4, 5]
+
+
 def test_part_of_day_counts_run_on_a_file_stream(spark):
     """The batch operators compose on a streaming DataFrame (complete mode)."""
     import uuid
