@@ -28,13 +28,14 @@ def decode_codes(
 
     Give a small ``mapping`` (literal map in the expression) or a ``table``
     of ``(code, label)`` rows, which is joined - broadcast or shuffled as
-    AQE measures it - so a code list of any size works.
+    AQE measures it - so a code list of any size works.  A code listed twice
+    has its smallest label; rows never multiply.
     """
     if (mapping is None) == (table is None):
         raise ValueError("give exactly one of mapping or table")
     if mapping is not None:
         return df.withColumn(column, decode(column, mapping))
-    lookup = table.select(F.col(code_col).alias("_code"), F.col(label_col).alias("_label"))
+    lookup = table.groupBy(F.col(code_col).alias("_code")).agg(F.min(label_col).alias("_label"))
     joined = df.join(lookup, F.col(column) == F.col("_code"), "left")
     return joined.withColumn(column, F.coalesce("_label", column)).drop("_code", "_label")
 

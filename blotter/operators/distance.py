@@ -24,6 +24,7 @@ def distance_by_group(
     digits: int | None = 6,
     count_name: str = "incidents_total",
     salt: int | None = None,
+    salt_by: Sequence[str] | None = None,
     distance: Callable[[Column, Column, Column, Column], Column] = haversine_km,
 ) -> DataFrame:
     """``group, average_distance, <count_name>`` for facts joined to stations.
@@ -33,22 +34,23 @@ def distance_by_group(
     distance is a native expression evaluated in the join's codegen stage and
     immediately reduced by a partial aggregate, so only per-task partial sums
     per group are shuffled - a group holding a third of all rows costs no
-    more shuffle than any other.  ``strategy=None`` broadcasts the stations
-    after a row-count check and falls back to a shuffle join beyond it.
+    more shuffle than any other.  ``strategy=None`` gives no hint: stations
+    within Spark's byte threshold are broadcast, otherwise AQE measures both
+    sides and splits hot keys.  Where ``group`` equals ``on`` the aggregate
+    could reuse the join's partitioning, which keeps AQE from splitting; the
+    session therefore sets ``forceOptimizeSkewedJoin``, and sessions without
+    it can ``salt`` (by the unique columns ``salt_by``).
     ``dedupe`` (an ordering column) keeps one station per key; otherwise
     every matching station counts.  ``distance``
     maps (lat1, lon1, lat2, lon2) columns to km; keep it a native expression.
     """
-    # No strategy: broadcast the stations if their row count passes the
-    # check (the facts are then never shuffled), else a shuffle join.
-    strategy = strategy or "broadcast"
     groups = [group] if isinstance(group, str) else list(group)
     keys = [on] if isinstance(on, str) else list(on)
     flat, flon = fact_point
     slat, slon = station_point
     facts = drop_null_island(facts, flat, flon)
     stations = drop_null_island(stations, slat, slon)
-    joined = join_with_strategy(facts, stations, keys, "inner", strategy, dedupe=dedupe, salt=salt)
+    joined = join_with_strategy(facts, stations, keys, "inner", strategy, dedupe=dedupe, salt=salt, salt_by=salt_by)
     # Distance in a projection, not inside the aggregate: the projection's
     # generated code computes the repeated haversine term once per row.
     dist = distance(F.col(flat), F.col(flon), F.col(slat), F.col(slon))

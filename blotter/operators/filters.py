@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DateType,
-    FractionalType,
-    IntegralType,
     TimestampNTZType,
     TimestampType,
 )
@@ -21,13 +19,11 @@ from blotter.functions.text import INCIDENT_TS_FORMAT, as_text, parse_ts
 
 
 def _typed_literal(value, dtype: DataType):
-    """Bring a code given as text to the column's type, so the predicate is
-    ``EqualTo(col, 101)`` and not a per-row cast of the column."""
-    if isinstance(dtype, IntegralType):
-        return F.lit(int(value)).cast(dtype)
-    if isinstance(dtype, FractionalType):
-        return F.lit(float(value)).cast(dtype)
-    return F.lit(str(value))
+    """A code given as text in the column's type, so the predicate is
+    ``EqualTo(col, 101)`` and not a per-row cast of the column.  Catalyst
+    folds the cast; text that is no value of the type becomes NULL, which
+    equals nothing."""
+    return F.lit(str(value)).try_cast(dtype)
 
 
 def code_filter(df: DataFrame, column: str, code) -> DataFrame:

@@ -5,14 +5,16 @@ re-plans at runtime from the *measured* shuffle sizes - converting to a
 broadcast join when one side turns out small, splitting skewed partitions
 otherwise.  That is the right choice for almost every join here.
 
-An explicit ``'broadcast'`` is honoured only after a row-count check of the
-side to broadcast; beyond the bound the join falls back to a shuffle
-join, so a dimension that grows with the data can never be pushed whole into
-every executor's memory.
+A strategy asked for by name becomes a hint.  ``'broadcast'`` is put on a side
+only while the optimizer's estimate of its bytes is within a bound; the
+estimate comes with the plan, so asking for it starts no job.
 """
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 import warnings
 from collections.abc import Sequence
 
@@ -21,30 +23,34 @@ from pyspark.sql import functions as F
 
 STRATEGIES = ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 
-# Session setting (non-Spark key) and its default: most rows we will broadcast.
-MAX_BROADCAST_ROWS_CONF = "blotter.broadcast.maxRows"
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+# Session setting (non-Spark key) and its default: most bytes a hint broadcasts.
+MAX_BROADCAST_BYTES_CONF = "blotter.broadcast.maxBytes"
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
+_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
 
-def max_broadcast_rows(df: DataFrame, override: int | None = None) -> int:
-    if override is not None:
-        return override
-    return int(df.sparkSession.conf.get(MAX_BROADCAST_ROWS_CONF, str(DEFAULT_MAX_BROADCAST_ROWS)))
 
+def estimated_bytes(df: DataFrame) -> float:
+    """The optimizer's size estimate of ``df``, from its plan (no job);
+    infinite where the plan gives none."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("cost")
+    found = re.search(r"Statistics\(sizeInBytes=([\d.E+]+) (\w+)", text.getvalue())
+    return float(found.group(1)) * _UNITS.get(found.group(2), float("inf")) if found else float("inf")
 
-def broadcast_fits(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
 
-    A plain ``count()``: each task counts its own split and only one number
-    per task reaches the final sum.  (``limit(n).count()`` would instead move
-    up to n rows of every task through a single partition.)
-    """
-    return df.count() <= max_broadcast_rows(df, max_rows)
+def broadcast_fits(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True while the estimated size of ``df`` is within the bound."""
+    if max_bytes is None:
+        max_bytes = int(df.sparkSession.conf.get(MAX_BROADCAST_BYTES_CONF, str(DEFAULT_MAX_BROADCAST_BYTES)))
+    return estimated_bytes(df) <= max_bytes
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """One row per key: the row with the smallest ``order_col`` (remaining
-    columns break ties, so the choice is deterministic).
+    columns break ties, so the choice is deterministic).  A NULL order value
+    comes after all others; a key with NULLs only keeps one of its rows.
 
     Written as an aggregate (min over a struct), not a window: the reduction
     is partial on the map side, so a key holding a third of all rows is
@@ -52,7 +58,8 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys and c != order_col]
-    packed = F.min(F.struct(F.col(order_col), *[F.col(c) for c in rest])).alias("_kept")
+    packed = F.min(F.struct(
+        F.col(order_col).isNull().alias("_unordered"), F.col(order_col), *[F.col(c) for c in rest])).alias("_kept")
     kept = df.groupBy(*keys).agg(packed)
     fields = [F.col("_kept").getField(c).alias(c) for c in [order_col, *rest]]
     return kept.select(*[F.col(k) for k in keys], *fields).select(*df.columns)
@@ -61,18 +68,22 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
 _SALTABLE = {"inner", "left", "leftouter", "left_outer", "left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti"}
 
 
-def salted(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, salt: int):
+def salted(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, salt: int, by: Sequence[str] | None = None
+):
     """Spread every key of ``left`` over ``salt`` sub-keys and replicate
     ``right`` once per sub-key, so a hot key is joined by ``salt`` tasks.
 
-    The sub-key is a hash of the whole row (not ``rand()``): a recomputed
+    The sub-key is a hash of the columns ``by`` (not ``rand()``): a recomputed
     task assigns the same sub-keys, so retries after a lost executor neither
-    drop nor duplicate rows.  Exact for joins that preserve only the left
-    side; ``right`` grows ``salt`` times, so use it for dimension-sized sides.
+    drop nor duplicate rows.  Name a unique column in ``by``; without it the
+    whole row is hashed, and equal rows share one sub-key.  Exact for joins
+    that preserve only the left side; ``right`` grows ``salt`` times, so use
+    it for dimension-sized sides.
     """
     if how.lower() not in _SALTABLE:
         raise ValueError(f"salting replicates the right side; not valid for {how!r} joins")
-    sub = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salt))
+    sub = F.pmod(F.xxhash64(*[F.col(c) for c in by or left.columns]), F.lit(salt))
     left = left.withColumn("_salt", sub)
     right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
     return left, right, [*keys, "_salt"]
@@ -85,9 +96,10 @@ def join_with_strategy(
     how: str = "inner",
     strategy: str | None = None,
     dedupe: str | None = None,
-    max_rows: int | None = None,
+    max_bytes: int | None = None,
     bounded: bool = False,
     salt: int | None = None,
+    salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join ``left`` with ``right`` under an optional strategy hint.
 
@@ -102,24 +114,23 @@ def join_with_strategy(
     the smallest value per key, i.e. one partner per key.
 
     ``bounded=True`` declares that ``right`` has a size bound by construction
-    (a top-k list, a literal table) and skips the broadcast size check.
-    NULL keys never match, whatever the strategy.
+    (a top-k list, a literal table) and skips the broadcast size check
+    (``max_bytes``, by default the session's bound).  NULL keys never match, whatever the strategy.
 
-    ``salt=n`` splits each key of a shuffle join over n tasks (see
-    :func:`salted`).  AQE's skew-join splitting does this adaptively and is
+    ``salt=n`` splits each key of a shuffle join over n tasks by the columns
+    ``salt_by`` (see :func:`salted`).  AQE's skew-join splitting does this adaptively and is
     the default; salting is for sessions where it is off or does not apply.
     """
     if (dedupe is not None or salt) and isinstance(on, Column):
         raise ValueError("dedupe and salt need join keys given by name")
     keys = None if isinstance(on, Column) else ([on] if isinstance(on, str) else list(on))
-    # The size check runs on the side as given: de-duplication only removes
-    # rows, so this bounds the reduced side without computing it twice.
+    # The side as given bounds the reduced one: de-duplication removes rows.
     unreduced = right
     if dedupe is not None:
         right = keep_first(right, keys, dedupe)
     if salt and salt > 1 and strategy != "broadcast":
-        left, right, on = salted(left, right, keys, how, salt)
-        return join_with_strategy(left, right, on, how, strategy, max_rows=max_rows).drop("_salt")
+        left, right, on = salted(left, right, keys, how, salt, salt_by)
+        return join_with_strategy(left, right, on, how, strategy, max_bytes=max_bytes).drop("_salt")
     if strategy is None:
         return left.join(right, on, how)
     if strategy not in STRATEGIES:
@@ -136,9 +147,9 @@ def join_with_strategy(
             stacklevel=2,
         )
         return left.join(right, on, how)
-    if strategy == "broadcast" and not bounded and not broadcast_fits(unreduced, max_rows):
+    if strategy == "broadcast" and not bounded and not broadcast_fits(unreduced, max_bytes):
         warnings.warn(
-            "broadcast side exceeds the row bound; using a shuffle join instead",
+            "broadcast side exceeds the byte bound; leaving the choice to the planner",
             RuntimeWarning,
             stacklevel=2,
         )
@@ -170,14 +181,9 @@ def geo_enrich(
     return join_with_strategy(rounded, lookup, keys, "left", strategy).drop(*keys)
 
 
-def semi_join_keys(
-    facts: DataFrame, keys: DataFrame, key: str | Sequence[str], bounded: bool = False
-) -> DataFrame:
+def semi_join_keys(facts: DataFrame, keys: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keep facts whose key appears in ``keys`` (``left_semi``: no fan-out,
-    no columns from ``keys``).  ``bounded=True`` broadcasts the key list,
-    for lists that are small by construction such as a top-k result."""
+    no columns from ``keys``).  A short key list is broadcast by the planner
+    or, once measured, by AQE."""
     names = [key] if isinstance(key, str) else list(key)
-    right = keys.select(*names)
-    if bounded:
-        right = F.broadcast(right)
-    return facts.join(right, names, "left_semi")
+    return facts.join(keys.select(*names), names, "left_semi")

@@ -47,6 +47,7 @@ def top_k_groups(
     ascending: bool = False,
     nulls: str = "drop",
     sort: bool = True,
+    also: Sequence[Column] = (),
 ) -> DataFrame:
     """The ``k`` groups with the highest (or lowest) ``measure``.
 
@@ -54,6 +55,7 @@ def top_k_groups(
     ``first`` when the measure is constant per key).  ``nulls`` is ``drop``
     (NULL measures never qualify), ``first`` or ``last``; the key breaks
     ties, NULL key placed like NULL measures.  ``k=None`` keeps every group.
+    ``also``: further aggregates per key (named), kept for the chosen groups.
 
     With ``k`` set this plans as TakeOrderedAndProject: each task keeps its
     own k best, and one task merges k x tasks rows - bounded regardless of
@@ -61,7 +63,7 @@ def top_k_groups(
     """
     if nulls not in ("drop", "first", "last"):
         raise ValueError(f"nulls must be drop/first/last, got {nulls!r}")
-    per_key = df.groupBy(key).agg(F.max(measure).alias(measure))
+    per_key = df.groupBy(key).agg(F.max(measure).alias(measure), *also)
     if nulls == "drop":
         per_key = per_key.filter(F.col(measure).isNotNull())
     nulls_first = nulls == "first"

@@ -4,23 +4,16 @@ Facts are enriched with a ZIP code (left join on exact coordinates) and the
 ZIP's median income (left join on the ZIP text), the top or bottom k ZIPs by
 income are chosen, and victims in those ZIPs are counted by decoded descent.
 
-Plan choices, all for scale:
-
-* If the coordinate lookup passes the broadcast row-count check, every scan
-  task joins its own incidents to it and counts per ``(zip, code)``; only
-  those partial counts are shuffled - nothing proportional to the facts.
-* Otherwise (or when a shuffle join is requested) facts are first reduced
-  to ``(lat, lon, code) -> n`` by a partial aggregate inside each scan task,
-  so a hot coordinate (or the NULL coordinate) is one row per task, and the
-  shuffle join sees one row per distinct point and code.  Counts are summed
-  afterwards, so duplicate lookup rows fan out exactly like a row-level join.
-* Everything after the ZIP join works on ZIP-sized data.  That table is read
-  twice (to choose ZIPs, then to count in them), so it is materialized once
-  with ``checkpoint()`` in the shared checkpoint folder: the facts are
-  scanned once, and a lost executor cannot lose it.
-* Top-k is ``orderBy + limit`` (TakeOrderedAndProject, bounded), and the
-  chosen keys - at most k rows by construction - are broadcast into a
-  ``left_semi`` join.  Decoding runs on the few aggregated rows.
+One lazy plan reads the facts once:
+
+* The coordinate lookup is joined without a hint: within Spark's byte
+  threshold it is broadcast and the facts stay where they are; a lookup that
+  grows with the data is a shuffle join on the coordinates, where AQE splits a
+  hot point.  Counts per ``(zip, code)`` follow, partial per task.
+* Incomes are joined to those counts, and each ZIP becomes one row: its
+  income and the list of its (code, count) pairs, as long as there are codes.
+* Top-k is ``orderBy + limit`` (TakeOrderedAndProject, bounded) on the ZIP
+  rows; the chosen rows already hold their counts, so nothing is read again.
 """
 
 from __future__ import annotations
@@ -30,13 +23,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.functions.codes import DESCENT_CODES
 from blotter.functions.text import parse_currency
 from blotter.operators.aggregates import decode_codes
 from blotter.operators.filters import require_not_null, year_filter
-from blotter.operators.joins import broadcast_fits, geo_enrich, join_with_strategy, semi_join_keys
+from blotter.operators.joins import geo_enrich, join_with_strategy
 from blotter.operators.naming import rename_strict
 from blotter.operators.ranking import top_k_groups
-from blotter.plans.cleaning import STATUS_LABELS
 from blotter.plans.standins import (
     GEO_SQL,
     INC_SQL,
@@ -45,7 +38,6 @@ from blotter.plans.standins import (
     order_facts_sql,
     order_incidents,
 )
-from blotter.session import checkpoint_base
 
 # Year of the year-restricted variant (a filter on the stored timestamp).
 YEAR = 1998
@@ -69,36 +61,16 @@ def zip_status_counts(
     income: DataFrame,
     strategy: str | None = None,
     code_col: str = "status",
-    max_rows: int | None = None,
-    materialize: bool = False,
 ) -> DataFrame:
     """``zip, status, n, income``: incident counts per ZIP and code.
 
     Facts need ``lat, lon`` and ``code_col``.  ZIP is NULL for incidents at
     points missing from ``geo``; income is NULL for ZIPs missing from it.
-    ``strategy`` hints both lookup joins; ``merge`` and ``shuffle_hash``
-    (and a lookup over the broadcast bound) take the pre-aggregated path.
-    ``materialize=True`` checkpoints the (ZIP-sized) result in the shared
-    checkpoint folder, for callers that read it more than once.
+    Duplicate lookup rows fan out.  ``strategy`` hints both lookup joins.
     """
-    lookup = geo.select("lat", "lon", "zip")
-    direct = strategy in (None, "broadcast", "shuffle_replicate_nl") and broadcast_fits(
-        lookup, max_rows
-    )
-    if direct:
-        located = facts.select("lat", "lon", code_col).join(
-            F.broadcast(lookup), ["lat", "lon"], "left"
-        )
-        per_zip = located.groupBy("zip", code_col).agg(F.count(F.lit(1)).alias("n"))
-    else:
-        points = facts.groupBy("lat", "lon", code_col).agg(F.count(F.lit(1)).alias("n"))
-        with_zip = geo_enrich(points, lookup, ["lat", "lon"], ["zip"], strategy)
-        per_zip = with_zip.groupBy("zip", code_col).agg(F.sum("n").alias("n"))
-    counts = join_with_strategy(per_zip, income, "zip", "left", strategy)
-    if materialize:
-        checkpoint_base(counts.sparkSession)
-        counts = counts.checkpoint(eager=True)
-    return counts
+    located = geo_enrich(facts.select("lat", "lon", code_col), geo, ["lat", "lon"], ["zip"], strategy)
+    per_zip = located.groupBy("zip", code_col).agg(F.count(F.lit(1)).alias("n"))
+    return join_with_strategy(per_zip, income, "zip", "left", strategy)
 
 
 def victims_by_descent(
@@ -106,46 +78,40 @@ def victims_by_descent(
     k: int | None = 3,
     ascending: bool = False,
     nulls: str = "drop",
-    mapping: Mapping[str, str] = STATUS_LABELS,
+    mapping: Mapping[str, str] = DESCENT_CODES,
     code_col: str = "status",
 ) -> DataFrame:
     """``<code_col>, n`` for incidents in the top (or bottom) k ZIPs by income.
 
-    ``counts`` is read twice (to choose ZIPs, then to count in them): pass
-    ``zip_status_counts(..., materialize=True)`` so the facts are scanned
-    once, also across several calls (top and bottom from one table).
+    Incidents without a ZIP are in no chosen ZIP, even if the NULL group
+    takes one of the k places.
     """
-    keys = top_k_groups(counts, "zip", "income", k, ascending, nulls, sort=False)
-    chosen = semi_join_keys(counts, keys, "zip", bounded=k is not None)
-    decoded = decode_codes(chosen, code_col, mapping)
-    out = decoded.groupBy(code_col).agg(F.sum("n").alias("n"))
+    codes = F.collect_list(F.struct(F.col(code_col), "n")).alias("_codes")
+    zips = top_k_groups(counts, "zip", "income", k, ascending, nulls, sort=False, also=[codes])
+    chosen = zips.filter(F.col("zip").isNotNull()).select(F.inline("_codes"))
+    per_code = chosen.groupBy(code_col).agg(F.sum("n").alias("n"))
+    out = decode_codes(per_code, code_col, mapping).groupBy(code_col).agg(F.sum("n").alias("n"))
     return out.orderBy(F.col("n").desc(), F.col(code_col).asc_nulls_first())
 
 
 # ------------------------------------------------------------------ roster
-def _counts(
-    spark: SparkSession, sf_dir: str, strategy: str | None = None, materialize: bool = False
-) -> DataFrame:
+def _counts(spark: SparkSession, sf_dir: str, strategy: str | None = None) -> DataFrame:
     facts = require_not_null(order_incidents(spark, sf_dir), ["status", "priority"])
-    return zip_status_counts(
-        facts, geo_lookup(spark), clean_income(income_raw(spark)), strategy, materialize=materialize
-    )
+    return zip_status_counts(facts, geo_lookup(spark, sf_dir), clean_income(income_raw(spark, sf_dir)), strategy)
 
 
 def q_descent_top_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-3 ZIP victims for one year; the year test reaches the Parquet scan."""
     facts = year_filter(order_incidents(spark, sf_dir), "o_orderdate", YEAR)
     facts = require_not_null(facts, ["status", "priority"])
-    counts = zip_status_counts(
-        facts, geo_lookup(spark), clean_income(income_raw(spark)), materialize=True
-    )
+    counts = zip_status_counts(facts, geo_lookup(spark, sf_dir), clean_income(income_raw(spark, sf_dir)))
     return victims_by_descent(counts, 3, ascending=False)
 
 
 def q_geo_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = require_not_null(order_incidents(spark, sf_dir), ["status", "priority"])
     points = facts.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("n"))
-    enriched = geo_enrich(points, geo_lookup(spark), ["lat", "lon"], ["zip"])
+    enriched = geo_enrich(points, geo_lookup(spark, sf_dir), ["lat", "lon"], ["zip"])
     return enriched.groupBy("zip").agg(F.sum("n").alias("n"))
 
 
@@ -168,31 +134,26 @@ def q_bottom_zips_nulls_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_descent_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return victims_by_descent(_counts(spark, sf_dir, materialize=True), 3, ascending=False)
+    return victims_by_descent(_counts(spark, sf_dir), 3, ascending=False)
 
 
 def q_descent_top_nolimit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return victims_by_descent(
-        _counts(spark, sf_dir, materialize=True), None, ascending=False, nulls="last"
-    )
+    return victims_by_descent(_counts(spark, sf_dir), None, ascending=False, nulls="last")
 
 
 def q_descent_bottom(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return victims_by_descent(_counts(spark, sf_dir, materialize=True), 3, ascending=True)
+    return victims_by_descent(_counts(spark, sf_dir), 3, ascending=True)
 
 
 def q_descent_bottom_nulls_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bottom 3 as originally sorted: ZIPs without income come first (the
     NULL-ZIP group can take a slot and then matches no incident)."""
-    return victims_by_descent(
-        _counts(spark, sf_dir, materialize=True), 3, ascending=True, nulls="first"
-    )
+    return victims_by_descent(_counts(spark, sf_dir), 3, ascending=True, nulls="first")
 
 
 def descent_bottom_with(strategy: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        counts = _counts(spark, sf_dir, strategy, materialize=True)
-        return victims_by_descent(counts, 3, ascending=True)
+        return victims_by_descent(_counts(spark, sf_dir, strategy), 3, ascending=True)
 
     run.__name__ = f"q_join_{strategy}"
     return run
@@ -211,7 +172,7 @@ zips AS (SELECT zip, MAX(income) AS income FROM enriched GROUP BY zip)"""
 
 _ENRICHED_SQL = _enriched_sql(order_facts_sql())
 
-_DECODE_SQL = "CASE status WHEN 'F' THEN 'Filled' WHEN 'O' THEN 'Open' ELSE status END"
+_DECODE_SQL = "CASE status " + " ".join(f"WHEN '{c}' THEN '{label}'" for c, label in DESCENT_CODES.items()) + " ELSE status END"
 
 
 def _chosen_sql(order: str, keep_null: bool, limit: int | None) -> str:

@@ -2,13 +2,14 @@
 
 The original incident, station, income and geocoding files are not
 available, so each question runs on the generated tables re-aimed as below.
-Every derived input is a projection of a real table (its size grows with the
-table), except the two lookup dimensions GEO and INC, which are lookup
-tables by nature and are always joined to a growing fact table.
+Every derived input is computed from a real table and grows with it.
 
 Coordinates of key k:  lat = 33.7 + (k % 60) / 100,  lon = -118.6 + (k % 50) / 100
-GEO: point id 0..269 -> (lat(id), lon(id), zip = 90000 + id % 40)
-INC: id 0..35 -> (zip = 90000 + id, income text '$' + thousands(20000 + id*7919 % 50000))
+Places: every customer is one: lat as above, lon = -118.6 + k / 1000000.
+GEO: a row per customer -> (place, zip = 90000 + k % 400); customers with k % 10 = 7
+     are missing, with k % 89 = 0 have no latitude, with k % 97 = 0 occur twice
+INC: a row per zip of the customers that k % 400 reaches -> income text
+     '$' + thousands(20000 + (zip - 90000) * 7919 % 50000); zips with zip % 9 = 0 are missing
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions._col import ColumnOrName, as_col
+from blotter.functions.codes import DESCENT_CODES
 from blotter.functions.text import INCIDENT_TS_FORMAT
 from blotter.session import scratch_path
 from blotter.sources.sinks import write_csv
@@ -24,7 +26,7 @@ from blotter.sources.sinks import write_csv
 # Fixed values of the stand-in geography (see module docstring).
 LAT0, LAT_STEPS = 33.7, 60
 LON0, LON_STEPS = -118.6, 50
-GEO_POINTS, GEO_ZIPS, INC_ZIPS, ZIP_BASE = 270, 40, 36, 90000
+GEO_ZIPS, ZIP_BASE = 400, 90000
 INCOME_BASE, INCOME_MULT, INCOME_SPAN = 20000, 7919, 50000
 
 
@@ -79,54 +81,71 @@ def lon_sql(k: str) -> str:
     return f"({LON0}::DOUBLE + CAST({k} % {LON_STEPS} AS DOUBLE) / 100.0::DOUBLE)"
 
 
+def place_lon(k: ColumnOrName) -> Column:
+    """Longitude of a customer's place, different for every key."""
+    return F.lit(LON0) + as_col(k).cast("double") / F.lit(1_000_000.0)
+
+
+def place_lon_sql(k: str) -> str:
+    return f"({LON0}::DOUBLE + CAST({k} AS DOUBLE) / 1000000.0::DOUBLE)"
+
+
 # ---------------------------------------------------------------- dimensions
-def geo_lookup(spark: SparkSession) -> DataFrame:
-    """Reverse geocoding: (lat, lon) -> zip (string)."""
-    ids = spark.range(GEO_POINTS)
-    return ids.select(
-        lat_of("id").alias("lat"),
-        lon_of("id").alias("lon"),
-        (F.lit(ZIP_BASE) + F.col("id") % GEO_ZIPS).cast("string").alias("zip"),
+def geo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reverse geocoding: (lat, lon) -> zip (string), a point per customer."""
+    k = F.col("c_custkey")
+    known = table(spark, sf_dir, "customer").select("c_custkey").filter(k % 10 != 7)
+    times = F.explode(F.sequence(F.lit(1), F.when(k % 97 == 0, 2).otherwise(1))).alias("_copy")
+    return known.select("c_custkey", times).select(
+        F.when(k % 89 != 0, lat_of(k)).alias("lat"),
+        place_lon(k).alias("lon"),
+        (F.lit(ZIP_BASE) + k % GEO_ZIPS).cast("string").alias("zip"),
     )
 
 
-def income_raw(spark: SparkSession) -> DataFrame:
+def income_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Income by zip as exported: ``Zip Code`` text, ``Estimated Median Income``
-    as a currency string, plus one row without a zip (dropped by cleaning)."""
-    ids = spark.range(INC_ZIPS + 1)
+    as a currency string, plus rows without a zip (dropped by cleaning)."""
+    nth = table(spark, sf_dir, "customer").select((F.col("c_custkey") % GEO_ZIPS).alias("id")).distinct()
+    zip_code = F.lit(ZIP_BASE) + F.col("id")
     amount = F.lit(INCOME_BASE) + (F.col("id") * INCOME_MULT) % INCOME_SPAN
-    return ids.select(
-        F.when(F.col("id") < INC_ZIPS, (F.lit(ZIP_BASE) + F.col("id")).cast("string")).alias(
-            "Zip Code"
-        ),
+    return nth.select(
+        F.when(zip_code % 9 != 0, zip_code.cast("string")).alias("Zip Code"),
         F.concat(F.lit("$"), F.format_number(amount, 0)).alias("Estimated Median Income"),
     )
 
 
 GEO_SQL = f"""geo AS (
-  SELECT {lat_sql('id')} AS lat, {lon_sql('id')} AS lon,
-         CAST({ZIP_BASE} + id % {GEO_ZIPS} AS VARCHAR) AS zip
-  FROM range({GEO_POINTS}) t(id))"""
+  SELECT CASE WHEN c_custkey % 89 <> 0 THEN {lat_sql('c_custkey')} END AS lat, {place_lon_sql('c_custkey')} AS lon,
+         CAST({ZIP_BASE} + c_custkey % {GEO_ZIPS} AS VARCHAR) AS zip
+  FROM (SELECT c_custkey FROM customer UNION ALL SELECT c_custkey FROM customer WHERE c_custkey % 97 = 0)
+  WHERE c_custkey % 10 <> 7)"""
 
 INC_SQL = f"""inc AS (
   SELECT CAST({ZIP_BASE} + id AS VARCHAR) AS zip,
          CAST(regexp_replace('$' || format('{{:,}}', {INCOME_BASE} + (id * {INCOME_MULT}) % {INCOME_SPAN}),
                              '[$,]', '', 'g') AS INTEGER) AS income
-  FROM range({INC_ZIPS}) t(id))"""
+  FROM (SELECT DISTINCT c_custkey % {GEO_ZIPS} AS id FROM customer) WHERE ({ZIP_BASE} + id) % 9 <> 0)"""
 
 
 # --------------------------------------------------------------------- facts
+# Victim descent of an order: a code by its key, every 20th one unknown.
+DESCENTS = [*DESCENT_CODES, "?"]
+
+
 def order_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """orders as incidents: status ~ victim descent, priority ~ victim sex,
-    o_orderdate ~ DATE OCC, coordinates from the customer key."""
+    """orders as incidents: status = victim descent code by the order key,
+    priority ~ victim sex, o_orderdate ~ DATE OCC, the customer's place; the
+    latitude of every 53rd order is unknown."""
     o = table(spark, sf_dir, "orders")
+    nth = F.pmod("o_orderkey", F.lit(len(DESCENTS))).cast("int")
     return o.select(
         "o_orderkey",
-        F.col("o_orderstatus").alias("status"),
+        F.when(F.col("o_orderstatus").isNotNull(), F.get(F.array(*map(F.lit, DESCENTS)), nth)).alias("status"),
         F.col("o_orderpriority").alias("priority"),
         "o_orderdate",
-        lat_of("o_custkey").alias("lat"),
-        lon_of("o_custkey").alias("lon"),
+        F.when(F.col("o_orderkey") % 53 != 0, lat_of("o_custkey")).alias("lat"),
+        place_lon("o_custkey").alias("lon"),
     )
 
 
@@ -134,8 +153,10 @@ def order_facts_sql(extra_where: str = "") -> str:
     where = "o_orderstatus IS NOT NULL AND o_orderpriority IS NOT NULL"
     if extra_where:
         where += f" AND {extra_where}"
+    codes = ", ".join(f"'{c}'" for c in DESCENTS)
     return f"""facts AS (
-  SELECT o_orderstatus AS status, {lat_sql('o_custkey')} AS lat, {lon_sql('o_custkey')} AS lon
+  SELECT ([{codes}])[1 + o_orderkey % {len(DESCENTS)}] AS status,
+         CASE WHEN o_orderkey % 53 <> 0 THEN {lat_sql('o_custkey')} END AS lat, {place_lon_sql('o_custkey')} AS lon
   FROM orders WHERE {where})"""
 
 
@@ -236,6 +257,21 @@ def orders_csv(spark: SparkSession, sf_dir: str) -> list[str]:
     return _export_two_files(spark, sf_dir, "orders", export, "o_orderkey")
 
 
+def orders_csv_reordered(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The same two halves as :func:`orders_csv` with differing headers: the
+    second has another column order and a column of its own."""
+    cache_key = (spark.sparkContext.applicationId, sf_dir, "orders-reordered")
+    if cache_key not in _CSV_CACHE:
+        first, second = (spark.read.option("header", True).csv(p) for p in orders_csv(spark, sf_dir))
+        base = scratch_path(spark, "orders-reordered-csv")
+        second = second.withColumn("remark", F.lit("none")).select(
+            "o_orderpriority", "remark", "o_orderstatus", "date_occ", "o_orderkey", "o_totalprice", "o_custkey")
+        write_csv(first, f"{base}/1")
+        write_csv(second, f"{base}/2")
+        _CSV_CACHE[cache_key] = [f"{base}/1", f"{base}/2"]
+    return _CSV_CACHE[cache_key]
+
+
 # Field positions of the events export (the line-by-line reader uses them).
 EVENTS_CSV_FIELDS = ["event_id", "ts", "user_id", "event_type", "value", "TIME OCC"]
 

@@ -8,6 +8,7 @@ Stations are a dimension: one (or a few) per area.  With no hint the planner
 broadcasts them when their size estimate is small and AQE does so at runtime
 after measuring; the incident side is never shuffled in that case, and only
 per-task partial (sum, count) pairs per division cross the network.
+Otherwise both sides are shuffled by area and AQE splits a hot one.
 
 The two repartition/broadcast variants of the original differ in what they
 do with several stations for one area: the repartition form keeps every
@@ -55,7 +56,7 @@ def q_distance_by_group(spark: SparkSession, sf_dir: str, **options) -> DataFram
 
 def _paired_area(df: DataFrame, key: str) -> DataFrame:
     """Two stations share each division: area = key div 2."""
-    return df.withColumn("division", F.floor(F.col(key) / 2))
+    return df.withColumn("division", F.expr(f"`{key}` div 2"))
 
 
 def q_distance_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +67,14 @@ def q_distance_repartition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_distance_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Broadcast join after keeping one station per division (smallest key)."""
+    """Broadcast join after keeping one station per division: the smallest
+    station key; some stations have none, and some divisions have only those."""
     facts = _paired_area(firearm_incidents(spark, sf_dir), "AREA").drop("AREA")
     st = _paired_area(station_points(spark, sf_dir), "AREA")
-    st = st.select("division", F.col("AREA").alias("station_key"), "STATION_LAT", "STATION_LON")
+    unknown = F.col("AREA") % 10 == 4
+    unknown |= (F.col("AREA") % 20).isin(8, 9)
+    key = F.when(unknown, F.lit(None)).otherwise(F.col("AREA")).alias("station_key")
+    st = st.select("division", key, "STATION_LAT", "STATION_LON")
     return distance_by_group(
         facts, st, "division", "division", strategy="broadcast", dedupe="station_key"
     )
@@ -122,8 +127,12 @@ FROM facts f JOIN stations s ON f.area // 2 = s.area // 2
 WHERE {_PAIRS_WHERE} GROUP BY 1""",
     "distance_broadcast": f"""WITH {LINE_FACTS_SQL},
 {STATIONS_SQL},
-one AS (SELECT area // 2 AS division, arg_min(slat, s_suppkey) AS slat, arg_min(slon, s_suppkey) AS slon
-        FROM stations WHERE slat <> 0 AND slon <> 0 GROUP BY 1)
+keyed AS (SELECT area // 2 AS division, slat, slon,
+                 CASE WHEN area % 10 = 4 OR area % 20 IN (8, 9) THEN NULL ELSE area END AS station_key
+          FROM stations WHERE slat <> 0 AND slon <> 0),
+one AS (SELECT division, slat, slon FROM (
+          SELECT *, row_number() OVER (PARTITION BY division ORDER BY station_key NULLS LAST, slat, slon) AS place
+          FROM keyed) WHERE place = 1)
 SELECT f.area // 2 AS division, round(AVG({haversine_sql("f.lat", "f.lon", "s.slat", "s.slon")}), 6)
        AS average_distance, COUNT(*) AS incidents_total
 FROM facts f JOIN one s ON f.area // 2 = s.division

@@ -27,11 +27,14 @@ SCALE_CONF = {
     # keeping one per core: fewer tiny tasks on a busy cluster
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot key even where the aggregate above could reuse the join's
+    # partitioning (join key = group key), at the price of one more exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # checkpointed ZIP-level tables are removed once no DataFrame uses them
+    # checkpoints are removed once no DataFrame uses them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 

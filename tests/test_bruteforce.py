@@ -79,13 +79,16 @@ def test_salted_and_deduped_joins_match_brute_force(spark, left, right, how, sal
 
 
 @SETTINGS
-@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9), st.text("xyz", max_size=2)), min_size=1, max_size=20))
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 9)), st.text("xyz", max_size=2)),
+                min_size=1, max_size=20))
 def test_keep_first_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, "k int, o int, s string")
     expected = {}
     for key, o, s in rows:
-        if key not in expected or (o, s) < expected[key]:
-            expected[key] = (o, s)
+        rank = (o is None, o or 0, s)
+        if key not in expected or rank < expected[key][0]:
+            expected[key] = (rank, (o, s))
+    expected = {key: kept for key, (_, kept) in expected.items()}
     got = {r.k: (r.o, r.s) for r in keep_first(df, ["k"], "o").collect()}
     assert got == expected
 

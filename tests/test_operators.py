@@ -23,7 +23,7 @@ from blotter.operators import (
     trim_column_names,
     year_filter,
 )
-from blotter.operators.joins import MAX_BROADCAST_ROWS_CONF, broadcast_fits
+from blotter.operators.joins import MAX_BROADCAST_BYTES_CONF, broadcast_fits, estimated_bytes
 from blotter.sources import read_csv, read_delimited
 from tests.conftest import SF01, formatted_plan, plan_text
 
@@ -182,29 +182,57 @@ def test_replicate_nl_never_plans_a_cross_product(spark, how):
 
 def test_broadcast_falls_back_beyond_bound(spark):
     left, right = _join_sides(spark)
-    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "2")
+    spark.conf.set(MAX_BROADCAST_BYTES_CONF, "2")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        assert estimated_bytes(right) > 2
         assert not broadcast_fits(right)
         with warnings.catch_warnings(record=True) as caught:
             warnings.simplefilter("always")
             joined = join_with_strategy(left, right, "k", "inner", "broadcast")
-        assert any("shuffle join" in str(w.message) for w in caught)
+        assert any("byte bound" in str(w.message) for w in caught)
         assert "BroadcastHashJoin" not in formatted_plan(joined)
         assert joined.count() == 3
     finally:
-        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
+        spark.conf.unset(MAX_BROADCAST_BYTES_CONF)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
 
 
-def test_semi_join_bounded_broadcasts(spark):
+def test_semi_join_keeps_no_columns_and_no_copies(spark):
     left, right = _join_sides(spark)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        out = semi_join_keys(left, right.limit(2), "k", bounded=True)
-        assert "BroadcastHashJoin" in formatted_plan(out) and "LeftSemi" in formatted_plan(out)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    out = semi_join_keys(left, right, "k")
+    assert "LeftSemi" in formatted_plan(out)
+    assert sorted(r.lv for r in out.collect()) == ["l1", "l2"]
+
+
+def test_salts_spread_rows_that_differ_in_the_named_column_only(spark):
+    from blotter.operators.joins import salted
+
+    facts = spark.range(1000).select(F.lit(1).alias("k"), F.lit(2.5).alias("lat"), F.col("id"))
+    dim = spark.createDataFrame([(1, "a")], "k int, d string")
+    left, _, _ = salted(facts, dim, ["k"], "inner", 8, by=["id"])
+    spread = [r.n for r in left.groupBy("_salt").agg(F.count("*").alias("n")).collect()]
+    assert len(spread) == 8 and max(spread) < 250
+    assert join_with_strategy(facts, dim, "k", "inner", "merge", salt=8, salt_by=["id"]).count() == 1000
+
+
+def test_keep_first_puts_null_order_values_last(spark):
+    rows = spark.createDataFrame([(1, None, "x"), (1, 5, "y"), (2, None, "z"), (2, None, "a")], "k int, o int, s string")
+    assert sorted(map(tuple, keep_first(rows, ["k"], "o").collect())) == [(1, 5, "y"), (2, None, "a")]
+
+
+def test_decode_table_with_a_code_listed_twice(spark):
+    df = spark.createDataFrame([("H",), ("Q",)], "c string")
+    table = spark.createDataFrame([("H", "b"), ("H", "a")], "code string, label string")
+    assert sorted(r.c for r in decode_codes(df, "c", table=table).collect()) == ["Q", "a"]
+
+
+@pytest.mark.parametrize("kind,code,n", [("int", "101", 1), ("int", "10.5", 0), ("int", "x", 0),
+                                         ("decimal(20,2)", "12345678901234567.25", 1), ("string", "101", 1)])
+def test_code_filter_takes_any_text(spark, kind, code, n):
+    value = "12345678901234567.25" if kind.startswith("decimal") else "101"
+    df = spark.createDataFrame([(value,), (None,)], "t string").select(F.col("t").cast(kind).alias("c"))
+    assert code_filter(df, "c", code).count() == n
 
 
 def test_zip_keys_join_as_text(spark):

@@ -18,7 +18,7 @@ from blotter.operators import (
 )
 from blotter.plans.income_descent import clean_income, victims_by_descent, zip_status_counts
 from blotter.plans.part_of_day import part_of_day_counts
-from blotter.plans.standins import geo_lookup, income_raw, lat_of, lon_of, table
+from blotter.plans.standins import geo_lookup, income_raw, lat_of, lon_of, place_lon, table
 from blotter.plans.top_months import top_months
 from blotter.sources import read_csv
 from tests.conftest import SF001
@@ -45,15 +45,15 @@ def _export(spark, root):
         F.when(F.col("l_linenumber") == 7, None).otherwise(F.col("l_quantity").cast("int")).alias("Weapon Used Cd"),
         F.when(F.col("l_returnflag") == "N", None).otherwise(F.col("l_returnflag")).alias("Vict Sex"),
         F.substring(F.lit("ABCDFGHIJKLOPSUVWXZ"), (F.col("l_orderkey") % 19 + 1).cast("int"), 1).alias("Vict Descent"),
-        lat_of("l_orderkey").alias("LAT"),
-        lon_of("l_orderkey").alias("LON"),
+        lat_of("l_suppkey").alias("LAT"),
+        place_lon("l_suppkey").alias("LON"),
     )
     crimes.write.option("header", True).csv(f"{root}/crimes")
     spark.range(1, 22).select(F.col("id").cast("int").alias("PREC"), lat_of("id").alias("X"), lon_of("id").alias("Y")) \
         .write.option("header", True).csv(f"{root}/stations")
-    geo_lookup(spark).select(F.col("lat").alias("LAT"), F.col("lon").alias("LON"), F.col("zip").alias("ZIPcode")) \
+    geo_lookup(spark, SF001).select(F.col("lat").alias("LAT"), F.col("lon").alias("LON"), F.col("zip").alias("ZIPcode")) \
         .write.option("header", True).csv(f"{root}/geo")
-    income_raw(spark).write.option("header", True).csv(f"{root}/income")
+    income_raw(spark, SF001).write.option("header", True).csv(f"{root}/income")
 
 
 def test_recipe_runs_on_export_layout(spark, tmp_path):
@@ -74,7 +74,7 @@ def test_recipe_runs_on_export_layout(spark, tmp_path):
         F.col("LAT").alias("lat"), F.col("LON").alias("lon"), F.col("Vict Descent").alias("status"))
     geo = rename_strict(read_csv(spark, f"{root}/geo", schema=GEOCODING), {"LAT": "lat", "LON": "lon", "ZIPcode": "zip"})
     income = clean_income(read_csv(spark, f"{root}/income", schema=INCOME))
-    counts = zip_status_counts(facts, geo, income, materialize=True)
+    counts = zip_status_counts(facts, geo, income)
     top = victims_by_descent(counts, 3, ascending=False, mapping=DESCENT_CODES).collect()
     bottom = victims_by_descent(counts, 3, ascending=True, mapping=DESCENT_CODES).collect()
     assert top and bottom

@@ -3,8 +3,7 @@
 Runs in a child process with master ``local[4,4]`` (a task may fail up to
 three times), where a test-only filter makes the first attempt of every
 other scan task fail.  Retried tasks recompute their partition from lineage;
-salting is a hash of the row and the income counts are checkpointed, so the
-results must equal a clean run.
+salting is a hash of the row, so the results must equal a clean run.
 """
 
 import json
@@ -45,7 +44,7 @@ SCRIPT = textwrap.dedent(
         facts = require_not_null(order_incidents(spark, sf).repartition(4, "o_orderkey"), ["status", "priority"])
         if inject:
             facts = facts.filter(flaky("status"))
-        counts = zip_status_counts(facts, geo_lookup(spark), clean_income(income_raw(spark)), materialize=True)
+        counts = zip_status_counts(facts, geo_lookup(spark, sf), clean_income(income_raw(spark, sf)))
         return rows(victims_by_descent(counts, 3, ascending=True))
 
     def salted(inject):

@@ -53,6 +53,16 @@ def test_hot_key_is_split_by_aqe(skew_session):
     assert "SortMergeJoin" in plan and "skew=true" in plan
 
 
+def test_hot_key_is_split_where_the_group_is_the_join_key(skew_session):
+    spark = skew_session
+    facts, st = hot_facts(spark), station_points(spark, SF01)
+    out = distance_by_group(facts, st, "AREA", "AREA", strategy="merge")
+    plan = final_plan(out)
+    assert "SortMergeJoin" in plan and "skew=true" in plan
+    whole = facts.filter("LAT != 0 AND LON != 0").groupBy("AREA").count()
+    assert {r["AREA"]: r.incidents_total for r in out.collect()} == {r["AREA"]: r["count"] for r in whole.collect()}
+
+
 def test_hot_key_results_whole_under_every_form(skew_session):
     spark = skew_session
     facts, st = hot_facts(spark), station_points(spark, SF01)
