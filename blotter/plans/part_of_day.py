@@ -102,10 +102,7 @@ def _bucket_sql(hour: str) -> str:
 
 
 def _part_sql(hhmm: str) -> str:
-    hour = f"CAST(substr(lpad(CAST({hhmm} AS VARCHAR), 4, '0'), 1, 2) AS INTEGER)"
-    return f"""CASE WHEN {hour} BETWEEN 5 AND 11 THEN 'Morning'
-            WHEN {hour} BETWEEN 12 AND 16 THEN 'Afternoon'
-            WHEN {hour} BETWEEN 17 AND 20 THEN 'Evening' ELSE 'Night' END"""
+    return _bucket_sql(f"CAST(substr(lpad(CAST({hhmm} AS VARCHAR), 4, '0'), 1, 2) AS INTEGER)")
 
 
 QUERIES = {

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from blotter.functions.text import INCIDENT_TS_FORMAT, parse_ts
 from blotter.operators.aggregates import count_by
-from blotter.operators.filters import year_filter
 from blotter.operators.ranking import top_k_per_group
 from blotter.plans.standins import ORDERS_CSV_DDL, order_incidents, orders_csv, table
 from blotter.sources.files import read_csv
@@ -44,34 +43,34 @@ def top_months(
     return top.orderBy(F.col("year").asc(), F.col("incident_total").desc(), F.col("month").asc())
 
 
+TOP_MONTHS_SQL = """
+SELECT m.*
+FROM (SELECT year(at) AS year, month(at) AS month, count(*) AS incident_total,
+             rank() OVER (PARTITION BY year(at) ORDER BY count(*) DESC) AS ranking
+      FROM {occurred}
+      GROUP BY year(at), month(at)) AS m
+WHERE m.ranking <= :k
+ORDER BY m.year, m.ranking, m.month"""
+
+
 def top_months_sql(
     spark: SparkSession, df: DataFrame, column: str, fmt: str | None = None, k: int = 3
 ) -> DataFrame:
-    """The same question as three chained SQL steps over temporary views."""
-    tag = uuid.uuid4().hex[:8]
-    src, agg, ranked = f"incidents_{tag}", f"incident_agg_{tag}", f"ranked_{tag}"
-    df.createOrReplaceTempView(src)
-    ts = f"try_to_timestamp(`{column}`, '{fmt}')" if fmt else f"`{column}`"
-    spark.sql(
-        f"""SELECT year, month, COUNT(*) AS incident_total
-            FROM (SELECT year(ts) AS year, month(ts) AS month
-                  FROM (SELECT {ts} AS ts FROM {src}))
-            GROUP BY year, month"""
-    ).createOrReplaceTempView(agg)
-    spark.sql(
-        f"""SELECT year, month, incident_total,
-                   RANK() OVER (PARTITION BY year ORDER BY incident_total DESC) AS ranking
-            FROM {agg}"""
-    ).createOrReplaceTempView(ranked)
-    result = spark.sql(
-        f"""SELECT year, month, incident_total, ranking FROM {ranked}
-            WHERE ranking <= {int(k)}
-            ORDER BY year ASC, incident_total DESC, month ASC"""
-    )
-    # The plan is resolved when spark.sql returns; the names can go.
-    for view in (src, agg, ranked):
-        spark.catalog.dropTempView(view)
-    return result
+    """The same question as one SQL statement over the DataFrame: the window
+    ranks the groups of the same SELECT, and equal counts are listed by month."""
+    occurred = df.select(_ts(df, column, fmt).alias("at"))
+    return spark.sql(TOP_MONTHS_SQL, args={"k": k}, occurred=occurred)
+
+
+def months_of_year(df: DataFrame, column: str, year: int, fmt: str) -> DataFrame:
+    """``month, n`` of one year of a text column.
+
+    Year and month read one parsed value and the year is tested while
+    counting: a filter would move below the projection and parse again."""
+    stamped = df.select(parse_ts(column, fmt).alias("_ts"))
+    parts = stamped.select(F.year("_ts").alias("_year"), F.month("_ts").alias("month"))
+    counted = parts.groupBy("month").agg(F.count_if(F.col("_year") == year).alias("n"))
+    return counted.filter(F.col("n") > 0)
 
 
 # ------------------------------------------------------------------ roster
@@ -111,15 +110,10 @@ def q_top_months_sql_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_year_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of 1997 after a round trip through 12-hour date text.
-
-    The text is parsed once; the year test is then a range comparison on
-    the parsed timestamp and the month reads the same value."""
+    """Orders of 1997 by month after a round trip through 12-hour date text."""
     o = table(spark, sf_dir, "orders")
     text = o.select(F.date_format("o_orderdate", INCIDENT_TS_FORMAT).alias("DATE OCC"))
-    parsed = text.select(parse_ts("DATE OCC").alias("occurred"))
-    kept = year_filter(parsed, "occurred", 1997)
-    return count_by(kept.select(F.month("occurred").alias("month")), "month")
+    return months_of_year(text, "DATE OCC", 1997, INCIDENT_TS_FORMAT)
 
 
 _MONTHLY_SQL = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year,

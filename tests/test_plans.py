@@ -4,28 +4,28 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from blotter.plans import roster
 from tests.conftest import SF01, final_plan, formatted_plan
 
 
 
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(roster.QUERIES))
 def test_no_python_in_data_path(spark, key):
-    plan = formatted_plan(entry.queries()[key](spark, SF01))
+    plan = formatted_plan(roster.QUERIES[key](spark, SF01))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
 def test_scan_reads_only_needed_columns(spark):
-    plan = formatted_plan(entry.queries()["top_months"](spark, SF01))
+    plan = formatted_plan(roster.QUERIES["top_months"](spark, SF01))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert schemas == ["struct<o_orderdate:timestamp_ntz>"]
 
 
 def test_top_months_uses_window_group_limit(spark):
-    assert "WindowGroupLimit" in final_plan(entry.queries()["top_months"](spark, SF01))
+    assert "WindowGroupLimit" in final_plan(roster.QUERIES["top_months"](spark, SF01))
 
 
 def _income_counts(spark, strategy=None):
@@ -34,40 +34,62 @@ def _income_counts(spark, strategy=None):
     from blotter.plans.standins import geo_lookup, income_raw, order_incidents
 
     facts = require_not_null(order_incidents(spark, SF01), ["status", "priority"])
-    return zip_status_counts(facts, geo_lookup(spark), clean_income(income_raw(spark)), strategy)
+    return zip_status_counts(facts, geo_lookup(spark, SF01), clean_income(income_raw(spark, SF01)), strategy)
 
 
 def test_income_counts_shuffle_only_zip_partials(spark):
     plan = final_plan(_income_counts(spark))
-    assert plan.count("FileScan parquet") == 1
     assert "BroadcastHashJoin" in plan
     exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert exchanges and all("lat" not in e for e in exchanges)
 
 
-def test_income_counts_over_bound_pre_aggregate(spark):
-    from blotter.operators.joins import MAX_BROADCAST_ROWS_CONF
-
-    direct = sorted(map(tuple, _income_counts(spark).collect()), key=repr)
-    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "10")
+def test_income_counts_with_a_lookup_beyond_the_threshold(spark):
+    """The growing lookup is a shuffle join; the facts cross the network once."""
+    small = sorted(map(tuple, _income_counts(spark).collect()), key=repr)
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for key, value in off.items():
+        spark.conf.set(key, value)
     try:
         counts = _income_counts(spark)
-        plan = formatted_plan(counts)
+        plan = final_plan(counts)
         rows = sorted(map(tuple, counts.collect()), key=repr)
     finally:
-        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
-    assert re.search(r"hashpartitioning\(lat", plan)
-    assert rows == direct
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in plan
+    assert len(re.findall(r"hashpartitioning\([^)]*lat", plan)) == 2  # facts once, lookup once
+    assert rows == small
+
 
+@pytest.mark.parametrize("key", ["descent_top", "descent_bottom", "join_merge", "join_broadcast"])
+def test_income_descent_reads_facts_once(spark, key):
+    plan = final_plan(roster.QUERIES[key](spark, SF01))
+    assert plan.count("o_orderkey") and len(re.findall(r"FileScan parquet \[o_orderkey", plan)) == 1
 
-def test_income_descent_reads_facts_once(spark):
-    plan = final_plan(entry.queries()["descent_bottom"](spark, SF01))
-    # downstream of the checkpoint nothing reads the fact table again
-    assert "FileScan parquet" not in plan
+
+CSV_KEYS = {k for k in roster.QUERIES if "csv" in k or "text" in k or k == "union_files"}
+
+
+@pytest.mark.parametrize("key", sorted(set(roster.QUERIES) - CSV_KEYS))
+def test_building_a_query_starts_no_job(spark, key):
+    group = f"build-{key}"
+    spark.sparkContext.setJobGroup(group, "building")
+    try:
+        roster.QUERIES[key](spark, SF01)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []
+
+
+def test_date_text_is_parsed_once(spark):
+    plan = final_plan(roster.QUERIES["year_filter"](spark, SF01))
+    assert len(re.findall(r"gettimestamp\(", plan)) == 1
 
 
 def test_distance_broadcasts_stations_and_aggregates_partially(spark):
-    plan = final_plan(entry.queries()["distance_by_group"](spark, SF01))
+    plan = final_plan(roster.QUERIES["distance_by_group"](spark, SF01))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "partial_avg" in plan
 
@@ -75,7 +97,7 @@ def test_distance_broadcasts_stations_and_aggregates_partially(spark):
 def test_repartition_form_is_a_shuffle_join(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        plan = formatted_plan(entry.queries()["distance_repartition"](spark, SF01))
+        plan = formatted_plan(roster.QUERIES["distance_repartition"](spark, SF01))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "SortMergeJoin" in plan
@@ -92,31 +114,23 @@ def test_year_filter_pushes_to_scan(spark):
     )
 
 
-def test_distance_falls_back_to_shuffle_join_beyond_bound(spark):
-    import warnings
-
-    from blotter.operators.joins import MAX_BROADCAST_ROWS_CONF
-
+def test_distance_is_a_shuffle_join_beyond_the_threshold(spark):
     key = "distance_by_group"
-    expected = sorted(map(tuple, entry.queries()[key](spark, SF01).collect()))
-    spark.conf.set(MAX_BROADCAST_ROWS_CONF, "5")
+    expected = sorted(map(tuple, roster.QUERIES[key](spark, SF01).collect()))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        with warnings.catch_warnings():
-            warnings.simplefilter("ignore")
-            df = entry.queries()[key](spark, SF01)
+        df = roster.QUERIES[key](spark, SF01)
         plan = final_plan(df)
         rows = sorted(map(tuple, df.collect()))
     finally:
-        spark.conf.unset(MAX_BROADCAST_ROWS_CONF)
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     assert rows == expected
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(roster.QUERIES))
 def test_nothing_whole_through_one_task(spark, key):
     """A single-partition exchange only ever carries partial aggregates
     (one row per task), and every window is partitioned."""
@@ -125,7 +139,7 @@ def test_nothing_whole_through_one_task(spark, key):
 
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        entry.queries()[key](spark, SF01).explain("simple")
+        roster.QUERIES[key](spark, SF01).explain("simple")
     lines = [line for line in buf.getvalue().splitlines() if line.strip()]
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
