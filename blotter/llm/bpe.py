@@ -28,7 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.native_text import documents
@@ -36,7 +36,7 @@ from blotter.llm.shipping import on_workers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of what a worker remembers; results do not depend on them.
-MEMO_WORDS, MEMO_LENGTH, MAX_STATES = 400_000, 48, 150_000
+MEMO_WORDS, MEMO_LENGTH, MAX_STATES = 300_000, 48, 150_000
 #: Tokens decoded at a time, and bytes of output per Arrow batch.
 DECODE_PIECE, BATCH_BYTES = 65_536, 4 << 20
 #: Above any rank.
@@ -384,6 +384,20 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         run, f"doc_id {id_type}, ids binary")
 
 
+def _decoded(coder: Decoder, ids: bytes) -> tuple[bytes, int]:
+    """Bytes and number of characters of packed ids."""
+    pieces, chars = [], 0
+    for piece, text in coder.decode(ids):
+        pieces.append(piece)
+        chars += len(text)
+    return b"".join(pieces), chars
+
+
+def _decoded_schema(batch: pa.RecordBatch) -> pa.Schema:
+    return pa.schema([("doc_id", batch.schema.field("doc_id").type), ("ids", pa.binary()),
+                      ("decoded", pa.binary()), ("decoded_chars", pa.int64())])
+
+
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids, decoded`` (bytes) and ``decoded_chars``."""
     on_workers(encoded.sparkSession)
@@ -392,31 +406,65 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches):
         coder = decoder(path)
         for batch in batches:
-            def one(i, ids):
-                pieces, chars = [], 0
-                for piece, text in coder.decode(ids):
-                    pieces.append(piece)
-                    chars += len(text)
-                return i, ids, b"".join(pieces), chars
-
-            rows = (one(i.as_py(), b.as_py() or b"") for i, b in zip(batch["doc_id"], batch["ids"]))
-            schema = pa.schema([("doc_id", batch.schema.field("doc_id").type), ("ids", pa.binary()),
-                                ("decoded", pa.binary()), ("decoded_chars", pa.int64())])
-            yield from in_batches(rows, schema, lambda r: len(r[1]) + len(r[2]))
+            rows = ((i.as_py(), ids, *_decoded(coder, ids))
+                    for i, ids in ((i, b.as_py() or b"") for i, b in zip(batch["doc_id"], batch["ids"])))
+            yield from in_batches(rows, _decoded_schema(batch), lambda r: len(r[1]) + len(r[2]))
 
     return encoded.select("doc_id", "ids").mapInArrow(
         run, f"doc_id {id_type}, ids binary, decoded binary, decoded_chars bigint")
 
 
-def round_trip(docs: DataFrame) -> DataFrame:
-    """Encode and decode with the registered vocabulary; digests per row."""
+def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decode(encode(docs))`` with one worker per task doing both, so that
+    a node holds the tables of as many workers as it has cores."""
+    on_workers(docs.sparkSession)
+    id_type = dict(docs.dtypes)["doc_id"]
+
+    def run(batches):
+        there, back = encoder(path, pattern), decoder(path)
+        for batch in batches:
+            rows = ((i.as_py(), ids, *_decoded(back, ids))
+                    for i, ids in ((i, there.encode(t.as_py() or "")) for i, t in zip(batch["doc_id"], batch["text"])))
+            yield from in_batches(rows, _decoded_schema(batch), lambda r: len(r[1]) + len(r[2]))
+
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
+        run, f"doc_id {id_type}, ids binary, decoded binary, decoded_chars bigint")
+
+
+def unpacked(encoded: DataFrame) -> DataFrame:
+    """``encoded`` with the packed column ``ids`` as an array of integers."""
+    on_workers(encoded.sparkSession)
+    schema = ", ".join(f"`{f.name}` {'array<int>' if f.name == 'ids' else f.dataType.simpleString()}" for f in encoded.schema)
+
+    def run(batches):
+        for batch in batches:
+            packed = [b.as_py() or b"" for b in batch["ids"]]
+            offsets = np.concatenate(([0], np.cumsum([len(b) // 4 for b in packed]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+            at = batch.schema.get_field_index("ids")
+            columns = [lists if i == at else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return encoded.mapInArrow(run, schema)
+
+
+def digests() -> list[Column]:
+    """Count and digests of the ids and the decoded bytes of a round trip."""
+    return [F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+            F.sha2("decoded", 256).alias("decoded_sha256")]
+
+
+def with_vocabulary() -> tuple[str, str]:
+    """Path and pattern of the registered vocabulary."""
     import public_tokenizers
 
-    path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
-    return decode(encode(docs, path, pattern), path).select(
-        "doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "decoded_chars")
+    return public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+
+
+def round_trip(docs: DataFrame) -> DataFrame:
+    """``doc_id, ids, decoded, decoded_chars`` with the registered vocabulary."""
+    return encode_decode(docs, *with_vocabulary())
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_trip(documents(spark, sf_dir))
+    return round_trip(documents(spark, sf_dir)).select("doc_id", *digests(), "decoded_chars")

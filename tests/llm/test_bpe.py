@@ -81,6 +81,8 @@ def test_edge_rows(spark, library):
     got = bpe.round_trip(docs).select("doc_id", *bpe.digests())
     want = [(r.doc_id, *expected(library, r.text)) for r in docs.collect()]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    apart = bpe.decode(bpe.encode(docs, PATH, PATTERN), PATH).select("doc_id", *bpe.digests())
+    assert sorted(map(tuple, apart.collect()), key=repr) == sorted(want, key=repr)
     assert bpe.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
