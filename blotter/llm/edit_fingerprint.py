@@ -164,16 +164,17 @@ def _with_guests(rows: DataFrame) -> DataFrame:
     """Ranges of ``doc_id, text``, each with the document that follows its
     last one as a guest: the first of the next range, or for the last range
     the first of all."""
-    ids = rows.groupBy(RANGE).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))).alias("m"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    ids = rows.groupBy(RANGE).agg(F.min(first).alias("m"))
     # one row per range, at most MAX_RANGES, on the driver and broadcast
-    firsts = sorted((r[RANGE], r["m"]["none"], r["m"]["id"]) for r in ids.collect())
+    firsts = sorted((r[RANGE], r["m"]["id"]) for r in ids.collect())
     if not firsts:
         return rows.withColumn("guest", F.lit(False))
-    host = [(r, none, i, firsts[k - 1][0]) for k, (r, none, i) in enumerate(firsts)]
+    host = [(r, i, firsts[k - 1][0]) for k, (r, i) in enumerate(firsts)]
     id_type = dict(rows.dtypes)["doc_id"]
-    hosts = rows.sparkSession.createDataFrame(host, f"at int, none boolean, first {id_type}, host int")
-    met = rows.join(F.broadcast(hosts), (F.col(RANGE) == F.col("at")) & 
-                    F.col("doc_id").eqNullSafe(F.col("first")), "left")
+    hosts = rows.sparkSession.createDataFrame(host, f"at int, first {id_type}, host int")
+    met = rows.join(F.broadcast(hosts), (F.col(RANGE) == F.col("at"))
+                    & F.col("doc_id").eqNullSafe(F.col("first")), "left")
     seat = F.struct(F.col(RANGE).alias("seat"), F.lit(False).alias("guest"))
     seats = F.when(F.col("host").isNull(), F.array(seat)).otherwise(
         F.array(seat, F.struct(F.col("host").alias("seat"), F.lit(True).alias("guest"))))
@@ -233,21 +234,21 @@ def _likeness_column(a, b) -> F.Column:
 
 
 def near_links(prints: DataFrame, least: float = LIKENESS) -> DataFrame:
-    """``doc_id, near_id, likeness``: confirmed links of distinct fingerprints
-    to the first document of a band they share.
+    """``doc_id, near_id, likeness``: distinct fingerprints linked to the first
+    document of a band they share, each link confirmed by the likeness.
 
-    Equal fingerprints are collapsed first; each band links to its first
-    document only, so a large group gives as many links as members.
+    Equal fingerprints are collapsed first.  Bands carry ids only, and each
+    links to its first document, so a large group gives as many links as it
+    has members; fingerprints are joined back for the distinct links alone.
     """
-    classes_ = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    banded = classes_.select("doc_id", "fingerprint", F.explode(band_keys(F.col("fingerprint"))).alias("k")).select(
-        "doc_id", "fingerprint", "k.band", "k.bits")
-    heads = banded.groupBy("band", "bits").agg(F.min(F.struct("doc_id", "fingerprint")).alias("head"))
-    met = banded.join(heads, ["band", "bits"]).filter(F.col("doc_id") > F.col("head.doc_id"))
-    distinct = met.select("doc_id", "fingerprint", F.col("head.doc_id").alias("near_id"),
-                          F.col("head.fingerprint").alias("near_fingerprint")).distinct()
-    return distinct.withColumn("likeness", _likeness_column(F.col("fingerprint"), F.col("near_fingerprint"))).filter(
-        F.col("likeness") >= least).select("doc_id", "near_id", "likeness")
+    kinds = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
+    banded = kinds.select("doc_id", F.explode(band_keys(F.col("fingerprint"))).alias("k")).select("doc_id", "k.band", "k.bits")
+    heads = banded.groupBy("band", "bits").agg(F.min("doc_id").alias("near_id"))
+    links = banded.join(heads, ["band", "bits"]).filter(F.col("doc_id") > F.col("near_id")).select("doc_id", "near_id").distinct()
+    near = kinds.select(F.col("doc_id").alias("near_id"), F.col("fingerprint").alias("near_fingerprint"))
+    compared = links.join(kinds, "doc_id").join(near, "near_id")
+    likeness_ = _likeness_column(F.col("fingerprint"), F.col("near_fingerprint"))
+    return compared.select("doc_id", "near_id", likeness_.alias("likeness")).filter(F.col("likeness") >= least)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
