@@ -24,14 +24,17 @@ are stored each; rows without an id come last; no documents, no files.
 
 from __future__ import annotations
 
-import re
+import gc
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -41,14 +44,19 @@ from pyspark.sql import functions as F
 from blotter.llm.doc_ranges import RANGE, in_order, with_ranges
 from blotter.llm.native_text import documents
 from blotter.llm.shipping import on_workers
+from blotter.llm.suffix_array import _spread
 from blotter.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 FRAME_BYTES = 256 << 10
 FILE_TEXT_BYTES = 8 << 20
-LEVEL = 3
+LEVEL = 1
 MEMO_CHUNKS = 700_000
+#: Texts encoded together (a file's texts are bounded by their bytes).
+TOGETHER = 4096
+#: First character after the composed Latin letters.
+LATIN = "\u0250"
 
 #: Fixed values of the seekable format.
 SKIPPABLE_INDEX, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -65,59 +73,91 @@ class ChunkTokenizer:
     """Whole texts through the tokenizers library, chunk by chunk.
 
     The vocabulary drops white space and no token spans it, so a text's ids
-    are the ids of its chunks between white space.  Within a chunk, full
+    are the ids of its chunks between ASCII white space.  Within a chunk, full
     stops and commas at its end after an ASCII letter or digit are tokens of
-    their own, and ASCII letters count as lower case, so the library sees
-    each such core once.  Texts with white space that the library and Python
-    see differently go through the library whole.
-    """
+    their own, and Latin letters count as lower case, so the library sees
+    each such core once.  Plain words go to the library's merges directly.
 
-    OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+    Texts are split and their distinct chunks numbered in Arrow; Python only
+    sees each distinct chunk of a batch, and numpy puts the ids together.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.merges = self.library.model.tokenize
+        self.spelled: dict[str, str] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in encoded]
-
-    def _learn(self, chunks: set[str]) -> None:
-        known, older, parts = self.known, self.older, {}
+    def _word(self, word: str) -> bytes:
+        """Ids of a plain word, straight from the library's merges."""
+        if not word.isascii():
+            for letter in set(word).difference(self.spelled):
+                self.spelled[letter] = self.library.pre_tokenizer.pre_tokenize_str(letter)[0][0]
+            word = "".join(map(self.spelled.__getitem__, word))
+        return array("I", [token.id for token in self.merges(word)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a chunk without its tail.  Lower-case composed Latin letters
+        pass the library's normalizer and splitter as they are."""
+        ids = self.known.get(piece)
+        if ids is None:
+            plain = piece.isalpha() and (piece.isascii() or (
+                max(piece) < LATIN and piece == piece.lower() and is_normalized("NFC", piece)))
+            ids = self.known[piece] = self._word(piece) if plain else array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
+        return ids
+
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that are not known yet."""
+        known, older, out = self.known, self.older, []
         for chunk in chunks:
             ids = older.get(chunk)
-            if ids is not None:
-                known[chunk] = ids
-                continue
-            core = chunk.rstrip(".,")
-            if not core or not (core[-1].isascii() and core[-1].isalnum()):
-                core = chunk
-            tail = chunk[len(core):]
-            parts[chunk] = (core.lower() if core.isascii() else core, tail)
-        new = list({piece for pair in parts.values() for piece in pair if piece and piece not in known})
-        if new:
-            known.update(zip(new, self._ids(new)))
-        for chunk, (core, tail) in parts.items():
-            known[chunk] = known[core] + known[tail] if tail else known[core]
+            if ids is None:
+                if chunk.isascii():
+                    core = chunk.rstrip(".,")
+                    tail = chunk[len(core):] if core and core[-1].isalnum() else ""
+                    ids = self._piece((core if tail else chunk).lower())
+                else:
+                    core = chunk.rstrip(".,")
+                    tail = chunk[len(core):] if core and core[-1].isascii() and core[-1].isalnum() else ""
+                    core = core if tail else chunk
+                    ids = self._piece(core.lower() if max(core) < LATIN else core)
+                if tail:
+                    ids += self._piece(tail)
+            known[chunk] = ids
+            out.append(ids)
+        return out
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the place after each text's last."""
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        if len(self.known) > MEMO_CHUNKS:
+            self.older, self.known = self.known, {}
+        found = list(map(self.known.get, chunks))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(new, self._learn([chunks[k] for k in new])):
+            found[k] = ids
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts, index = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        counts = sizes[index]
+        ids = np.frombuffer(b"".join(found), "<u4")[_spread(starts[index], counts)]
+        after = np.concatenate(([0], np.cumsum(counts)))
+        offsets = lists.offsets.to_numpy()
+        return ids, after[offsets[1:] - offsets[0]]
 
     def encode(self, text: str) -> bytes:
-        if self.OTHER_SPACE.search(text):
-            return self._ids([text])[0]
-        chunks = text.split()
-        missing = set(chunks).difference(self.known)
-        if missing:
-            if len(self.known) > MEMO_CHUNKS:
-                self.older, self.known = self.known, {}
-                missing = set(chunks)
-            self._learn(missing)
-        return b"".join(map(self.known.__getitem__, chunks))
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
 
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> ChunkTokenizer:
+    """One per worker process; it makes no cycles, so the collector of cycles
+    is told to look more seldom."""
+    gc.set_threshold(200_000, 50, 100)
     return ChunkTokenizer(path)
 
 
@@ -234,8 +274,13 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = END_ID) ->
         file = f"part-{part:06d}-{uuid.uuid4().hex}.zst"
         with system.open_output_stream(f"{base}/{file}", compression=None) as stream:
             writer = Writer(stream)
-            for doc_id, text in zip(table["doc_id"], table["text"]):
-                writer.add(doc_id.as_py(), coder.encode(text.as_py()) + end_id.to_bytes(4, "little"))
+            end = end_id.to_bytes(4, "little")
+            for batch in table.select(["doc_id", "text"]).to_batches(max_chunksize=TOGETHER):
+                ids, after = coder.encode_all(batch["text"])
+                begin = 0
+                for doc_id, stop in zip(batch["doc_id"].to_pylist(), after.tolist()):
+                    writer.add(doc_id, ids[begin:stop].tobytes() + end)
+                    begin = stop
             writer.close()
         return pa.table({"part": pa.array([part], pa.int32()), "file": [file],
                          "n_docs": pa.array([table.num_rows], pa.int64()), "n_ids": pa.array([writer.total], pa.int64())})
