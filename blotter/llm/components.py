@@ -40,7 +40,8 @@ def _signature(edges: DataFrame):
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` (the smallest member) for every node of ``a, b``."""
+    """``node, component`` (the smallest member) for every node of the edges
+    ``a, b`` but the smallest members themselves and those alone."""
     checkpoint_base(edges.sparkSession)
     state = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct().checkpoint()
     before = _signature(state)

@@ -86,7 +86,7 @@ def test_edge_rows(spark, library):
     assert bpe.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
-def test_unpacked_ids(spark, library):
+def test_ids_as_lists(spark, library):
     docs = edge_docs(spark).filter("doc_id < 10")
-    got = {r.doc_id: r.ids for r in bpe.unpacked(bpe.encode(docs, PATH, PATTERN)).collect()}
+    got = {r.doc_id: list(r.ids) for r in bpe.round_trip(docs, lists=True).collect()}
     assert got == {r.doc_id: library.encode_ordinary(r.text or "") for r in docs.collect()}
