@@ -112,14 +112,14 @@ def runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, .
     none = np.zeros(0, np.int64)
     if n < length:
         return none, none, none, none.astype(np.uint64)
-    w, bits = length - k + 1, np.uint64(max(1, int(n).bit_length()))
-    low = (np.uint64(1) << bits) - np.uint64(1)
+    w, low = length - k + 1, np.uint64(0xFFFFFFFF)
     anchors, hashes = np.empty(n - length + 1, np.int64), np.empty(n - k + 1, np.uint64)
     for at in range(0, n - length + 1, BLOCK):
         stop = min(n - length + 1, at + BLOCK)
         h = gram_hashes(data[at:stop + length - 1], k)
         hashes[at:at + len(h)] = h
-        # equal hashes: the leftmost; the position rides in the low bits
+        # the least by the high bits, the leftmost among equals: the position
+        # rides in the low bits, as many in every shard, so that shards agree
         keyed = (h & ~low) | (np.arange(at, at + len(h), dtype=np.uint64))
         anchors[at:stop] = _slid_min(keyed, w) & low
     valid = np.ones(n - length + 1, bool)
