@@ -32,11 +32,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.native_text import documents
-from blotter.llm.shipping import on_workers
+from blotter.llm.shipping import give_back_memory, on_workers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of what a worker remembers; results do not depend on them.
-MEMO_WORDS, MEMO_LENGTH, MAX_STATES = 300_000, 48, 150_000
+MEMO_WORDS, MEMO_LENGTH, MAX_STATES = 100_000, 48, 60_000
 #: Tokens decoded at a time, and bytes of output per Arrow batch.
 DECODE_PIECE, BATCH_BYTES = 65_536, 4 << 20
 #: Above any rank.
@@ -341,6 +341,7 @@ class Utf8Machine:
 def encoder(path: str, pattern: str) -> Encoder:
     """One per worker process.  It makes many small tuples and no cycles, so
     the collector of cycles is told to look more seldom."""
+    give_back_memory()
     gc.set_threshold(200_000, 50, 100)
     return Encoder(path, pattern)
 
@@ -393,8 +394,8 @@ def _decoded(coder: Decoder, ids: bytes) -> tuple[bytes, int]:
     return b"".join(pieces), chars
 
 
-def _decoded_schema(batch: pa.RecordBatch) -> pa.Schema:
-    return pa.schema([("doc_id", batch.schema.field("doc_id").type), ("ids", pa.binary()),
+def _decoded_schema(batch: pa.RecordBatch, ids: pa.DataType) -> pa.Schema:
+    return pa.schema([("doc_id", batch.schema.field("doc_id").type), ("ids", ids),
                       ("decoded", pa.binary()), ("decoded_chars", pa.int64())])
 
 
@@ -408,44 +409,30 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             rows = ((i.as_py(), ids, *_decoded(coder, ids))
                     for i, ids in ((i, b.as_py() or b"") for i, b in zip(batch["doc_id"], batch["ids"])))
-            yield from in_batches(rows, _decoded_schema(batch), lambda r: len(r[1]) + len(r[2]))
+            yield from in_batches(rows, _decoded_schema(batch, pa.binary()), lambda r: len(r[1]) + len(r[2]))
 
     return encoded.select("doc_id", "ids").mapInArrow(
         run, f"doc_id {id_type}, ids binary, decoded binary, decoded_chars bigint")
 
 
-def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, pattern: str, lists: bool = False) -> DataFrame:
     """``decode(encode(docs))`` with one worker per task doing both, so that
-    a node holds the tables of as many workers as it has cores."""
+    a node holds the tables of as many workers as it has cores.  ``lists``:
+    ids as an array of integers instead of packed."""
     on_workers(docs.sparkSession)
     id_type = dict(docs.dtypes)["doc_id"]
+    shape = (lambda ids: np.frombuffer(ids, "<i4")) if lists else bytes
+    kind = pa.list_(pa.int32()) if lists else pa.binary()
 
     def run(batches):
         there, back = encoder(path, pattern), decoder(path)
         for batch in batches:
-            rows = ((i.as_py(), ids, *_decoded(back, ids))
+            rows = ((i.as_py(), shape(ids), *_decoded(back, ids))
                     for i, ids in ((i, there.encode(t.as_py() or "")) for i, t in zip(batch["doc_id"], batch["text"])))
-            yield from in_batches(rows, _decoded_schema(batch), lambda r: len(r[1]) + len(r[2]))
+            yield from in_batches(rows, _decoded_schema(batch, kind), lambda r: 4 * len(r[1]) + len(r[2]))
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, ids binary, decoded binary, decoded_chars bigint")
-
-
-def unpacked(encoded: DataFrame) -> DataFrame:
-    """``encoded`` with the packed column ``ids`` as an array of integers."""
-    on_workers(encoded.sparkSession)
-    schema = ", ".join(f"`{f.name}` {'array<int>' if f.name == 'ids' else f.dataType.simpleString()}" for f in encoded.schema)
-
-    def run(batches):
-        for batch in batches:
-            packed = [b.as_py() or b"" for b in batch["ids"]]
-            offsets = np.concatenate(([0], np.cumsum([len(b) // 4 for b in packed]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-            at = batch.schema.get_field_index("ids")
-            columns = [lists if i == at else c for i, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
-
-    return encoded.mapInArrow(run, schema)
+        run, f"doc_id {id_type}, ids {'array<int>' if lists else 'binary'}, decoded binary, decoded_chars bigint")
 
 
 def digests() -> list[Column]:
@@ -461,9 +448,9 @@ def with_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
 
 
-def round_trip(docs: DataFrame) -> DataFrame:
+def round_trip(docs: DataFrame, lists: bool = False) -> DataFrame:
     """``doc_id, ids, decoded, decoded_chars`` with the registered vocabulary."""
-    return encode_decode(docs, *with_vocabulary())
+    return encode_decode(docs, *with_vocabulary(), lists)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,14 @@
-"""The package on executors that do not have it installed."""
+"""What Python workers need: the package, and not to sit on freed memory."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 import blotter
@@ -28,3 +31,13 @@ def on_workers(spark: SparkSession) -> None:
                 out.write(file, os.path.relpath(file, os.path.dirname(top)))
     context.addPyFile(archive)
     _SHIPPED.add(context.applicationId)
+
+
+def give_back_memory() -> None:
+    """Return freed memory of this worker to the system.  Workers live on
+    after a task, next to those of the following stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)

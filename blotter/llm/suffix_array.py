@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from blotter.llm.doc_ranges import RANGE, in_order, with_ranges
 from blotter.llm.native_text import documents
-from blotter.llm.shipping import on_workers
+from blotter.llm.shipping import give_back_memory, on_workers
 
 LENGTH = 100
 SHARD_BYTES = 4 << 20
@@ -481,10 +481,14 @@ def removals(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYT
     def within(key, table, hashes):
         if not table.num_rows:
             return _table([], _SENT)
-        return _within(table, hashes, key[0].as_py(), length, buckets)
+        found = _within(table, hashes, key[0].as_py(), length, buckets)
+        give_back_memory()
+        return found
 
     def merged(table):
-        return _merged(table, length)
+        found = _merged(table, length)
+        give_back_memory()
+        return found
 
     rest = rows.schema["rest"].dataType
 

@@ -40,9 +40,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, ids, n_tokens, ids_sha256, decoded_sha256`` per row."""
-    coded = bpe.round_trip(docs).select("doc_id", "ids", *bpe.digests())
-    return bpe.unpacked(coded)
+    """``doc_id, ids, n_tokens, decoded_sha256`` per row; the last tells that
+    the ids decode to the text."""
+    return bpe.round_trip(docs, lists=True).select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
