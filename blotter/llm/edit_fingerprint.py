@@ -8,9 +8,10 @@ most places: edit distance has become Hamming distance.
 
 The walk is taken over segments of ``SEGMENT`` characters (the last one up to
 twice that), so that all segments of a batch of texts walk side by side in
-numpy.  A fingerprint is ``SLOTS`` bytes; each samples one place of the
-written strings, the same for texts of like length, as a hash of the
-``SPAN`` characters written there.  Likeness is the share of equal bytes.
+numpy.  Walks go on to the end of their segment.  A fingerprint is ``SLOTS``
+bytes; each samples one place of the written strings, any step of the walk
+alike, as a hash of the ``SPAN`` characters written there; the place seldom
+changes as the walk gets longer.  Likeness is the share of equal bytes.
 
 ``near_links`` finds near duplicates: sampled bits of the fingerprint form
 bands, texts equal in a band are linked to the band's first text, and a link
@@ -43,7 +44,10 @@ BATCH_CHARS, RANGE_TEXT = 2 << 20, 4 << 20
 BANDS, BAND_BITS = 16, 24
 LIKENESS = 0.8
 
-_STEPS = 4 * SEGMENT
+#: Twice as many steps as characters are usual; the last ``_LONGEST`` of the
+#: table always move on, so that every walk reaches the end.
+_LONGEST = 2 * SEGMENT
+_STEPS = 4 * _LONGEST
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,6 +62,7 @@ def coins(seed: int = SEED) -> np.ndarray:
     """``coins[j, c]``: whether the walk moves on from character class ``c``
     at step ``j``; class 0 is the end and is never left."""
     table = np.random.default_rng(seed).integers(0, 2, (_STEPS, 256), np.uint8)
+    table[-_LONGEST:] = 1
     table[:, 0] = 0
     return table
 
@@ -73,26 +78,28 @@ class Fingerprinter:
         self.coins = coins(seed)
         self.seed = np.uint64(seed)
         self.chosen = np.zeros((SLOTS, 0), np.int64)
-        self.places = np.zeros((SLOTS, 0), np.uint64)
-
-    def _segments(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Per slot and number of segments up to ``n``: the segment sampled,
-        the one of least hash, so it seldom changes as texts grow; and a
-        hash that gives the place within it."""
-        have = self.chosen.shape[1]
-        if have < n:
-            n = max(n, 2 * have, 64)
-            keys = (np.arange(SLOTS, dtype=np.uint64)[:, None] << np.uint64(40)) + np.arange(n, dtype=np.uint64)[None, :]
-            order = _mixed(keys * _MIX + self.seed)
-            least = np.minimum.accumulate(order, axis=1)
-            new = np.concatenate((np.ones((SLOTS, 1), bool), order[:, 1:] < least[:, :-1]), axis=1)
-            self.chosen = np.maximum.accumulate(np.where(new, np.arange(n), 0), axis=1)
-            self.places = _mixed(order + _MIX)
-        return self.chosen, self.places
+        # places[s, n]: the step that slot s samples of a walk of n steps
+        self.places = np.concatenate((np.zeros((SLOTS, 1), np.int64), self._least(_STEPS, np.uint64(1))), axis=1)
+
+    def _least(self, n: int, kind: np.uint64) -> np.ndarray:
+        """Per slot and count ``1..n`` the number below the count that has the
+        least hash: any is as likely, and it seldom changes with the count."""
+        keys = (np.arange(SLOTS, dtype=np.uint64)[:, None] << np.uint64(40)) + np.arange(n, dtype=np.uint64)[None, :]
+        order = _mixed(keys * _MIX + self.seed + (kind << np.uint64(32)))
+        least = np.minimum.accumulate(order, axis=1)
+        new = np.concatenate((np.ones((SLOTS, 1), bool), order[:, 1:] < least[:, :-1]), axis=1)
+        return np.maximum.accumulate(np.where(new, np.arange(n), 0), axis=1)
+
+    def _segments(self, n: int) -> np.ndarray:
+        """Per slot and number of segments, up to ``n`` of them: the one sampled."""
+        if self.chosen.shape[1] < n:
+            self.chosen = self._least(max(n, 2 * self.chosen.shape[1], 64), np.uint64(0))
+        return self.chosen
 
     def written(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Walk all segments of ``texts``: the written characters by step and
-        segment row, the rows' order, each text's first row, rows' lengths."""
+        segment row, the rows' order, each text's first row, rows' numbers of
+        steps."""
         counts = np.array([max(1, len(t) // SEGMENT) for t in texts])
         first = np.concatenate(([0], np.cumsum(counts)))
         lengths = np.full(first[-1], SEGMENT, np.int64)
@@ -100,7 +107,7 @@ class Fingerprinter:
         order = np.argsort(-lengths, kind="stable")  # long rows first: short ones stop early
         row_of = np.empty_like(order)
         row_of[order] = np.arange(len(order))
-        width = 2 * SEGMENT + 1
+        width = _LONGEST + 1
         grid = np.zeros((len(lengths), width), np.uint8)
         for t, f, c in zip(texts, first, counts):
             full = SEGMENT * (c - 1)
@@ -109,27 +116,27 @@ class Fingerprinter:
             grid[row_of[f + c - 1], :len(t) - full] = t[full:]
         flat, at = grid.ravel(), np.arange(len(lengths), dtype=np.int64) * width
         out = np.zeros((_STEPS + SPAN, len(lengths)), np.uint8)
-        ordered = lengths[order]
-        active = np.searchsorted(-ordered, -(np.arange(_STEPS) // 2), "right")
+        steps = np.zeros(len(lengths), np.int64)
+        k = np.count_nonzero(lengths)
         for j in range(_STEPS):
-            k = active[j]
-            if not k:
-                break
-            here = flat.take(at[:k], out=out[j, :k])
+            here = flat.take(at[:k])
+            if j % 16 == 0:  # the rows behind the last one still walking have ended
+                walking = np.flatnonzero(here)
+                if not len(walking):
+                    break
+                k = walking[-1] + 1
+                here = here[:k]
+            out[j, :k] = here
             at[:k] += self.coins[j].take(here)
-        return out, row_of, first, lengths
+            steps[:k] += here != 0
+        return out, row_of, first, steps
 
     def fingerprints(self, texts: list[np.ndarray]) -> np.ndarray:
         """One row of ``SLOTS`` bytes per text."""
-        out, row_of, first, lengths = self.written(texts)
+        out, row_of, first, steps = self.written(texts)
         n = np.diff(first)
-        chosen, places = self._segments(int(n.max()))
-        segment = chosen[:, n - 1].T
-        rows = row_of[first[:-1, None] + segment]
-        span = lengths[first[:-1, None] + segment]
-        # places reach over twice the length in characters, in powers of two
-        reach = 2 << np.floor(np.log2(np.maximum(span, 1))).astype(np.int64)
-        place = (places[np.arange(SLOTS)[None, :], segment] % reach.astype(np.uint64)).astype(np.int64)
+        rows = row_of[first[:-1, None] + self._segments(int(n.max()))[:, n - 1].T]
+        place = self.places[np.arange(SLOTS)[None, :], steps[rows]]
         value = np.zeros(rows.shape, np.uint64)
         for k in range(SPAN):
             value = (value << np.uint64(8)) | out[place + k, rows]

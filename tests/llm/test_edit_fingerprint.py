@@ -85,6 +85,33 @@ def test_walk_covers_the_whole_text():
         assert (prints[0] != prints[1]).any()
 
 
+def test_a_replaced_end_shows_in_short_texts():
+    rng = random.Random(3)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ijklmnop") for _ in range(n))
+
+    for n in (200, 255, 300, 511):
+        for share in (2, 4):
+            like = []
+            for _ in range(40):
+                text = noise(n)
+                a, b = _prints(text, text[:n - n // share] + noise(n // share))
+                like.append(float((a == b).mean()))
+            assert np.mean(like) < 1.1 - 1 / share, (n, share, np.mean(like))
+
+
+def test_walks_reach_the_end_of_their_segment():
+    rng = random.Random(8)
+    texts = [ef.classes("".join(rng.choice("abcdefgh") for _ in range(n))) for n in (1, 17, 255, 256, 300, 511, 511, 700)]
+    for text in texts:
+        out, row_of, first, steps = ef.Fingerprinter().written([text])
+        walked = b"".join(out[:steps[row], row].tobytes() for row in row_of)
+        # every character was written down at least once, in order
+        it = iter(walked)
+        assert all(c in it for c in text.tobytes()) and out[steps, np.arange(len(steps))].max() == 0
+
+
 def test_near_links_find_planted_copies(spark):
     rng = random.Random(9)
     rows = []
