@@ -6,12 +6,19 @@ depends only on ``j`` and that character.  Two texts that differ by few edits
 fall into step again soon after each edit, so their written strings agree in
 most places: edit distance has become Hamming distance.
 
-The walk is taken over segments of ``SEGMENT`` characters (the last one up to
-twice that), so that all segments of a batch of texts walk side by side in
-numpy.  Walks go on to the end of their segment.  A fingerprint is ``SLOTS``
-bytes; each samples one place of the written strings, any step of the walk
-alike, as a hash of the ``SPAN`` characters written there; the place seldom
-changes as the walk gets longer.  Likeness is the share of equal bytes.
+The walk is taken over segments, so that all segments of a batch of texts walk
+side by side in numpy.  A segment begins where the hash of the ``GRAM``
+characters is the least within ``NEAR`` characters on both sides, so segments
+after an edit of any length are those of before; pieces longer than
+``2 * SEGMENT`` (periodic texts) are cut every ``SEGMENT`` characters.  Each
+segment is known by the characters it begins with and how often a segment
+began so before.  Walks go on to the end of their segment.
+
+A fingerprint is ``SLOTS`` bytes; each samples one place of the written
+strings as a hash of the ``SPAN`` characters written there: the segment whose
+name has the least hash for the slot, and in it any step of the walk alike.
+Both seldom change as texts or walks get longer.  Likeness is the share of
+equal bytes.
 
 ``near_links`` finds near duplicates: sampled bits of the fingerprint form
 bands, texts equal in a band are linked to the band's first text, and a link
@@ -38,6 +45,7 @@ from blotter.llm.native_text import documents
 from blotter.llm.shipping import on_workers
 
 SEGMENT, SLOTS, SPAN = 256, 64, 3
+NEAR, GRAM = SEGMENT // 4, 8
 SEED = 2
 #: Characters walked side by side, and text per range.
 BATCH_CHARS, RANGE_TEXT = 2 << 20, 4 << 20
@@ -73,47 +81,97 @@ def classes(text: str) -> np.ndarray:
     return (((points + np.uint64(1)) * _MIX >> np.uint64(40)) % np.uint64(255)).astype(np.uint8) + np.uint8(1)
 
 
+def _grams(chars: np.ndarray) -> np.ndarray:
+    """Hashes of the ``GRAM`` characters from each position."""
+    key, have = chars.astype(np.uint64), 1
+    while have < GRAM:
+        key = (key[:-have] << np.uint64(8 * have)) | key[have:]
+        have *= 2
+    return _mixed(key * _MIX)
+
+
+def segments(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The segments of the joined ``texts``: begins, names, and each text's
+    first one (and their number).  An empty text is one segment."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    stop = np.cumsum(sizes)
+    start = stop - sizes
+    joined = np.concatenate(texts)
+    begins, names = [start], [np.zeros(len(texts), np.uint64)]
+    if len(joined) >= 2 * NEAR + GRAM:
+        grams = _grams(joined)
+        x = (grams >> np.uint64(32)).astype(np.uint32)
+        around, have = x, 1
+        while have < NEAR:  # least of the NEAR hashes from each position
+            around, have = np.minimum(around[:-have], around[have:]), 2 * have
+        n = len(around) - NEAR - 1
+        least = NEAR + np.flatnonzero((x[NEAR:NEAR + n] < around[:n]) & (x[NEAR:NEAR + n] <= around[NEAR + 1:]))
+        of = np.searchsorted(stop, least, "right")
+        # what decides about a begin lies within its text
+        least = least[(least - NEAR >= start[of]) & (least + NEAR + GRAM <= stop[of])]
+        begins.append(least)
+        names.append(grams[least])
+    begin, name = np.concatenate(begins), np.concatenate(names)
+    order = np.argsort(begin, kind="stable")
+    begin, name = begin[order], name[order]
+    of = np.repeat(0, len(begin))
+    of[np.flatnonzero(order < len(texts))] = 1
+    of = np.cumsum(of) - 1
+    size = np.minimum(np.append(begin[1:], len(joined)), stop[of]) - begin
+    # long ones in pieces, the last one up to twice as long
+    pieces = np.where(size >= 2 * SEGMENT, size // SEGMENT, 1)
+    piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin, of = np.repeat(begin, pieces) + SEGMENT * piece, np.repeat(of, pieces)
+    name = _mixed(np.repeat(name, pieces) + piece.astype(np.uint64) * _MIX)
+    # the name counts how often it came before in its text
+    same = np.lexsort((begin, name, of))
+    new = np.ones(len(same), bool)
+    new[1:] = (name[same][1:] != name[same][:-1]) | (of[same][1:] != of[same][:-1])
+    place = np.arange(len(same))
+    times = np.empty_like(place)
+    times[same] = place - np.maximum.accumulate(np.where(new, place, 0))
+    name = _mixed(name + times.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return begin, name, np.searchsorted(of, np.arange(len(texts) + 1))
+
+
 class Fingerprinter:
     def __init__(self, seed: int = SEED):
         self.coins = coins(seed)
         self.seed = np.uint64(seed)
-        self.chosen = np.zeros((SLOTS, 0), np.int64)
         # places[s, n]: the step that slot s samples of a walk of n steps
-        self.places = np.concatenate((np.zeros((SLOTS, 1), np.int64), self._least(_STEPS, np.uint64(1))), axis=1)
+        self.places = np.concatenate((np.zeros((SLOTS, 1), np.int64), self._least(_STEPS)), axis=1)
 
-    def _least(self, n: int, kind: np.uint64) -> np.ndarray:
+    def _least(self, n: int) -> np.ndarray:
         """Per slot and count ``1..n`` the number below the count that has the
         least hash: any is as likely, and it seldom changes with the count."""
         keys = (np.arange(SLOTS, dtype=np.uint64)[:, None] << np.uint64(40)) + np.arange(n, dtype=np.uint64)[None, :]
-        order = _mixed(keys * _MIX + self.seed + (kind << np.uint64(32)))
+        order = _mixed(keys * _MIX + self.seed)
         least = np.minimum.accumulate(order, axis=1)
         new = np.concatenate((np.ones((SLOTS, 1), bool), order[:, 1:] < least[:, :-1]), axis=1)
         return np.maximum.accumulate(np.where(new, np.arange(n), 0), axis=1)
 
-    def _segments(self, n: int) -> np.ndarray:
-        """Per slot and number of segments, up to ``n`` of them: the one sampled."""
-        if self.chosen.shape[1] < n:
-            self.chosen = self._least(max(n, 2 * self.chosen.shape[1], 64), np.uint64(0))
-        return self.chosen
-
-    def written(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Walk all segments of ``texts``: the written characters by step and
-        segment row, the rows' order, each text's first row, rows' numbers of
-        steps."""
-        counts = np.array([max(1, len(t) // SEGMENT) for t in texts])
-        first = np.concatenate(([0], np.cumsum(counts)))
-        lengths = np.full(first[-1], SEGMENT, np.int64)
-        lengths[first[1:] - 1] = [len(t) - SEGMENT * (c - 1) for t, c in zip(texts, counts)]
+    def sampled(self, names: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Per text and slot the segment of least hash."""
+        low = np.uint64(0xFFFFFFFF)
+        salts = _mixed(np.arange(1, SLOTS + 1, dtype=np.uint64) * _MIX + self.seed)
+        at = np.arange(len(names), dtype=np.uint64)
+        found = np.empty((len(first) - 1, SLOTS), np.int64)
+        for slot in range(SLOTS):
+            order = _mixed(names ^ salts[slot])
+            found[:, slot] = np.minimum.reduceat((order & ~low) | at, first[:-1]) & low
+        return found
+
+    def written(self, joined: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Walk the segments of ``lengths`` from ``begin``: the written
+        characters by step and row, each segment's row, rows' numbers of steps."""
         order = np.argsort(-lengths, kind="stable")  # long rows first: short ones stop early
         row_of = np.empty_like(order)
         row_of[order] = np.arange(len(order))
         width = _LONGEST + 1
         grid = np.zeros((len(lengths), width), np.uint8)
-        for t, f, c in zip(texts, first, counts):
-            full = SEGMENT * (c - 1)
-            if full:
-                grid[row_of[f:f + c - 1], :SEGMENT] = t[:full].reshape(c - 1, SEGMENT)
-            grid[row_of[f + c - 1], :len(t) - full] = t[full:]
+        ends = np.cumsum(lengths)
+        inside = np.arange(ends[-1]) - np.repeat(ends - lengths, lengths)
+        grid.ravel()[inside + np.repeat(row_of * width, lengths)] = joined[inside + np.repeat(begin, lengths)]
         flat, at = grid.ravel(), np.arange(len(lengths), dtype=np.int64) * width
         out = np.zeros((_STEPS + SPAN, len(lengths)), np.uint8)
         steps = np.zeros(len(lengths), np.int64)
@@ -129,13 +187,17 @@ class Fingerprinter:
             out[j, :k] = here
             at[:k] += self.coins[j].take(here)
             steps[:k] += here != 0
-        return out, row_of, first, steps
+        return out, row_of, steps
 
     def fingerprints(self, texts: list[np.ndarray]) -> np.ndarray:
         """One row of ``SLOTS`` bytes per text."""
-        out, row_of, first, steps = self.written(texts)
-        n = np.diff(first)
-        rows = row_of[first[:-1, None] + self._segments(int(n.max()))[:, n - 1].T]
+        begin, names, first = segments(texts)
+        joined = np.concatenate(texts)
+        lengths = np.append(begin[1:], len(joined)) - begin
+        # a text walks the segments its slots sample, however many it has
+        walked, at = np.unique(self.sampled(names, first), return_inverse=True)
+        out, row_of, steps = self.written(joined, begin[walked], lengths[walked])
+        rows = row_of[at.reshape(len(texts), SLOTS)]
         place = self.places[np.arange(SLOTS)[None, :], steps[rows]]
         value = np.zeros(rows.shape, np.uint64)
         for k in range(SPAN):
@@ -242,20 +304,24 @@ def _likeness_column(a, b) -> F.Column:
 
 def near_links(prints: DataFrame, least: float = LIKENESS) -> DataFrame:
     """``doc_id, near_id, likeness``: distinct fingerprints linked to the first
-    document of a band they share, each link confirmed by the likeness.
+    document of a band they share, each link confirmed by the likeness, and
+    documents of equal fingerprints linked to the first of them.
 
     Equal fingerprints are collapsed first.  Bands carry ids only, and each
     links to its first document, so a large group gives as many links as it
     has members; fingerprints are joined back for the distinct links alone.
     """
     kinds = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
+    equal = prints.join(kinds.withColumnRenamed("doc_id", "near_id"), "fingerprint").filter(
+        F.col("doc_id") > F.col("near_id")).select("doc_id", "near_id", F.lit(1.0).alias("likeness")).distinct()
     banded = kinds.select("doc_id", F.explode(band_keys(F.col("fingerprint"))).alias("k")).select("doc_id", "k.band", "k.bits")
     heads = banded.groupBy("band", "bits").agg(F.min("doc_id").alias("near_id"))
     links = banded.join(heads, ["band", "bits"]).filter(F.col("doc_id") > F.col("near_id")).select("doc_id", "near_id").distinct()
     near = kinds.select(F.col("doc_id").alias("near_id"), F.col("fingerprint").alias("near_fingerprint"))
     compared = links.join(kinds, "doc_id").join(near, "near_id")
     likeness_ = _likeness_column(F.col("fingerprint"), F.col("near_fingerprint"))
-    return compared.select("doc_id", "near_id", likeness_.alias("likeness")).filter(F.col("likeness") >= least)
+    return compared.select("doc_id", "near_id", likeness_.alias("likeness")).filter(
+        F.col("likeness") >= least).unionByName(equal)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -103,13 +103,46 @@ def test_a_replaced_end_shows_in_short_texts():
 
 def test_walks_reach_the_end_of_their_segment():
     rng = random.Random(8)
-    texts = [ef.classes("".join(rng.choice("abcdefgh") for _ in range(n))) for n in (1, 17, 255, 256, 300, 511, 511, 700)]
-    for text in texts:
-        out, row_of, first, steps = ef.Fingerprinter().written([text])
-        walked = b"".join(out[:steps[row], row].tobytes() for row in row_of)
+    sizes = np.array([1, 17, 255, 256, 300, 511, 511])
+    joined = ef.classes("".join(rng.choice("abcdefgh") for _ in range(sizes.sum())))
+    begin = np.cumsum(sizes) - sizes
+    out, row_of, steps = ef.Fingerprinter().written(joined, begin, sizes)
+    assert out[steps, np.arange(len(steps))].max() == 0
+    for b, n, row in zip(begin, sizes, row_of):
         # every character was written down at least once, in order
-        it = iter(walked)
-        assert all(c in it for c in text.tobytes()) and out[steps, np.arange(len(steps))].max() == 0
+        it = iter(out[:steps[row], row].tobytes())
+        assert all(c in it for c in joined[b:b + n].tobytes())
+
+
+def test_segments_cover_every_character_once():
+    rng = random.Random(1)
+    texts = ["", "a", "ab" * 2000, "z" * 5000, "", "".join(rng.choice("abcd efg") for _ in range(9000)), "x" * 511, "y" * 512]
+    coded = [ef.classes(t) for t in texts]
+    begin, names, first = ef.segments(coded)
+    lengths = np.append(begin[1:], sum(map(len, texts))) - begin
+    assert [int(lengths[a:b].sum()) for a, b in zip(first[:-1], first[1:])] == [len(t) for t in texts]
+    assert lengths.max() < 2 * ef.SEGMENT
+    for a, b in zip(first[:-1], first[1:]):
+        assert len(set(names[a:b].tolist())) == b - a
+    # a text has the same segments whatever else is in its batch
+    alone, own, _ = ef.segments([coded[5]])
+    assert own.tolist() == names[first[5]:first[6]].tolist()
+
+
+def test_an_inserted_passage_leaves_the_rest_alike():
+    rng = random.Random(6)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefgh ijklmnop") for _ in range(n))
+
+    for inserted in (1, 50, 200, 300, 500):
+        found = 0
+        for _ in range(30):
+            text, header = noise(20_000), noise(inserted)
+            prints = _prints(text, header + text, text[:300] + header + text[300:])
+            found += ef.likeness(prints[:1], prints[1:2])[0] >= ef.LIKENESS
+            found += ef.likeness(prints[:1], prints[2:])[0] >= ef.LIKENESS
+        assert found >= 57, (inserted, found)
 
 
 def test_near_links_find_planted_copies(spark):
