@@ -23,6 +23,10 @@ document ids, so of two shards the lower one is earlier.
    by byte and are repeats.
 
 A string that many documents share is sent once per shard, whatever its count.
+The windows across its edges differ from document to document but share its
+anchors.  Shards therefore also exchange how many runs an anchor has; windows of
+a *crowded* anchor go alone, as 128-bit BLAKE2 digests, to the bucket of the
+digest: different windows spread, equal ones still meet.
 
 Defined cases: NULL text is empty; texts shorter than ``LENGTH`` are kept
 whole; repeated rows of one id count in order of their text, of equal rows
@@ -32,6 +36,8 @@ unless all its bytes are removed, so its texts are valid.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +51,9 @@ LENGTH = 100
 SHARD_BYTES = 4 << 20
 #: Text per exchange bucket.
 BUCKET_TEXT = 16 << 20
+#: Runs of an anchor from which its windows are dealt by their own digests;
+#: a shard reports counts from ``NOTED`` on, smaller ones count as one run.
+CROWD, NOTED = 4096, 8
 #: Positions hashed at a time, so that the arrays stay in cache.
 BLOCK = 1 << 16
 
@@ -254,9 +263,9 @@ def _intervals(positions: np.ndarray) -> np.ndarray:
 
 # --- steps on the cluster -----------------------------------------------------
 
-_ANCHORS = "bucket int, shard int, hashes binary"
-_SHARED = "shard int, hashes binary"
-_SENT = "bucket int, shard int, local binary, hashes binary, shape binary, data binary"
+_ANCHORS = "bucket int, shard int, hashes binary, noted binary"
+_SHARED = "shard int, hashes binary, crowded binary"
+_SENT = "bucket int, shard int, local binary, hashes binary, shape binary, data binary, digests binary, places binary"
 _FOUND = "shard int, found binary"
 
 
@@ -266,22 +275,36 @@ def _bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def _anchors(table: pa.Table, shard: int, length: int, buckets: int) -> pa.Table:
     part = Shard(table)
-    hashes = np.unique(runs(part.bytes, part.ends, length)[3])
+    hashes, times = np.unique(runs(part.bytes, part.ends, length)[3], return_counts=True)
     bucket = _bucket_of(hashes, buckets)
     order = np.argsort(bucket, kind="stable")
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)])) if len(order) else [0]
-    rows = [(int(bucket[order[a]]), shard, hashes[order[a:b]].tobytes()) for a, b in zip(cuts[:-1], cuts[1:])]
+    rows = []
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        pick = order[a:b]
+        noted = np.flatnonzero(times[pick] >= NOTED)
+        counts = np.stack((noted, times[pick[noted]]), axis=1).astype(np.int32)
+        rows.append((int(bucket[pick[0]]), shard, hashes[pick].tobytes(), counts.tobytes()))
     return _table(rows, _ANCHORS)
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Per shard the hashes of the bucket that another shard has too."""
+def _shared(table: pa.Table, crowd: int) -> pa.Table:
+    """Per shard the hashes of the bucket that another shard has too, and
+    those of them with more than ``crowd`` runs in all shards."""
     shards = table["shard"].to_pylist()
     lists = [np.frombuffer(b, np.uint64) for b in table["hashes"].to_pylist()]
     every = np.concatenate(lists)
     owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    times = np.ones(len(every), np.int64)
+    begin = 0
+    for x, b in zip(lists, table["noted"].to_pylist()):
+        place, count = np.frombuffer(b, np.int32).reshape(-1, 2).T
+        times[begin + place] = count
+        begin += len(x)
     order = np.argsort(every)
-    every, owner = every[order], owner[order]
+    every, owner, times = every[order], owner[order], times[order]
+    heads = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))) if len(every) else np.zeros(0, np.int64)
+    hot = every[heads[np.add.reduceat(times, heads) > crowd]] if len(every) else every
     twin = np.zeros(len(every), bool)
     same = every[1:] == every[:-1]
     twin[1:] |= same
@@ -290,12 +313,13 @@ def _shared(table: pa.Table) -> pa.Table:
     order = np.argsort(owner, kind="stable")
     every, owner = every[order], owner[order]
     cuts = np.searchsorted(owner, np.arange(len(lists) + 1))
-    return _table([(shards[k], every[cuts[k]:cuts[k + 1]].tobytes())
-                   for k in range(len(lists)) if cuts[k + 1] > cuts[k]], _SHARED)
+    mine = [every[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+    return _table([(shard, x.tobytes(), x[np.isin(x, hot)].tobytes()) for shard, x in zip(shards, mine) if len(x)], _SHARED)
 
 
 def _within(table: pa.Table, shared: pa.Table, shard: int, length: int, buckets: int) -> pa.Table:
-    """Repeats within the shard, and the runs that other shards must see."""
+    """Repeats within the shard, and the runs that other shards must see; of
+    crowded anchors the windows' digests."""
     part = Shard(table)
     data = part.bytes
     start, count, anchor, hashes = runs(data, part.ends, length)
@@ -326,7 +350,12 @@ def _within(table: pa.Table, shared: pa.Table, shard: int, length: int, buckets:
     kept = ~again[windows]
     windows, run = windows[kept], run[kept]
     local = _intervals(np.flatnonzero(again))
-    rows = [(shard % buckets, shard, local.astype(np.int32).tobytes(), None, None, None)] if len(local) else []
+    rows = [(shard % buckets, shard, local.astype(np.int32).tobytes(), *[None] * 5)] if len(local) else []
+    crowded = np.concatenate([np.frombuffer(b, np.uint64) for b in shared["crowded"].to_pylist()]) if lists else hashes[:0]
+    alone = np.isin(hashes, crowded)[run]
+    if alone.any():
+        rows.extend(_digests(data, windows[alone], shard, length, buckets))
+        windows, run = windows[~alone], run[~alone]
     if len(windows):
         head = np.flatnonzero(np.concatenate(([True], (run[1:] != run[:-1]) | (windows[1:] != windows[:-1] + 1))))
         size = np.diff(np.concatenate((head, [len(windows)])))
@@ -338,15 +367,38 @@ def _within(table: pa.Table, shared: pa.Table, shard: int, length: int, buckets:
             pick = order[a:b]
             shape = np.stack((first[pick], size[pick], anchor[of[pick]] - first[pick]), axis=1).astype(np.int32)
             text = data[_spread(first[pick], size[pick] + length - 1)]
-            rows.append((int(bucket[pick[0]]), shard, None, hashes[of[pick]].tobytes(), shape.tobytes(), text.tobytes()))
+            rows.append((int(bucket[pick[0]]), shard, None, hashes[of[pick]].tobytes(), shape.tobytes(), text.tobytes(), None, None))
     return _table(rows, _SENT)
 
 
+def _digests(data: np.ndarray, windows: np.ndarray, shard: int, length: int, buckets: int) -> list[tuple]:
+    """Rows of the windows' digests, each in the bucket of the digest."""
+    text = data.tobytes()
+    found = b"".join([hashlib.blake2b(text[w:w + length], digest_size=16).digest() for w in windows.tolist()])
+    digest = np.frombuffer(found, np.uint64).reshape(-1, 2)
+    bucket = _bucket_of(digest[:, 0], buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]))
+    return [(int(bucket[order[a]]), shard, *[None] * 4, digest[order[a:b]].tobytes(), windows[order[a:b]].astype(np.int32).tobytes())
+            for a, b in zip(cuts[:-1], cuts[1:])]
+
+
 def _merged(table: pa.Table, length: int) -> pa.Table:
     """Repeats across shards among the runs sent to a bucket, and the repeats
     within shards that travel along."""
     out = [(r["shard"], r["local"]) for r in table.select(["shard", "local"]).to_pylist() if r["local"] is not None]
-    sent = sorted((r for r in table.drop_columns(["local"]).to_pylist() if r["data"] is not None), key=lambda r: r["shard"])
+    single = [r for r in table.select(["shard", "digests", "places"]).to_pylist() if r["digests"] is not None]
+    if single:
+        digest = np.concatenate([np.frombuffer(r["digests"], np.uint64).reshape(-1, 2) for r in single])
+        place = np.concatenate([np.frombuffer(r["places"], np.int32) for r in single]).astype(np.int64)
+        shard = np.repeat([r["shard"] for r in single], [len(r["places"]) // 4 for r in single])
+        single = None
+        # a shard sends a window once, so all but the lowest shard's are repeats
+        order = np.lexsort((shard, digest[:, 1], digest[:, 0]))
+        again = order[1:][(digest[order[1:]] == digest[order[:-1]]).all(axis=1)]
+        for s in np.unique(shard[again]):
+            out.append((int(s), _intervals(np.sort(place[again[shard[again] == s]])).astype(np.int32).tobytes()))
+    sent = sorted((r for r in table.select(["shard", "hashes", "shape", "data"]).to_pylist() if r["data"] is not None), key=lambda r: r["shard"])
     if sent:
         shape = [np.frombuffer(r["shape"], np.int32).reshape(-1, 3).astype(np.int64) for r in sent]
         shard = np.repeat([r["shard"] for r in sent], [len(s) for s in shape])
@@ -471,12 +523,13 @@ def removals(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYT
     on_workers(docs.sparkSession)
     rows, shards = with_ranges(docs, shard_bytes, keep=True)
     buckets = max(1, shards * shard_bytes // BUCKET_TEXT)
+    crowd = CROWD
 
     def anchors(key, table):
         return _anchors(table, key[0].as_py(), length, buckets)
 
     def shared(table):
-        return _shared(table)
+        return _shared(table, crowd)
 
     def within(key, table, hashes):
         if not table.num_rows:

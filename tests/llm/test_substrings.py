@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -106,6 +108,37 @@ def test_one_shard_of_copies_of_a_long_text(spark):
     assert all(found[k].n_removed == found[k].n_bytes for k in (1, 2, 3))
 
 
+def _edged(n):
+    """Documents with one passage and unique text around it."""
+    rng = random.Random(12)
+    return [(k, " ".join(f"{rng.getrandbits(40):x}" for _ in range(12)) + " " + PASSAGE[:200] + " "
+             + " ".join(f"{rng.getrandbits(40):x}" for _ in range(12))) for k in range(n)]
+
+
+def test_windows_across_the_edges_of_a_common_passage_spread_over_buckets():
+    docs, shards, buckets = _edged(9000), 6, 16
+    parts = [pa.table({"doc_id": [i for i, _ in docs[k::shards]], "text": [t for _, t in docs[k::shards]]}) for k in range(shards)]
+    anchors = pa.concat_tables([suffix_array._anchors(p, k, 100, buckets) for k, p in enumerate(parts)])
+
+    def by(table, column, key):
+        return table.filter(pa.compute.equal(table[column], key))
+
+    shared = pa.concat_tables([suffix_array._shared(by(anchors, "bucket", b), suffix_array.CROWD) for b in range(buckets)])
+    sent = pa.concat_tables([suffix_array._within(p, by(shared, "shard", k), k, 100, buckets) for k, p in enumerate(parts)])
+    sizes = [sum(len(x) for c in ("data", "digests") for x in by(sent, "bucket", b)[c].to_pylist() if x) for b in range(buckets)]
+    assert max(sizes) < 2 * sum(sizes) / buckets
+
+
+def test_crowded_anchors_give_the_same_rows(spark, monkeypatch):
+    docs = _edged(200)
+    # some neighbourhoods of the passage occur again, in other shards too
+    docs += [(1000 + k, "x" * k + docs[k][1][60:-40]) for k in range(0, 200, 3)]
+    monkeypatch.setattr(suffix_array, "BUCKET_TEXT", 15_000)
+    for crowd in (0, 20):
+        monkeypatch.setattr(suffix_array, "CROWD", crowd)
+        assert got_bytes(suffix_array.removals(edge_docs(spark, [(*d, "s") for d in docs]), shard_bytes=10_000)) == want_bytes(docs)
+
+
 def _left(sizes):
     return np.concatenate([np.arange(n, 0, -1) for n in sizes]) if sizes else np.zeros(0, np.int64)
 
