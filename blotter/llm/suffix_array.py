@@ -18,9 +18,10 @@ document ids, so of two shards the lower one is earlier.
    of equal windows; all but a group's first are repeats within the shard.
 4. *Cross-shard merge.*  First occurrences whose anchors other shards have too
    are sent, as text of their runs, to the anchor's bucket.  There the
-   shards' sorted windows are merged pairwise, lower shards first, by binary
-   search of each window of the higher in the lower; hits are confirmed byte
-   by byte and are repeats.
+   shards' windows, sorted by a 64-bit digest (the suffix arrays are not used
+   again), are merged pairwise, lower shards first, by binary search of each
+   digest of the higher in the lower; hits are confirmed byte by byte, against
+   every window of that digest, and are repeats.
 
 A string that many documents share is sent once per shard, whatever its count.
 The windows across its edges differ from document to document but share its
@@ -476,8 +477,11 @@ def merge_shards(text: np.ndarray, window: np.ndarray, owner: np.ndarray, length
             hit[hit] = low[at[hit]] == high[hit]
             for part in np.array_split(np.flatnonzero(hit), 1 + hit.sum() // 50_000):
                 a, b = window[low_ids[at[part]]], window[high_ids[part]]
-                if not (text[a[:, None] + span] == text[b[:, None] + span]).all():
-                    raise ValueError("digest collision between different windows")
+                for h in part[(text[a[:, None] + span] != text[b[:, None] + span]).any(axis=1)]:
+                    # another window has the digest: look at the others of it
+                    rest = low_ids[at[h] + 1:np.searchsorted(low, high[h], "right")]
+                    mine = text[window[high_ids[h]] + span]
+                    hit[h] = any((text[window[i] + span] == mine).all() for i in rest)
             repeated[high_ids[hit]] = True
             new = ~hit
             merged.append((np.insert(low, at[new], high[new]), np.insert(low_ids, at[new], high_ids[new])))
