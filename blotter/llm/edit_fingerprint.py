@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.doc_ranges import RANGE, in_order, with_ranges
+from blotter.llm.doc_ranges import HELD, RANGE, in_order, key_columns, with_ranges
 from blotter.llm.native_text import documents
 from blotter.llm.shipping import on_workers
 
@@ -229,21 +229,16 @@ def _in_chunks(texts: list[str]):
         yield begin, len(texts)
 
 
-def _with_guests(rows: DataFrame) -> DataFrame:
+def _with_guests(rows: DataFrame, ranges: int) -> DataFrame:
     """Ranges of ``doc_id, text``, each with the document that follows its
     last one as a guest: the first of the next range, or for the last range
     the first of all."""
-    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    ids = rows.groupBy(RANGE).agg(F.min(first).alias("m"))
-    # one row per range, at most MAX_RANGES, on the driver and broadcast
-    firsts = sorted((r[RANGE], r["m"]["id"]) for r in ids.collect())
-    if not firsts:
-        return rows.withColumn("guest", F.lit(False))
-    host = [(r, i, firsts[k - 1][0]) for k, (r, i) in enumerate(firsts)]
-    id_type = dict(rows.dtypes)["doc_id"]
-    hosts = rows.sparkSession.createDataFrame(host, f"at int, first {id_type}, host int")
-    met = rows.join(F.broadcast(hosts), (F.col(RANGE) == F.col("at"))
-                    & F.col("doc_id").eqNullSafe(F.col("first")), "left")
+    keyed = rows.select("*", F.struct(*key_columns()).alias("key"))
+    firsts = keyed.groupBy(RANGE).agg(F.min("key").alias("key")).select(
+        RANGE, "key", F.pmod(F.col(RANGE) - 1, F.lit(ranges)).alias("host"))
+    if ranges <= HELD:
+        firsts = F.broadcast(firsts)  # one row per range, at most HELD
+    met = keyed.join(firsts, [RANGE, "key"], "left")
     seat = F.struct(F.col(RANGE).alias("seat"), F.lit(False).alias("guest"))
     seats = F.when(F.col("host").isNull(), F.array(seat)).otherwise(
         F.array(seat, F.struct(F.col("host").alias("seat"), F.lit(True).alias("guest"))))
@@ -256,7 +251,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     next document, and the likenesses."""
     on_workers(docs.sparkSession)
     id_type = dict(docs.dtypes)["doc_id"]
-    rows, _ = with_ranges(docs, RANGE_TEXT)
+    rows, ranges = with_ranges(docs, RANGE_TEXT)
 
     def run(key, table):
         guests = table.filter(table["guest"])
@@ -280,7 +275,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         out = pa.concat_tables(done)
         return out.add_column(0, pa.field("doc_id", own.schema.field("doc_id").type), own["doc_id"])
 
-    return _with_guests(rows).groupBy(RANGE).applyInArrow(
+    return _with_guests(rows, ranges).groupBy(RANGE).applyInArrow(
         run, f"doc_id {id_type}, n_chars long, edited_sha256 string, fingerprint string, "
              "edited_fingerprint string, near_edited double, near_next double")
 

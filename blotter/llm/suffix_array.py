@@ -80,6 +80,8 @@ class Shard:
         self.ends = offsets[1:] - offsets[0]
         self.starts = offsets[:-1] - offsets[0]
         self.bytes = buffer[offsets[0]:offsets[-1]]
+        if len(self.bytes) >= 1 << 31:  # only rows equal in id and text can come to this
+            raise ValueError(f"{len(self.table)} rows of one range hold {len(self.bytes)} bytes")
 
 
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
