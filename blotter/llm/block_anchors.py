@@ -12,11 +12,14 @@ shards the lower one is earlier.
    corpus size needs and coded as differences; a bucket returns to each shard
    the blocks that some shard indexes and more than one shard probes.
 2. *Extension.*  Around each hit, shared or within the shard, all windows
-   containing it are compared as whole windows (96-bit digests); within a
-   shard all but the first of equal windows are repeats, and the first ones
-   around shared hits go to the digest's bucket, where the lowest shard's is
-   the original.  Neighbouring repeated windows make up the maximal exact
-   repeats.
+   containing it are compared as whole windows (128-bit BLAKE2 of their words,
+   joined by one space); within a shard all but the first of equal windows are
+   repeats, and the first ones around shared hits go to the digest's bucket,
+   where the lowest shard's is the original.  Neighbouring repeated windows make
+   up the maximal exact repeats.
+
+Blocks and probes only choose what is compared: a word's hash is the XXH64 of its
+bytes, and a chance collision costs a needless comparison.
 
 A passage that many documents share is sent once per shard.
 
@@ -28,28 +31,30 @@ space.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.doc_ranges import RANGE, with_ranges
 from blotter.llm.native_text import documents
 from blotter.llm.shipping import on_workers
-from blotter.llm.suffix_array import Shard, _intervals, _spread, _table, joint_hashes
+from blotter.llm.suffix_array import Shard, _intervals, _table, joint_hashes
+from blotter.llm.words import WordSpans
 
 WINDOW = 20
 SHARD_BYTES, BUCKET_TEXT = 4 << 20, 16 << 20
 #: False hits are about one probe in 2 ** SPARE_BITS.
 SPARE_BITS = 9
 
-_TABLE = np.random.default_rng(8).integers(1, 1 << 63, 256, np.uint64)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
-_CHECK = np.random.default_rng(9).integers(1, 1 << 62, 16, np.uint64) * np.uint64(2) + np.uint64(1)
+SEED = 8
 
 _ANCHORS = "bucket int, shard int, kind int, n int, keys binary"
 _SHARED = "shard int, hits binary"
-_SENT = "bucket int, shard int, local binary, digests binary, checks binary, places binary"
+_SENT = "bucket int, shard int, local binary, digests binary, places binary"
 _FOUND = "shard int, local binary, places binary"
 
 
@@ -57,37 +62,24 @@ class Words:
     """The words of a shard: byte spans, hashes, and each text's share."""
 
     def __init__(self, table: pa.Table):
-        self.part = part = Shard(table)
-        data = part.bytes
-        inside = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
-        edges = part.starts[(part.starts < len(data)) & (part.starts < part.ends)]
-        begins[edges] = inside[edges]
-        self.starts = np.flatnonzero(begins)
-        # a word ends at white space or where the text ends
-        n = len(self.starts)
-        lasts = np.concatenate((self.starts[1:], [len(data)])).astype(np.int64) if n else np.zeros(0, np.int64)
-        ahead = np.concatenate(([0], np.cumsum(inside)))
-        self.sizes = ahead[lasts] - ahead[self.starts] if n else lasts
-        self.first = np.searchsorted(self.starts, part.starts)
-        self.last = np.searchsorted(self.starts, part.ends)
+        self.part = Shard(table)
+        self.spans = WordSpans(self.part.bytes, self.part.starts, self.part.ends)
+        self.starts, self.sizes = self.spans.starts, self.spans.sizes
+        self.first, self.last = self.spans.first, self.spans.last
 
     def hashes(self) -> np.ndarray:
-        n, data = len(self.starts), self.part.bytes
-        if not n:
-            return np.zeros(0, np.uint64)
-        out = np.empty(n, np.uint64)
-        powers = np.cumprod(np.full(int(self.sizes.max()) + 1, _STEP, np.uint64))
-        for low in range(0, n, 1 << 16):  # words at a time, so that arrays stay small
-            high = min(n, low + (1 << 16))
-            starts, sizes = self.starts[low:high], self.sizes[low:high]
-            at = _spread(starts, sizes)
-            ahead = np.cumsum(sizes) - sizes
-            value = _TABLE[data[at]] * powers[np.arange(len(at)) - np.repeat(ahead, sizes)]
-            out[low:high] = np.add.reduceat(value, ahead) + powers[sizes]
-        out = (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        return out ^ (out >> np.uint64(30))
+        """The XXH64 of each word's bytes; equal words are hashed once."""
+        codes, words = self.spans.coded()
+        found = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words.to_pylist()), np.uint64, len(words))
+        return found[codes]
+
+    def digests(self, window: int, chosen: np.ndarray) -> np.ndarray:
+        """128-bit BLAKE2 of the words, joined by one space, of the chosen
+        windows (by their first word), as two integers each."""
+        text, before = self.spans.text_of(np.arange(len(self.starts)))
+        spans = zip(before[chosen].tolist(), (before[chosen + window] - 1).tolist())
+        found = b"".join([hashlib.blake2b(text[a:b], digest_size=16).digest() for a, b in spans])
+        return np.frombuffer(found, np.uint64).reshape(-1, 2)
 
     def room(self) -> np.ndarray:
         """Words from each word to the end of its text."""
@@ -183,21 +175,19 @@ def _within(table: pa.Table, shared: pa.Table, shard: int, window: int, buckets:
     whole = room[:windows] >= window
     asked = np.flatnonzero(whole & _around(elsewhere | again, window, block, windows))
     outside = _around(elsewhere, window, block, windows)[asked]
-    digest = joint_hashes(hashes, window)[asked]
-    check = (joint_hashes(hashes, window, _CHECK)[asked] >> np.uint64(32)).astype(np.uint32)
+    digest = words.digests(window, asked)
     # equal windows side by side, in text order
-    order = np.argsort(digest, kind="stable")
+    order = np.lexsort((digest[:, 1], digest[:, 0]))
     same = np.zeros(len(order), bool)
-    same[1:] = (digest[order][1:] == digest[order][:-1]) & (check[order][1:] == check[order][:-1])
+    same[1:] = (digest[order][1:] == digest[order][:-1]).all(axis=1)
     local = _intervals(np.sort(asked[order[same]]))
-    rows = [(shard % buckets, shard, local.astype(np.int32).tobytes(), None, None, None)] if len(local) else []
+    rows = [(shard % buckets, shard, local.astype(np.int32).tobytes(), None, None)] if len(local) else []
     firsts = order[~same & outside[order]]  # still sorted by digest
     width = -(-(1 << 32) // buckets)
-    cuts = np.searchsorted(digest[firsts] >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64) * np.uint64(width))
+    cuts = np.searchsorted(digest[firsts, 0] >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64) * np.uint64(width))
     for b in np.flatnonzero(np.diff(cuts)):
         part = firsts[cuts[b]:cuts[b + 1]]
-        rows.append((int(b), shard, None, digest[part].tobytes(), check[part].tobytes(),
-                     asked[part].astype(np.int32).tobytes()))
+        rows.append((int(b), shard, None, digest[part].tobytes(), asked[part].astype(np.int32).tobytes()))
     return _table(rows, _SENT)
 
 
@@ -207,14 +197,13 @@ def _merged(table: pa.Table) -> pa.Table:
     out = [(r["shard"], r["local"], None) for r in rows if r["local"] is not None]
     sent = sorted((r for r in rows if r["digests"] is not None), key=lambda r: r["shard"])
     if len(sent) > 1:
-        digest = np.concatenate([np.frombuffer(r["digests"], np.uint64) for r in sent])
-        check = np.concatenate([np.frombuffer(r["checks"], np.uint32) for r in sent])
+        digest = np.concatenate([np.frombuffer(r["digests"], np.uint64).reshape(-1, 2) for r in sent])
         place = np.concatenate([np.frombuffer(r["places"], np.int32) for r in sent])
         owner = np.repeat(np.arange(len(sent)), [len(r["places"]) // 4 for r in sent])
-        order = np.argsort(digest, kind="stable")  # equal ones in shard order
-        digest, check = digest[order], check[order]
+        order = np.lexsort((digest[:, 1], digest[:, 0]))  # equal ones in shard order
+        digest = digest[order]
         later = np.zeros(len(order), bool)
-        later[1:] = (digest[1:] == digest[:-1]) & (check[1:] == check[:-1])
+        later[1:] = (digest[1:] == digest[:-1]).all(axis=1)
         found = order[later]
         owner, place = owner[found], place[found]
         for k in np.unique(owner):
@@ -237,15 +226,6 @@ def _covered(words: Words, found: pa.Table, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def _joined(words: Words, keep: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """Kept words each with a space behind, and the bytes before each word."""
-    starts, sizes = words.starts[keep], words.sizes[keep]
-    ends = np.cumsum(sizes + 1)
-    out = np.full(int(ends[-1]) if len(ends) else 0, 0x20, np.uint8)
-    out[_spread(ends - sizes - 1, sizes)] = words.part.bytes[_spread(starts, sizes)]
-    return out.tobytes(), np.concatenate(([0], ends))
-
-
 def removals(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Per row of ``docs``: its other columns as ``rest``, ``n_words``,
     ``n_removed`` and ``kept``, the kept words joined by one space."""
@@ -270,7 +250,7 @@ def removals(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYT
     def kept(table, found):
         words = Words(table)
         gone = _covered(words, found, window)
-        text, before = _joined(words, ~gone)
+        text, before = words.spans.text_of(np.flatnonzero(~gone))
         stays = np.concatenate(([0], np.cumsum(~gone)))
         low, high = stays[words.first], stays[words.last]
         texts = [text[a:max(a, b - 1)].decode("utf-8", "replace") for a, b in zip(before[low].tolist(), before[high].tolist())]
