@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 import blotter
 
 _SHIPPED: set[str] = set()
+_CACHES: list = []
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -33,9 +34,16 @@ def on_workers(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def held_until_needed(clear) -> None:
+    """``clear()`` empties a cache that a worker keeps from task to task."""
+    _CACHES.append(clear)
+
+
 def give_back_memory() -> None:
-    """Return freed memory of this worker to the system.  Workers live on
-    after a task, next to those of the following stage."""
+    """Empty this worker's caches and return freed memory to the system.
+    Workers live on after a task, next to those of the following stage."""
+    for clear in _CACHES:
+        clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it

@@ -25,6 +25,7 @@ are stored each; rows without an id come last; no documents, no files.
 from __future__ import annotations
 
 import gc
+import re
 import struct
 import uuid
 from array import array
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from blotter.llm.doc_ranges import RANGE, in_order, with_ranges
 from blotter.llm.native_text import documents
-from blotter.llm.shipping import on_workers
+from blotter.llm.shipping import held_until_needed, on_workers
 from blotter.llm.suffix_array import _spread
 from blotter.session import scratch_path
 
@@ -53,8 +54,11 @@ FRAME_BYTES = 256 << 10
 FILE_TEXT_BYTES = 8 << 20
 LEVEL = 1
 MEMO_CHUNKS = 700_000
-#: Texts encoded together (a file's texts are bounded by their bytes).
+#: Texts encoded together (a file's texts are bounded by their bytes); files
+#: added up together.
 TOGETHER = 4096
+#: Files that one task reads back.
+FILES_PER_TASK = 4
 #: First character after the composed Latin letters.
 LATIN = "\u0250"
 
@@ -77,6 +81,8 @@ class ChunkTokenizer:
     stops and commas at its end after an ASCII letter or digit are tokens of
     their own, and Latin letters count as lower case, so the library sees
     each such core once.  Plain words go to the library's merges directly.
+    The library looks for its added tokens in the raw text, letters' case
+    included: a chunk that holds one in any case goes to it as it is.
 
     Texts are split and their distinct chunks numbered in Arrow; Python only
     sees each distinct chunk of a batch, and numpy puts the ids together.
@@ -87,6 +93,7 @@ class ChunkTokenizer:
 
         self.library = Tokenizer.from_file(path)
         self.merges = self.library.model.tokenize
+        self.added = sorted({t.content.lower() for t in self.library.get_added_tokens_decoder().values()})
         self.spelled: dict[str, str] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -115,7 +122,10 @@ class ChunkTokenizer:
         for chunk in chunks:
             ids = older.get(chunk)
             if ids is None:
-                if chunk.isascii():
+                lower, tail = chunk.lower(), ""
+                if any(token in lower for token in self.added):
+                    ids = array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
+                elif chunk.isascii():
                     core = chunk.rstrip(".,")
                     tail = chunk[len(core):] if core and core[-1].isalnum() else ""
                     ids = self._piece((core if tail else chunk).lower())
@@ -161,6 +171,9 @@ def tokenizer(path: str) -> ChunkTokenizer:
     return ChunkTokenizer(path)
 
 
+held_until_needed(tokenizer.cache_clear)
+
+
 # --- files ----------------------------------------------------------------
 
 
@@ -255,7 +268,9 @@ class Reader:
 
 
 def _open(uri: str):
-    return pafs.FileSystem.from_uri(uri)
+    """File system and folder of a path as Spark names it.  Arrow opens local
+    folders, ``hdfs:``, ``gs:`` and ``s3:``; Spark's other names of S3 are the same."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
 
 
 def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = END_ID) -> DataFrame:
@@ -288,15 +303,29 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int = END_ID) ->
     written = rows.groupBy(RANGE).applyInArrow(write, "part int, file string, n_docs long, n_ids long")
     # one row per file; stored, so that nothing is written again when it is read again
     written.write.parquet(f"{out}/manifest")
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    manifest = docs.sparkSession.read.parquet(f"{out}/manifest")
-    return manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    return with_starts(docs.sparkSession.read.parquet(f"{out}/manifest"))
+
+
+def with_starts(manifest: DataFrame, together: int = TOGETHER) -> DataFrame:
+    """``start``: the ids in all files before.  Files are added up in blocks of
+    ``together`` first, so that no task holds more than a block, or one row of
+    each block."""
+    blocked = manifest.withColumn("block", F.floor(F.col("part") / together))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begins = blocked.groupBy("block").agg(F.sum("n_ids").alias("n")).select(
+        "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    inside = Window.partitionBy("block").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return blocked.join(begins, "block").withColumn(
+        "start", F.col("begin") + F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).drop("block", "begin")
 
 
-def read_tokens(manifest: DataFrame, out: str, wanted=None) -> DataFrame:
-    """``doc_id, start, ids`` of all documents, or of the ids in ``wanted``."""
+def read_tokens(manifest: DataFrame, out: str, wanted=None, tasks: int | None = None) -> DataFrame:
+    """``doc_id, start, ids`` of all documents, or of the ids in ``wanted``, in
+    as many ``tasks`` (by default one for ``FILES_PER_TASK`` files)."""
     on_workers(manifest.sparkSession)
     wanted = None if wanted is None else set(wanted)
+    if tasks is None:
+        tasks = max(1, -(-(manifest.agg(F.max("part")).first()[0] or 0) // FILES_PER_TASK))
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         system, base = _open(out)
@@ -316,7 +345,8 @@ def read_tokens(manifest: DataFrame, out: str, wanted=None) -> DataFrame:
                     if held:
                         yield _rows(held)
 
-    return manifest.select("file", "start", "part").repartition("part").mapInArrow(
+    # an explicit number: small as the manifest is, its tasks are not put together
+    return manifest.select("file", "start", "part").repartition(tasks, "part").mapInArrow(
         read, "doc_id long, start long, ids binary")
 
 
