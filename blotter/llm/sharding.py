@@ -1,18 +1,21 @@
 """Sharding through fixed virtual slots.
 
-A record's virtual slot is a hash of its id and never changes.  Bytes and
+A record's virtual slot is a hash of its id and its text and never changes (the
+text spreads rows without an id, or of one id).  Bytes and
 rows are aggregated per virtual slot, and a slot-to-shard map, stored as a
 table with a version per edit, places the slots.  Version 1 deals them round
 robin; ``rebalanced`` edits a version so that shard sizes come near each
 other, moving only slots whose shard is above the mean.  Only the map is
-ever edited: a reader needs the id, the slot count and the latest version.
+ever edited: a reader needs the record, the slot count and the latest version.
 
 The law is ``bytes``: shard sizes in bytes are near equal, to within about
-one virtual slot.
+one virtual slot.  Equal texts are the groups by which rows may be skewed; a group
+may hold more than a shard, so its rows are spread by their ids and need not
+share a shard.
 
 Defined cases: a NULL text has size 1 (no bytes plus one) and the checksum of
-nothing; NULL ids share one virtual slot; repeated rows share a shard and get
-places of their own; an empty table gives an empty result.
+nothing; rows without an id are spread by their text; rows equal in id and text
+share a virtual slot and get places of their own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ VIRTUAL_SLOTS = 4096
 SHARDS = 8
 
 
-def virtual_slot(key: Column, slots: int = VIRTUAL_SLOTS) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+def virtual_slot(*key: Column, slots: int = VIRTUAL_SLOTS) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(slots)).cast("int")
 
 
 def sized(docs: DataFrame, slots: int = VIRTUAL_SLOTS) -> DataFrame:
@@ -37,7 +40,7 @@ def sized(docs: DataFrame, slots: int = VIRTUAL_SLOTS) -> DataFrame:
     text = whole(F.col("text"))
     return docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), virtual_slot(F.col("doc_id"), slots).alias("vslot"))
+        F.crc32(text.cast("binary")).alias("text_crc32"), virtual_slot(F.col("doc_id"), text, slots=slots).alias("vslot"))
 
 
 def slot_totals(rows: DataFrame, slots: int = VIRTUAL_SLOTS) -> DataFrame:
