@@ -5,9 +5,11 @@ a whole number of copies, the same for all, and a fractional copy decided by
 rounding.  The rounding is the pivotal method on words: two documents with
 fractional probabilities exchange probability so that the expected words of
 the pair stay the same, in a random direction chosen without bias, until one
-of them is decided.  A block of documents is reduced this way from the
+of them is decided.  A block of ``BLOCK`` documents is reduced this way from the
 largest to the smallest to one undecided document; those meet in the next
-level's blocks, so a source of any size is a tree of small blocks.  The one
+level's blocks, so a source of any size is a tree of small blocks.  Blocks are
+counted off inside cells, hashes of id and size of about ``BLOCK ** 2`` documents,
+so none is larger, whatever ids or sizes repeat.  The one
 document left at the root is rounded to the nearer side: a source's total
 misses its target by at most half of one document.
 
@@ -28,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.native_text import WORD, documents, let, whole
+from blotter.llm.native_text import WORD, documents, let, unused, whole
 from blotter.session import checkpoint_base
 
 MOST = 3
@@ -112,6 +114,13 @@ def _reduce_block(units: Column, id_type: str, seed: int) -> Column:
         acc["done"], F.filter(F.array(acc["left"]), lambda u: u.isNotNull())))
 
 
+def blocked(level: DataFrame, keys: list[str], seed: int, block: int = BLOCK) -> DataFrame:
+    """``level`` with ``block``, counted off in each cell by a hash."""
+    order = F.xxhash64(F.lit(seed), "u.doc_id", "u.size")
+    place = F.row_number().over(Window.partitionBy(*keys, "cell").orderBy(order, "u.doc_id", "u.size"))
+    return level.withColumn("block", F.floor((place - 1) / block))
+
+
 def copies(rows: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     """``source, doc_id, size, n, source_size, target, copies``: one row per
     distinct document; ``n`` counts its equal rows, ``copies`` is for each."""
@@ -121,33 +130,37 @@ def copies(rows: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
     # one row per source: broadcast only if measured small, split if skewed
     joined = units.join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("units") / block))
+    cells = F.greatest(F.lit(1), F.ceil(F.col("units") / (block * block)))
     state = joined.withColumn("rate", rate).select(
-        "source", "source_size", "target", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), blocks).alias("block"),
+        "source", "source_size", "target", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), cells).alias("cell"),
         F.floor("rate").cast("int").alias("whole"), (F.col("rate") - F.floor("rate")).alias("p"),
         (F.col("size") * F.col("n")).alias("mass"), "doc_id", "size", "n")
     unit = F.struct("mass", "doc_id", "size", "n", "whole", F.when(
         (F.col("p") < EPS) | (F.col("mass") == 0), F.lit(0.0)).when(F.col("p") > 1 - EPS, F.lit(1.0)).otherwise(F.col("p")).alias("p"))
     id_type = dict(rows.dtypes)["doc_id"]
     keys = ["source", "source_size", "target"]
-    level = state.select(*keys, "block", unit.alias("u"))
+    level = state.select(*keys, "cell", unit.alias("u"))
     most = sources.agg(F.max("units")).first()[0] or 0
-    decided, depth, width = None, 0, max(1, -(-most // block))
+    decided, depth = None, 0
     while True:
-        gathered = level.groupBy(*keys, "block").agg(F.sort_array(F.collect_list("u"), asc=False).alias("us"))
-        reduced = gathered.select(*keys, "block", F.explode(_reduce_block(F.col("us"), id_type, seed + depth)).alias("u"))
-        last = width == 1
+        last = most <= block
+        if last:
+            level = level.withColumn("cell", F.lit(0).cast("bigint"))
+        gathered = blocked(level, keys, seed + depth, block).groupBy(*keys, "cell", "block").agg(
+            F.sort_array(F.collect_list("u"), asc=False).alias("us"))
+        reduced = gathered.select(*keys, "cell", F.explode(_reduce_block(F.col("us"), id_type, seed + depth)).alias("u"))
         if last:
             # the one document left at the root goes to the nearer side
             done = reduced.withColumn("drawn", F.when(F.col("u.p") >= 0.5, 1.0).otherwise(0.0))
         else:
-            reduced = reduced.checkpoint()  # read twice: the decided and the rest
+            reduced = reduced.checkpoint()  # read several times: the decided and the rest
             done = reduced.filter(~_open(F.col("u"))).withColumn("drawn", F.col("u.p"))
-            level = reduced.filter(_open(F.col("u"))).withColumn("block", F.floor(F.col("block") / block))
+            level = reduced.filter(_open(F.col("u"))).withColumn("cell", F.floor(F.col("cell") / block))
+            most = level.groupBy("source").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
         decided = done if decided is None else decided.unionByName(done)
         if last:
             break
-        depth, width = depth + 1, -(-width // block)
+        depth += 1
     return decided.select(
         "source", "u.doc_id", "u.size", "u.n", "source_size", "target",
         (F.col("u.whole") + F.col("drawn").cast("int")).alias("copies"))
@@ -160,14 +173,13 @@ def repeated(n: Column) -> Column:
 
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` with every row repeated as often as the mix takes it."""
+    id_, source, size, copies_, words, copy = unused(docs, "__id", "__source", "__size", "__copies", "__words", "__copy")
     plan = copies(sized(docs), seed).filter(F.col("copies") > 0).select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"),
-        F.col("copies").alias("__copies"))
-    counted = docs.withColumn("__words", F.regexp_count(whole(F.col("text")), F.lit(WORD)).cast("long"))
-    same = (F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
-            & (F.col("__words") == F.col("__size")))
+        F.col("doc_id").alias(id_), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(copies_))
+    counted = docs.withColumn(words, F.regexp_count(whole(F.col("text")), F.lit(WORD)).cast("long"))
+    same = (F.col("doc_id").eqNullSafe(F.col(id_)) & F.col("source").eqNullSafe(F.col(source)) & (F.col(words) == F.col(size)))
     return counted.join(plan, same).select(
-        *[F.col(f"`{c}`") for c in docs.columns], repeated(F.col("__copies")).alias("__copy")).drop("__copy")
+        *[F.col(f"`{c}`") for c in docs.columns], repeated(F.col(copies_)).alias(copy)).drop(copy)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,3 +26,14 @@ def words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(v)`` with ``value`` evaluated once per row."""
     return F.transform(F.array(value), body)[0]
+
+
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``docs`` has it (in any case)."""
+    taken, found = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
