@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from blotter.llm.components import components
-from blotter.llm.native_text import documents
-from blotter.llm.shipping import on_workers
+from blotter.llm.native_text import documents, unused, whole
+from blotter.llm.shipping import give_back_memory, on_workers
 from blotter.session import checkpoint_base
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
@@ -101,18 +101,23 @@ def fingerprint_batch(texts: list[str], shingle: int = SHINGLE) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, fp``: the 64-bit fingerprint as a signed long."""
+    """``doc_id, fp, text_hash``: the 64-bit fingerprint as a signed long, and
+    the XXH64 of the text (NULL as empty)."""
     on_workers(docs.sparkSession)
     id_type = dict(docs.dtypes)["doc_id"]
+    text = whole(F.col("text"))
 
     def run(batches):
+        give_back_memory()
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             if texts:
                 found = fingerprint_batch(texts, shingle).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found)], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"], pa.array(found), batch["text_hash"]], ["doc_id", "fp", "text_hash"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {id_type}, fp long")
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash")).mapInArrow(
+        run, f"doc_id {id_type}, fp long, text_hash long")
 
 
 # --- links ------------------------------------------------------------------
@@ -216,7 +221,8 @@ def _cells(table: pa.Table, radius: int, last: bool) -> tuple[np.ndarray, pa.Tab
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``doc_id, fp, component_id`` per row: the smallest id reachable."""
+    """``doc_id, fp, text_hash, component, component_id`` per row: the
+    component's least fingerprint and the smallest id reachable."""
     checkpoint_base(docs.sparkSession)
     prints = fingerprints(docs, shingle).checkpoint()  # texts are read once
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
@@ -225,20 +231,34 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     # the component's smallest id comes from its fingerprints' smallest ids
     member = distinct.join(parts, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = member.join(least, "component").select("fp", "component_id")
+    named = member.join(least, "component").select("fp", "component", "component_id")
     return prints.join(named, "fp")
 
 
 def representatives(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """``docs`` reduced to one row of each component: its smallest id, and of
-    several rows with that id the one with the smallest text.  Rows without
-    an id are all kept."""
-    checkpoint_base(docs.sparkSession)
-    chosen = near_duplicates(docs, shingle, radius).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first()))
-    one = kept.withColumn("__place", place).filter(F.col("__place") == 1).drop("__place")
-    return one.unionByName(docs.filter(F.col("doc_id").isNull()))
+    """``docs`` reduced to one row of each component: of its smallest id (a
+    missing one only if there is no other), and of several rows with that id the
+    one whose text has the least XXH64; of rows equal in both any one."""
+    spark = docs.sparkSession
+    checkpoint_base(spark)
+    found = near_duplicates(docs, shingle, radius)
+    rows_of = found.groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("h"), "n"))
+    id_, hash_, n, own = unused(docs, "__id", "__hash", "__n", "__own_hash")
+    chosen = rows_of.groupBy("component").agg(first.alias("one")).select(
+        F.col("one.id").alias(id_), F.col("one.h").alias(hash_), F.col("one.n").alias(n)).checkpoint()
+    hashed = docs.withColumn(own, F.xxhash64(whole(F.col("text"))))
+
+    def kept(some: DataFrame) -> DataFrame:
+        return hashed.join(some.drop(n), F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(hash_)), "left_semi")
+
+    one = kept(chosen.filter(F.col(n) == 1)).drop(own)
+    several = chosen.filter(F.col(n) > 1)
+    if several.isEmpty():
+        return one
+    # rows equal in id and text: one of them, reduced in each task before the shuffle
+    row = F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("row")
+    return one.unionByName(kept(several).groupBy("doc_id", own).agg(row).select("row.*"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
