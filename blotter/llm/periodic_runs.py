@@ -24,7 +24,7 @@ words need no sorted suffixes, and none are sorted for them.
 A stretch found for a multiple of its smallest period has the same ends (by
 Fine and Wilf), so of stretches with the same ends the smallest period stays.
 
-Each text is worked on whole; texts of about ``BATCH_WORDS`` words are worked on
+Each text is worked on whole; texts of about ``BATCH_BYTES`` are worked on
 side by side, set apart by a number of their own.  A worker's memory grows with
 the longest text.
 
@@ -45,12 +45,12 @@ from pyspark.sql import functions as F
 
 from blotter.llm.native_text import documents
 from blotter.llm.shipping import on_workers
-from blotter.llm.words import WordSpans, joined
+from blotter.llm.words import WordSpans, joined, lots
 
 LEAST, TIMES = 6, 4
 STEP = 8
-#: Words of the texts worked on side by side, and pairs extended at a time.
-BATCH_WORDS, LOT = 1 << 20, 1 << 18
+#: Bytes of the texts worked on side by side, and pairs extended at a time.
+BATCH_BYTES, LOT = 2 << 20, 1 << 17
 
 
 def cover(step: int = STEP) -> np.ndarray:
@@ -272,18 +272,6 @@ def kept_words(n: int, found: np.ndarray) -> np.ndarray:
     return np.cumsum(edge[:-1]) == 0
 
 
-def _batches(first: np.ndarray, last: np.ndarray):
-    """Index ranges of texts with about ``BATCH_WORDS`` words."""
-    begin = total = 0
-    for k, size in enumerate((last - first).tolist()):
-        total += size
-        if total >= BATCH_WORDS:
-            yield begin, k + 1
-            begin, total = k + 1, 0
-    if begin < len(first):
-        yield begin, len(first)
-
-
 _RUN = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
 
 
@@ -324,8 +312,7 @@ def collapse(docs: DataFrame, edit: Callable | None = None, step: int = STEP) ->
     def run(batches):
         for batch in batches:
             texts = batch["text"]
-            spans = WordSpans(*joined(texts))
-            for a, b in _batches(spans.first, spans.last):
+            for a, b in lots(texts, BATCH_BYTES):
                 yield _collapsed(batch["doc_id"].slice(a, b - a), texts.slice(a, b - a), edit, step)
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(

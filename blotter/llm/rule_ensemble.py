@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from blotter.llm.native_text import documents
 from blotter.llm.shipping import on_workers
-from blotter.llm.words import WordSpans, joined
+from blotter.llm.words import WordSpans, joined, lots
 from blotter.session import scratch_path
 
 #: Labelled rows that are learned from, at most.
@@ -45,7 +45,7 @@ TREES, DEPTH, BINS, SEED = 20, 3, 64, 11
 #: Lasso penalties, strongest first, and the loss given up for a stronger one.
 PENALTIES, SLACK = (0.03, 0.01, 0.003, 0.001), 0.005
 #: Text measured at a time.
-CHUNK = 8 << 20
+CHUNK = 2 << 20
 
 STATISTICS = (
     "chars", "words", "mean_word", "symbols", "stops", "marks", "upper", "digits", "beyond_ascii",
@@ -123,14 +123,11 @@ def statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts, sizes = batch["text"], np.diff(np.append(0, joined(batch["text"])[2]))
-            lot = np.cumsum(sizes) // CHUNK
-            cuts = np.concatenate(([0], np.flatnonzero(np.diff(lot)) + 1, [len(lot)])).tolist()
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                if a < b:
-                    rows = measured(texts.slice(a, b - a))
-                    kept = [batch[c].slice(a, b - a) for c in keep]
-                    yield pa.RecordBatch.from_arrays([*kept, *[pa.array(rows[:, k]) for k in range(len(STATISTICS))]], [*keep, *STATISTICS])
+            texts = batch["text"]
+            for a, b in lots(texts, CHUNK):
+                rows = measured(texts.slice(a, b - a))
+                kept = [batch[c].slice(a, b - a) for c in keep]
+                yield pa.RecordBatch.from_arrays([*kept, *[pa.array(rows[:, k]) for k in range(len(STATISTICS))]], [*keep, *STATISTICS])
 
     kinds = dict(docs.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"{s} double" for s in STATISTICS])

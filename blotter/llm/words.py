@@ -21,6 +21,14 @@ def joined(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return buffer[offsets[0]:offsets[-1]], offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
 
 
+def lots(texts: pa.Array, most: int):
+    """Index ranges of neighbouring texts of about ``most`` bytes."""
+    size = np.diff(np.concatenate(([0], joined(texts)[2])))
+    lot = np.cumsum(size) // most
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(lot)) + 1, [len(lot)])).tolist()
+    return [(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if a < b]
+
+
 def spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """All of ``start .. start + count - 1``."""
     total = int(counts.sum())
