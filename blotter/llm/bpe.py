@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import gc
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,11 +33,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.llm.native_text import documents
-from blotter.llm.shipping import give_back_memory, on_workers
+from blotter.llm.shipping import give_back_memory, held_until_needed, on_workers
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Bounds of what a worker remembers; results do not depend on them.
-MEMO_WORDS, MEMO_LENGTH, MAX_STATES = 300_000, 48, 150_000
+#: Bounds of what a worker remembers; results do not depend on them.  A word
+#: takes about 200 bytes, a state 210, a move 150 (three for a state at most).
+MEMO_WORDS, MEMO_LENGTH, MAX_STATES, MET = 100_000, 48, 100_000, 1 << 21
 #: Tokens decoded at a time, and bytes of output per Arrow batch.
 DECODE_PIECE, BATCH_BYTES = 65_536, 4 << 20
 #: Above any rank.
@@ -45,11 +47,58 @@ NEVER = 1 << 62
 FEW = 24
 
 
+@lru_cache(maxsize=1)
 def load_ranks(path: str) -> dict[bytes, int]:
+    """Token to rank; one per worker process, for both directions."""
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def by_rank(ranks: dict[bytes, int]) -> list[bytes | None]:
+    """The tokens by rank."""
+    tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+class Trie:
+    """The tokens' trie in flat arrays.
+
+    Nodes are numbered breadth first over the sorted tokens, so the children
+    of a node are neighbours, ``first[n] .. first[n + 1] - 1``, and the byte
+    that leads to a node is ``label[n]``.  The tokens at or below a node are
+    neighbours in the sorted order.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = sorted(ranks)
+        self.ranks = array("i", [ranks[t] for t in tokens])
+        label, first, low, high, token_at = bytearray(1), array("i"), array("i", [0]), array("i", [len(tokens)]), array("i", [-1])
+        level, depth = [0], 0
+        while level:
+            following = []
+            for node in level:
+                first.append(len(label))
+                at, end = low[node], high[node]
+                if at < end and len(tokens[at]) == depth:
+                    token_at[node] = self.ranks[at]
+                    at += 1
+                    low[node] = at  # from here on: the tokens below the node
+                while at < end:
+                    byte, begin = tokens[at][depth], at
+                    while at < end and tokens[at][depth] == byte:
+                        at += 1
+                    following.append(len(label))
+                    label.append(byte)
+                    low.append(begin)
+                    high.append(at)
+                    token_at.append(-1)
+            level, depth = following, depth + 1
+        first.append(len(label))
+        self.label, self.first, self.low, self.high, self.token_at = bytes(label), first, low, high, token_at
+
+
 def merge(ranks: dict[bytes, int], data: bytes) -> list[bytes]:
     """Merge by rank, lowest first and leftmost among equals."""
     parts = [data[i:i + 1] for i in range(len(data))]
@@ -65,51 +114,28 @@ def merge(ranks: dict[bytes, int], data: bytes) -> list[bytes]:
 class Transducer:
     """Bytes in, token ids out; states and transitions appear on demand.
 
-    Tokens, trie nodes and states are integers.  ``pairs`` maps two tokens
-    whose joined bytes are a token to that token; a token's id is its rank.
+    Tokens, trie nodes and states are integers; a token's id is its rank.  A
+    configuration is kept packed: the last token emitted (-1: none matters),
+    then for each place the trie node of the bytes since, the number of tokens
+    not yet emitted, and those.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
-        self.token_at: list[int] = [-1]
-        self.child: dict[int, int] = {}
-        self.inner: set[int] = {0}
-        for token, rank in ranks.items():
-            node = 0
-            for byte in token:
-                self.inner.add(node)
-                key = node << 8 | byte
-                node = self.child.get(key)
-                if node is None:
-                    node = self.child[key] = len(self.token_at)
-                    self.token_at.append(-1)
-            self.token_at[node] = rank
-        self.pairs = {
-            ranks[token[:i]] << 32 | ranks[token[i:]]: rank
-            for token, rank in ranks.items() for i in range(1, len(token))
-            if token[:i] in ranks and token[i:] in ranks}
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
+        self.ranks, self.bytes_of = ranks, by_rank(ranks)
+        self.trie = Trie(ranks)
         self.side_by_side: dict[int, bool] = {}
-        # the tokens below a trie node, where they are few
-        self.below: dict[int, tuple | None] = {}
-        for token, rank in ranks.items():
-            node = 0
-            for byte in token[:-1]:
-                node = self.child[node << 8 | byte]
-                held = self.below.get(node, ())
-                if held is not None:
-                    self.below[node] = held + (rank,) if len(held) < FEW else None
         self.open_after: dict[int, int] = {}
         self.edges: dict[int, tuple[list, list] | None] = {}
         self._reset()
 
     def _reset(self) -> None:
-        # a configuration: last token emitted (-1: none), then for each place
-        # the trie node of the bytes since and the tokens not yet emitted
-        start = (-1, ((0, ()),))
+        start = array("i", (-1, 0, 0)).tobytes()
         self.numbers = {start: 0}
         self.configurations = [start]
-        self.moves: dict[int, tuple[int, bytes]] = {}
+        # where a state and a byte lead: a state, or if something is emitted
+        # ~k, ``emitting[k]`` being the state and the emitted ids
+        self.moves: dict[int, int] = {}
+        self.emitting: list[tuple[int, bytes]] = []
         self.ends: list[bytes | None] = [None]
 
     def _edges(self, token: int) -> tuple[list, list] | None:
@@ -150,10 +176,11 @@ class Transducer:
             return True
         xs, ys = self._edges(left)[1], after[0]
         i = j = 0
+        rank_of, tokens = self.ranks.get, self.bytes_of
         while True:
             grow_x = xs[i + 1] if i + 1 < len(xs) else NEVER
             grow_y = ys[j + 1] if j + 1 < len(ys) else NEVER
-            across = self.pairs.get(xs[i] << 32 | ys[j], NEVER)
+            across = rank_of(tokens[xs[i]] + tokens[ys[j]], NEVER)
             if across < grow_x and across <= grow_y and across < NEVER:
                 return False
             if grow_x == grow_y == NEVER:
@@ -166,35 +193,40 @@ class Transducer:
     def _kept(self, last: int, node: int) -> int:
         """Whether a token below ``node`` may follow ``last``: 0 none may, 1
         some, 2 all.  Where many are below, 1."""
-        few = self.below[node]
-        if few is None:
+        low, high = self.trie.low[node], self.trie.high[node]
+        if high - low > FEW:
             return 1
         key = last << 32 | node
         told = self.open_after.get(key)
         if told is None:
-            stay = sum([self._border_stays(last, token) for token in few])
-            told = self.open_after[key] = 0 if not stay else 2 if stay == len(few) else 1
+            stay = sum([self._border_stays(last, token) for token in self.trie.ranks[low:high]])
+            told = self.open_after[key] = 0 if not stay else 2 if stay == high - low else 1
         return told
 
     def _move(self, state: int, byte: int) -> tuple[int, bytes]:
-        emitted, places = self.configurations[state]
-        child, token_at, inner, known = self.child, self.token_at, self.inner, self.side_by_side
+        config = array("i", self.configurations[state])
+        emitted, at = config[0], 1
+        trie, known = self.trie, self.side_by_side
+        find, first, token_at = trie.label.find, trie.first, trie.token_at
         after, here = [], None
-        for node, tokens in places:
-            node = child.get(node << 8 | byte)
-            if node is None:
+        while at < len(config):
+            node, begin = config[at], at + 2
+            at = begin + config[at + 1]
+            node = find(byte, first[node], first[node + 1])
+            if node < 0:
                 continue
+            tokens = tuple(config[begin:at])
+            last = tokens[-1] if tokens else emitted
             if here is None:
                 token = token_at[node]
                 if token >= 0:
-                    last = tokens[-1] if tokens else emitted
                     key = last << 32 | token
                     stays = known.get(key)
                     if stays is None:
                         stays = known[key] = self._border_stays(last, token)
                     if stays:
                         here = (*tokens, token)
-            if node in inner and self._kept(tokens[-1] if tokens else emitted, node):
+            if first[node] < first[node + 1] and self._kept(last, node):
                 after.append((node, tokens))
         shared = len(here)
         for _, tokens in after:
@@ -213,7 +245,10 @@ class Transducer:
         after.append((0, here[shared:]))
         if all(tokens or node and self._kept(emitted, node) == 2 for node, tokens in after):
             emitted = -1  # no place asks what stood before it
-        config = (emitted, tuple(after))
+        packed = array("i", [emitted])
+        for node, tokens in after:
+            packed.extend((node, len(tokens), *tokens))
+        config = packed.tobytes()
         number = self.numbers.get(config)
         if number is None:
             number = self.numbers[config] = len(self.configurations)
@@ -221,27 +256,43 @@ class Transducer:
             self.ends.append(None)
         return number, _packed(here[:shared])
 
+    def _end(self, state: int) -> bytes:
+        """The ids still to come when the input ends in a state: the tokens of
+        its last place, at which a token has just ended."""
+        config, at = array("i", self.configurations[state]), 1
+        while True:
+            begin = at + 2
+            at = begin + config[at + 1]
+            if at >= len(config):
+                return _packed(config[begin:at])
+
     def encode(self, data: bytes) -> bytes:
         """Ids of one pre-token as little-endian unsigned 32-bit integers."""
         whole = self.ranks.get(data)
         if whole is not None:  # a pre-token that is a token stays whole
             return whole.to_bytes(4, "little")
-        if len(self.configurations) > MAX_STATES:
+        if len(self.configurations) > MAX_STATES or len(self.moves) > 3 * MAX_STATES:
             self._reset()
-        if len(self.side_by_side) + len(self.open_after) > 4 * MAX_STATES:
+        if len(self.side_by_side) + len(self.open_after) > 3 * MAX_STATES:
             self.side_by_side.clear()
             self.open_after.clear()
         state, out, moves = 0, [], self.moves
         for byte in data:
             move = moves.get(state << 8 | byte)
             if move is None:
-                move = moves[state << 8 | byte] = self._move(state, byte)
-            state, emitted = move
-            if emitted:
+                move, emitted = self._move(state, byte)
+                if emitted:
+                    self.emitting.append((move, emitted))
+                    move = -len(self.emitting)
+                moves[state << 8 | byte] = move
+            if move >= 0:
+                state = move
+            else:
+                state, emitted = self.emitting[~move]
                 out.append(emitted)
         end = self.ends[state]
         if end is None:
-            end = self.ends[state] = _packed(self.configurations[state][1][-1][1])
+            end = self.ends[state] = self._end(state)
         out.append(end)
         return b"".join(out)
 
@@ -251,18 +302,23 @@ def _packed(tokens) -> bytes:
 
 
 class _Memo(dict):
-    """Encodings of recent pre-tokens in two generations."""
+    """Encodings of recent pre-tokens in two generations.  A pre-token gets in
+    when it comes a second time (``met`` tells, by hash): most come once."""
 
     def __init__(self, transducer: Transducer):
-        self.transducer, self.older = transducer, {}
+        self.transducer, self.older, self.met = transducer, {}, bytearray(MET)
 
     def __missing__(self, word: str) -> bytes:
         ids = self.older.get(word)
         if ids is None:
             ids = self.transducer.encode(word.encode("utf-8", "surrogatepass"))
+            place = hash(word) % MET
+            if not self.met[place]:
+                self.met[place] = 1
+                return ids
         if len(word) <= MEMO_LENGTH:
             if len(self) >= MEMO_WORDS:
-                self.older = dict(self)
+                self.older, self.met = dict(self), bytearray(MET)
                 self.clear()
             self[word] = ids
         return ids
@@ -283,7 +339,7 @@ class Decoder:
     """Decodes ids with one rank file."""
 
     def __init__(self, path: str):
-        self.bytes_of = {rank: token for token, rank in load_ranks(path).items()}
+        self.bytes_of = by_rank(load_ranks(path))
 
     def decode(self, ids: bytes) -> Iterator[tuple[bytes, str]]:
         """Pieces of (bytes, text) of little-endian 32-bit ids."""
@@ -351,6 +407,10 @@ def decoder(path: str) -> Decoder:
     return Decoder(path)
 
 
+for _cache in (encoder, decoder, load_ranks):
+    held_until_needed(_cache.cache_clear)
+
+
 def in_batches(rows: Iterator[tuple], schema: pa.Schema, size) -> Iterator[pa.RecordBatch]:
     """Tuples as record batches of about ``BATCH_BYTES`` of ``size(row)``."""
     held, total = [], 0
