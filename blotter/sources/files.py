@@ -35,12 +35,38 @@ def read_parquet(
     return df.select(*columns) if columns else df
 
 
-def _header(spark: SparkSession, path: str, sep: str, glob: str | None) -> list[str]:
-    """Column names in the header line of ``path`` (of its first file, if it
-    is a folder): a bounded peek at one line."""
-    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    first = reader.text(path).filter(F.col("_metadata.file_block_start") == 0).select("value").limit(1).collect()
-    return next(csv.reader([first[0]["value"]], delimiter=sep)) if first else []
+def header_census(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """``file, header``: the first line of every file that has one.
+
+    One distributed pass: every split is a task of its own, which hands on its
+    first line and stops; lines of splits that do not begin a file are left out.
+    """
+    # splits are not packed together in a session whose opening cost fills a partition
+    census = spark.newSession()
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        census.conf.set(f"spark.sql.files.{name}", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    census.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+    def first(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.slice(0, 1)
+                return
+
+    reader = census.read.option("pathGlobFilter", glob) if glob else census.read
+    lines = reader.text(_paths(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), F.col("value").alias("header"))
+    heads = lines.mapInArrow(first, "file string, begin long, header string")
+    return heads.filter("begin = 0").select("file", "header")
+
+
+def _by_header(spark: SparkSession, paths: Sequence[str], sep: str, glob: str | None) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header's columns.  One row per file comes to the driver,
+    which holds the list of files anyway."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(header_census(spark, paths, glob).collect()):
+        found.setdefault(tuple(next(csv.reader([row["header"]], delimiter=sep), [])), []).append(row["file"])
+    return found
 
 
 def _in_header_order(schema: StructType, header: Sequence[str], path: str) -> tuple[StructType, list[Column]]:
@@ -71,12 +97,11 @@ def read_csv(
     """CSV scan with a header row.
 
     With ``schema`` (the default path) columns are bound by *name*: each
-    path's header line says where a declared column stands, columns that are
+    file's header line says where a declared column stands, columns that are
     not declared are left out, and a declared one that is missing raises.
-    Paths with one header order are one scan, and several scans are unioned
-    by name.  Within a folder all files must have the same header; a file
-    that differs fails the read instead of mixing columns.  Malformed fields
-    become NULL.  Without a header row columns are bound by position.
+    The headers of all files come from one job (:func:`header_census`); files
+    with one header are one scan, and several scans are unioned by name.
+    Malformed fields become NULL.  Without a header row columns are bound by position.
 
     With ``schema=None`` types are inferred; pass ``sampling_ratio`` to infer
     from a sample instead of a full extra pass.
@@ -98,14 +123,17 @@ def read_csv(
         schema = StructType.fromDDL(schema)
     if not header:
         return reader.schema(schema).csv(_paths(paths))
-    scans: dict[tuple[str, ...], list[str]] = {}
-    for path in _paths(paths):
-        scans.setdefault(tuple(_header(spark, path, sep, glob)), []).append(path)
+    scans = _by_header(spark, _paths(paths), sep, glob)
+    if not scans:  # only empty files
+        return reader.schema(schema).csv(_paths(paths))
     frames = []
-    for names, same in scans.items():
-        # an empty path has no header and no rows
-        bound, columns = _in_header_order(schema, names or schema.names, same[0])
-        frames.append(reader.option("enforceSchema", False).schema(bound).csv(same).select(*columns))
+    for names, files in scans.items():
+        bound, columns = _in_header_order(schema, names, files[0])
+        scan = reader.option("enforceSchema", False).schema(bound).csv(_paths(paths))
+        if len(scans) > 1:
+            # a filter on files is applied to the listing: each file is read by one scan
+            scan = scan.filter(F.col("_metadata.file_path").isin(files))
+        frames.append(scan.select(*columns))
     return union_files(frames)
 
 

@@ -115,11 +115,39 @@ def test_csv_columns_are_bound_by_name(spark, tmp_path):
         read_csv(spark, [*paths, str(tmp_path / "c.csv")], schema=schema)
 
 
-def test_csv_folder_with_mixed_headers_fails_instead_of_mixing(spark, tmp_path):
+def test_csv_folder_with_mixed_headers_is_bound_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,area,weapon\n1,10,100\n")
     (tmp_path / "b.csv").write_text("id,weapon,area\n3,100,10\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_csv(spark, str(tmp_path), schema="id int, area int, weapon int").collect()
+    got = read_csv(spark, str(tmp_path), schema="id int, area int, weapon int")
+    assert sorted(map(tuple, got.collect())) == [(1, 10, 100), (3, 10, 100)]
+
+
+def test_folder_of_many_files_with_three_header_orders(spark, tmp_path):
+    """Names with blanks and per cents, empty files, a file of several splits;
+    one job at build."""
+    orders = [("id", "area", "weapon"), ("weapon", "id", "area"), ("area", "extra", "weapon", "id")]
+    folder = tmp_path / "a folder 100%"
+    folder.mkdir()
+    value = {"extra": lambda k: "x", "id": lambda k: k, "area": lambda k: 2 * k, "weapon": lambda k: 3 * k}
+    for k in range(500):
+        names = orders[k % 3]
+        (folder / f"part {k}.csv").write_text(",".join(names) + "\n" + ",".join(str(value[n](k)) for n in names) + "\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "notes.txt").write_text("no table\n")
+    names = orders[1]
+    (folder / "long.csv").write_text(",".join(names) + "\n" + "".join(
+        ",".join(str(value[n](k)) for n in names) + "\n" for k in range(1000, 61_000)))
+    limit = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        spark.sparkContext.setJobGroup("census", "census")
+        got = read_csv(spark, str(folder), schema="id int, area int, weapon int", glob="*.csv")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("census")) == 1
+        spark.sparkContext.setJobGroup("other", "other")
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+    assert sorted(map(tuple, rows)) == [(k, 2 * k, 3 * k) for k in [*range(500), *range(1000, 61_000)]]
 
 
 def test_list_tables_takes_direct_children_of_any_layout(spark, tmp_path):
