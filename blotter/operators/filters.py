@@ -3,7 +3,9 @@ column is stored: typed literals, plain comparisons, range predicates."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from decimal import Context, Decimal, InvalidOperation
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
     DateType,
+    DecimalType,
+    IntegralType,
     TimestampNTZType,
     TimestampType,
 )
@@ -18,12 +22,34 @@ from pyspark.sql.types import (
 from blotter.functions.text import INCIDENT_TS_FORMAT, as_text, parse_ts
 
 
+_WHOLE = re.compile(r"\s*[+-]?[0-9]+\s*")
+
+
 def _typed_literal(value, dtype: DataType):
     """A code given as text in the column's type, so the predicate is
     ``EqualTo(col, 101)`` and not a per-row cast of the column.  Catalyst
     folds the cast; text that is no value of the type becomes NULL, which
-    equals nothing."""
-    return F.lit(str(value)).try_cast(dtype)
+    equals nothing.
+
+    A decimal column holds a code only if it has all its digits: ``10.555`` is
+    no value of ``decimal(10,2)`` and must not be rounded to one.  Likewise a
+    whole-number column has no fractions, whatever the session's ANSI setting."""
+    text = str(value)
+    none = F.lit(None).cast(dtype)
+    if isinstance(dtype, DecimalType):
+        try:
+            number = Decimal(text.strip())
+        except InvalidOperation:
+            return none
+        if "_" in text or not number.is_finite():
+            return none
+        sign, digits, exponent = number.normalize(Context(prec=max(1, len(number.as_tuple().digits)))).as_tuple()
+        if digits != (0,) and (-exponent > dtype.scale or len(digits) + exponent > dtype.precision - dtype.scale):
+            return none
+        return F.lit(format(number, "f")).try_cast(dtype)
+    if isinstance(dtype, IntegralType) and not _WHOLE.fullmatch(text):
+        return none
+    return F.lit(text).try_cast(dtype)
 
 
 def code_filter(df: DataFrame, column: str, code) -> DataFrame:

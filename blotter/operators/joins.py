@@ -12,9 +12,6 @@ estimate comes with the plan, so asking for it starts no job.
 
 from __future__ import annotations
 
-import contextlib
-import io
-import re
 import warnings
 from collections.abc import Sequence
 
@@ -27,24 +24,27 @@ STRATEGIES = ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 MAX_BROADCAST_BYTES_CONF = "blotter.broadcast.maxBytes"
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
-_UNITS = {"B": 1, "KiB": 1 << 10, "MiB": 1 << 20, "GiB": 1 << 30, "TiB": 1 << 40, "PiB": 1 << 50, "EiB": 1 << 60}
+# Likewise: in-memory bytes per byte of the estimate, which counts files as
+# they are stored (compressed, encoded).
+EXPANSION_CONF = "blotter.broadcast.expansion"
+DEFAULT_EXPANSION = 4
 
 
 def estimated_bytes(df: DataFrame) -> float:
     """The optimizer's size estimate of ``df``, from its plan (no job);
     infinite where the plan gives none."""
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain("cost")
-    found = re.search(r"Statistics\(sizeInBytes=([\d.E+]+) (\w+)", text.getvalue())
-    return float(found.group(1)) * _UNITS.get(found.group(2), float("inf")) if found else float("inf")
+    if not hasattr(df, "_jdf"):  # no JVM plan at hand (Spark Connect)
+        return float("inf")
+    return float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_fits(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """True while the estimated size of ``df`` is within the bound."""
+    """True while the estimated size of ``df``, times the expansion from stored
+    to in-memory bytes, is within the bound."""
+    conf = df.sparkSession.conf
     if max_bytes is None:
-        max_bytes = int(df.sparkSession.conf.get(MAX_BROADCAST_BYTES_CONF, str(DEFAULT_MAX_BROADCAST_BYTES)))
-    return estimated_bytes(df) <= max_bytes
+        max_bytes = int(conf.get(MAX_BROADCAST_BYTES_CONF, str(DEFAULT_MAX_BROADCAST_BYTES)))
+    return estimated_bytes(df) * float(conf.get(EXPANSION_CONF, str(DEFAULT_EXPANSION))) <= max_bytes
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
@@ -97,7 +97,6 @@ def join_with_strategy(
     strategy: str | None = None,
     dedupe: str | None = None,
     max_bytes: int | None = None,
-    bounded: bool = False,
     salt: int | None = None,
     salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -113,9 +112,8 @@ def join_with_strategy(
     name of an ordering column: ``right`` is first reduced to the row with
     the smallest value per key, i.e. one partner per key.
 
-    ``bounded=True`` declares that ``right`` has a size bound by construction
-    (a top-k list, a literal table) and skips the broadcast size check
-    (``max_bytes``, by default the session's bound).  NULL keys never match, whatever the strategy.
+    ``max_bytes`` bounds what a broadcast hint may send (by default the
+    session's bound).  NULL keys never match, whatever the strategy.
 
     ``salt=n`` splits each key of a shuffle join over n tasks by the columns
     ``salt_by`` (see :func:`salted`).  AQE's skew-join splitting does this adaptively and is
@@ -147,7 +145,7 @@ def join_with_strategy(
             stacklevel=2,
         )
         return left.join(right, on, how)
-    if strategy == "broadcast" and not bounded and not broadcast_fits(unreduced, max_bytes):
+    if strategy == "broadcast" and not broadcast_fits(unreduced, max_bytes):
         warnings.warn(
             "broadcast side exceeds the byte bound; leaving the choice to the planner",
             RuntimeWarning,
