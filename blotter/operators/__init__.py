@@ -13,6 +13,7 @@ from blotter.operators.filters import (
     require_not_null,
     year_filter,
 )
+from blotter.operators.heavy import heavy_keys, join_heavy
 from blotter.operators.joins import (
     STRATEGIES,
     geo_enrich,
@@ -22,8 +23,16 @@ from blotter.operators.joins import (
 )
 from blotter.operators.naming import rename_strict, trim_column_names
 from blotter.operators.ranking import top_k_groups, top_k_per_group
+from blotter.operators.nearby import geo_near
+from blotter.operators.temporal import asof_join, interval_join, running_total
 
 __all__ = [
+    "asof_join",
+    "geo_near",
+    "heavy_keys",
+    "interval_join",
+    "join_heavy",
+    "running_total",
     "STRATEGIES",
     "code_filter",
     "count_by",

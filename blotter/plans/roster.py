@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from blotter.plans import (
     cleaning,
+    extended,
     formats,
     income_descent,
     part_of_day,
@@ -13,6 +14,6 @@ from blotter.plans import (
 
 QUERIES = {}
 ORACLE = {}
-for _module in (top_months, part_of_day, income_descent, station_distance, cleaning, formats):
+for _module in (top_months, part_of_day, income_descent, station_distance, cleaning, formats, extended):
     QUERIES.update(_module.QUERIES)
     ORACLE.update(_module.ORACLE)

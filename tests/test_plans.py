@@ -71,7 +71,11 @@ def test_income_descent_reads_facts_once(spark, key):
 CSV_KEYS = {k for k in roster.QUERIES if "csv" in k or "text" in k or k == "union_files"}
 
 
-@pytest.mark.parametrize("key", sorted(set(roster.QUERIES) - CSV_KEYS))
+# one sketch finds the frequent keys; a quarantine is written once and read twice
+JOB_KEYS = {"join_heavy_hitter", "quarantine_clean", "quarantine_rejects"}
+
+
+@pytest.mark.parametrize("key", sorted(set(roster.QUERIES) - CSV_KEYS - JOB_KEYS))
 def test_building_a_query_starts_no_job(spark, key):
     group = f"build-{key}"
     spark.sparkContext.setJobGroup(group, "building")
