@@ -20,9 +20,9 @@ name has the least hash for the slot, and in it any step of the walk alike.
 Both seldom change as texts or walks get longer.  Likeness is the share of
 equal bytes.
 
-``near_links`` finds near duplicates: sampled bits of the fingerprint form
-bands, texts equal in a band are linked to the band's first text, and a link
-stands if the likeness of the two fingerprints confirms it.
+``near_links`` and ``near_classes`` find near duplicates: sampled bits of the
+fingerprint form bands, all fingerprints equal in a band are compared, and a
+link stands if the likeness of the two confirms it.
 
 Defined cases: a NULL text is empty; empty texts have the fingerprint of
 zeros; equal texts have equal fingerprints; repeated rows are each their own
@@ -33,6 +33,7 @@ come after all others; a single document is its own next.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,16 +41,21 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blotter.llm.components import components
 from blotter.llm.doc_ranges import HELD, RANGE, in_order, key_columns, with_ranges
 from blotter.llm.native_text import documents
 from blotter.llm.shipping import on_workers
+from blotter.session import checkpoint_base
 
 SEGMENT, SLOTS, SPAN = 256, 64, 3
 NEAR, GRAM = SEGMENT // 4, 8
 SEED = 2
 #: Characters walked side by side, and text per range.
 BATCH_CHARS, RANGE_TEXT = 2 << 20, 4 << 20
-BANDS, BAND_BITS = 16, 24
+#: Bands, bits sampled for each and the places they are from; fingerprints of
+#: one band value compared in a task.
+BANDS, BAND_BITS, BAND_PLACES = 16, 24, 4
+CELL = 4096
 LIKENESS = 0.8
 
 #: Twice as many steps as characters are usual; the last ``_LONGEST`` of the
@@ -280,15 +286,112 @@ def fingerprints(docs: DataFrame) -> DataFrame:
              "edited_fingerprint string, near_edited double, near_next double")
 
 
-def band_keys(fingerprint) -> F.Column:
-    """``BANDS`` keys of ``BAND_BITS`` sampled bits each, as (band, key)."""
+@lru_cache(maxsize=1)
+def band_bits() -> np.ndarray:
+    """Per band the numbers of its sampled bits among the fingerprint's: bits
+    of one place agree together, so each sampled place gives several."""
     rng = np.random.default_rng(SEED + 1)
-    keys = []
-    for band in range(BANDS):
-        slots = rng.choice(SLOTS, BAND_BITS // 8, replace=False)
-        keys.append(F.struct(F.lit(band).alias("band"), F.concat(*[
-            F.substring(fingerprint, int(2 * s + 1), 2) for s in slots]).alias("bits")))
-    return F.array(*keys)
+    rows = []
+    for _ in range(BANDS):
+        places = rng.choice(SLOTS, BAND_PLACES, replace=False)
+        rows.append(np.concatenate([8 * p + rng.choice(8, BAND_BITS // BAND_PLACES, replace=False) for p in places]))
+    return np.array(rows)
+
+
+def band_keys(prints: np.ndarray) -> np.ndarray:
+    """``BANDS`` keys of ``BAND_BITS`` sampled bits for each row of bytes."""
+    bits = np.unpackbits(prints, axis=1)
+    return (bits[:, band_bits()].astype(np.int64) << np.arange(BAND_BITS)).sum(axis=2).astype(np.int32)
+
+
+def forest(prints: np.ndarray, owner: np.ndarray, least: float) -> np.ndarray:
+    """Pairs (place, place) of a spanning forest of the rows with at least that
+    share of equal bytes.  Rows already joined are not compared again; with two
+    owners, rows of one owner are compared where they meet alone."""
+    need = int(np.ceil(least * prints.shape[1] - 1e-9))
+    label, edges, halves = np.arange(len(prints)), [], bool((owner != owner[0]).any())
+    for i in range(len(prints) - 1):
+        apart = label[i + 1:] != label[i]
+        if halves:
+            apart &= owner[i + 1:] != owner[i]
+        others = i + 1 + np.flatnonzero(apart)
+        near = others[(prints[others] == prints[i]).sum(axis=1) >= need]
+        if len(near):
+            groups, at = np.unique(label[near], return_index=True)
+            edges.extend((i, k) for k in near[at].tolist())
+            label[np.isin(label, groups)] = label[i]
+    return np.array(edges, np.int64).reshape(-1, 2)
+
+
+def _bytes_of(column: pa.Array) -> np.ndarray:
+    """Rows of ``SLOTS`` bytes of hex fingerprints."""
+    return np.frombuffer(bytes.fromhex("".join(column.to_pylist())), np.uint8).reshape(-1, SLOTS)
+
+
+def fingerprint_links(kinds: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """``a, b``: forests of links between the distinct ``fingerprint``.
+
+    Fingerprints that agree in a band are compared all with all, so no link
+    between members of a band is lost.  A band value with more than ``CELL`` of
+    them is spread over cells; every pair of cells is compared in one task.
+    """
+    on_workers(kinds.sparkSession)
+
+    def bands(batches):
+        for batch in batches:
+            if batch.num_rows:
+                keys = band_keys(_bytes_of(batch["fingerprint"]))
+                yield pa.RecordBatch.from_arrays([
+                    batch["fingerprint"].take(pa.array(np.repeat(np.arange(len(keys)), BANDS))),
+                    pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(keys))), pa.array(keys.ravel())], ["fingerprint", "band", "bits"])
+
+    banded = kinds.select("fingerprint").mapInArrow(bands, "fingerprint string, band int, bits int")
+    counts = banded.groupBy("band", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn(
+        "cells", F.ceil(F.col("n") / CELL).cast("int"))
+    own = F.pmod(F.xxhash64("fingerprint"), F.col("cells")).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), F.col("cells") - 1), lambda other: F.struct(
+        F.least(own, other).alias("i"), F.greatest(own, other).alias("j"), own.alias("own")))
+    celled = banded.join(counts, ["band", "bits"]).select("fingerprint", "band", "bits", F.explode(meets).alias("c")).select(
+        "fingerprint", "band", "bits", "c.i", "c.j", "c.own")
+    keys = ("band", "bits", "i", "j")
+
+    def run(batches):
+        # rows arrive sorted by cell; a cell's rows are complete when the next begins
+        kept = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            kept = table if kept is None else pa.concat_tables([kept, table])
+            found, kept = _whole_cells(kept, keys, least, last=False)
+            if found is not None:
+                yield found
+        if kept is not None:
+            found, _ = _whole_cells(kept, keys, least, last=True)
+            if found is not None:
+                yield found
+
+    return celled.withColumn("bucket", F.xxhash64(*keys)).repartition("bucket").sortWithinPartitions(*keys).drop("bucket").mapInArrow(
+        run, "a string, b string").distinct()
+
+
+def _whole_cells(table: pa.Table, keys: tuple, least: float, last: bool):
+    """Links of the complete cells, and the rows of the last, open one."""
+    n = table.num_rows
+    change = np.zeros(n, bool)
+    for c in keys:
+        column = table[c].to_numpy()
+        change[1:] |= column[1:] != column[:-1]
+    cuts = np.concatenate(([0], np.flatnonzero(change), [n])) if n else np.array([0])
+    ends = len(cuts) - 1 if last else len(cuts) - 2
+    a, b = [], []
+    for low, high in zip(cuts[:-1][:ends], cuts[1:][:ends]):
+        if high - low > 1:
+            part = table.slice(low, high - low)
+            names = part["fingerprint"].combine_chunks()
+            for i, j in forest(_bytes_of(names), part["own"].to_numpy(), least):
+                a.append(names[int(i)].as_py())
+                b.append(names[int(j)].as_py())
+    found = pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], ["a", "b"]) if a else None
+    return found, None if last or n == 0 else table.slice(int(cuts[-2]))
 
 
 def _likeness_column(a, b) -> F.Column:
@@ -298,25 +401,29 @@ def _likeness_column(a, b) -> F.Column:
 
 
 def near_links(prints: DataFrame, least: float = LIKENESS) -> DataFrame:
-    """``doc_id, near_id, likeness``: distinct fingerprints linked to the first
-    document of a band they share, each link confirmed by the likeness, and
-    documents of equal fingerprints linked to the first of them.
-
-    Equal fingerprints are collapsed first.  Bands carry ids only, and each
-    links to its first document, so a large group gives as many links as it
-    has members; fingerprints are joined back for the distinct links alone.
-    """
-    kinds = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    equal = prints.join(kinds.withColumnRenamed("doc_id", "near_id"), "fingerprint").filter(
-        F.col("doc_id") > F.col("near_id")).select("doc_id", "near_id", F.lit(1.0).alias("likeness")).distinct()
-    banded = kinds.select("doc_id", F.explode(band_keys(F.col("fingerprint"))).alias("k")).select("doc_id", "k.band", "k.bits")
-    heads = banded.groupBy("band", "bits").agg(F.min("doc_id").alias("near_id"))
-    links = banded.join(heads, ["band", "bits"]).filter(F.col("doc_id") > F.col("near_id")).select("doc_id", "near_id").distinct()
-    near = kinds.select(F.col("doc_id").alias("near_id"), F.col("fingerprint").alias("near_fingerprint"))
-    compared = links.join(kinds, "doc_id").join(near, "near_id")
-    likeness_ = _likeness_column(F.col("fingerprint"), F.col("near_fingerprint"))
-    return compared.select("doc_id", "near_id", likeness_.alias("likeness")).filter(
-        F.col("likeness") >= least).unionByName(equal)
+    """``doc_id, near_id, likeness``: a forest of links between documents of
+    different fingerprints (each by its first document), and every further
+    document of a fingerprint linked to the first of it."""
+    kinds = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")).filter(F.col("first").isNotNull())
+    equal = prints.join(kinds, "fingerprint").filter(F.col("doc_id") > F.col("first")).select(
+        "doc_id", F.col("first").alias("near_id"), F.lit(1.0).alias("likeness")).distinct()
+    found = fingerprint_links(kinds, least)
+    left, right = (kinds.select(F.col("fingerprint").alias(c), F.col("first").alias(f"first_{c}")) for c in "ab")
+    named = found.join(left, "a").join(right, "b").select(
+        F.greatest("first_a", "first_b").alias("doc_id"), F.least("first_a", "first_b").alias("near_id"),
+        _likeness_column(F.col("a"), F.col("b")).alias("likeness"))
+    return named.unionByName(equal)
+
+
+def near_classes(prints: DataFrame, least: float = LIKENESS) -> DataFrame:
+    """``prints`` with ``class_id``: the smallest id that links reach (a
+    document's own, or NULL, if it has none or reaches none)."""
+    checkpoint_base(prints.sparkSession)
+    kinds = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")).checkpoint()
+    parts = components(fingerprint_links(kinds, least)).select(F.col("node").alias("fingerprint"), "component")
+    member = kinds.join(parts, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+    firsts = member.groupBy("component").agg(F.min("first").alias("class_id"))
+    return prints.join(member.join(firsts, "component").select("fingerprint", "class_id"), "fingerprint")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

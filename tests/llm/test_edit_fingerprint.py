@@ -156,3 +156,60 @@ def test_near_links_find_planted_copies(spark):
     planted = {(2 * k + 1, 2 * k) for k in range(60)}
     assert links <= planted and len(links & planted) >= 54
     assert np.all([a > b for a, b in links])
+
+
+def test_no_link_of_a_crowd_is_lost(spark):
+    """600 pairs of near copies among 1,200 texts of one template, each with
+    its own part: every pair is linked, whoever heads the crowd."""
+    rng = random.Random(22)
+
+    def some(n):
+        return "".join(rng.choice("abcdefgh ijklmnop") for _ in range(n))
+
+    template = [some(390) for _ in range(8)]
+    rows = []
+    for k in range(600):
+        text = "".join(t + some(110) for t in template)
+        rows += [(2 * k, text), (2 * k + 1, text[:2000] + "y" + text[2000:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = ef.near_classes(ef.fingerprints(docs)).select("doc_id", "fingerprint", "class_id").collect()
+    classes = {r.doc_id: r.class_id for r in found}
+    prints = {r.doc_id: np.frombuffer(bytes.fromhex(r.fingerprint), np.uint8) for r in found}
+    near = [k for k in range(600) if (prints[2 * k] == prints[2 * k + 1]).mean() >= ef.LIKENESS]
+    assert len(near) >= 590
+    assert all(classes[2 * k] == classes[2 * k + 1] for k in near)
+    # no link but of likeness: classes are the components of the confirmed pairs
+    values = np.stack([prints[k] for k in range(1200)])
+    linked = (values[:, None] == values[None]).mean(axis=2) >= ef.LIKENESS
+    for k in range(1200):
+        assert (linked[k] & (np.array([classes[j] for j in range(1200)]) == classes[k])).sum() >= 1 + (classes[k] != k)
+
+
+def test_bands_over_many_cells_link_the_same(spark, monkeypatch):
+    rng = random.Random(23)
+    base = "".join(rng.choice("abcdefgh ijklmnop") for _ in range(4000))
+    rows = [(k, base[:60 * k] + "z" * (k % 3) + base[60 * k:]) for k in range(60)]
+    prints = ef.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).cache()
+    one = {(r.doc_id, r.class_id) for r in ef.near_classes(prints).collect()}
+    monkeypatch.setattr(ef, "CELL", 7)
+    assert {(r.doc_id, r.class_id) for r in ef.near_classes(prints).collect()} == one
+
+
+def test_fingerprint_by_one_walk_per_character():
+    """The vectorised walk writes what a character-by-character walk writes."""
+    maker, rng = ef.Fingerprinter(), random.Random(24)
+    texts = ["".join(rng.choice("abc dé\U0001f600") for _ in range(n)) for n in (0, 1, 5, 300, 2000)]
+    coded = [ef.classes(t) for t in texts]
+    begin, names, first = ef.segments(coded)
+    joined = np.concatenate(coded)
+    lengths = np.append(begin[1:], len(joined)) - begin
+    out, row_of, steps = maker.written(joined, begin, lengths)
+    for k, (b, n) in enumerate(zip(begin.tolist(), lengths.tolist())):
+        segment, at, walked = joined[b:b + n], 0, []
+        for j in range(len(maker.coins)):
+            if at >= n:
+                break
+            walked.append(int(segment[at]))
+            at += int(maker.coins[j][segment[at]])
+        assert walked == out[:len(walked), row_of[k]].tolist() and len(walked) == steps[row_of[k]]
+        assert not out[len(walked):, row_of[k]].any()
