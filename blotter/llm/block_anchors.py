@@ -38,6 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from blotter.llm.doc_ranges import RANGE, with_ranges
 from blotter.llm.native_text import documents
@@ -263,7 +264,8 @@ def removals(docs: DataFrame, window: int = WINDOW, shard_bytes: int = SHARD_BYT
     sent = rows.groupBy(RANGE).cogroup(common.groupBy("shard")).applyInArrow(within, _SENT)
     found = sent.groupBy("bucket").applyInArrow(merged, _FOUND)
     return rows.groupBy(RANGE).cogroup(found.groupBy("shard")).applyInArrow(
-        kept, f"rest {rest.simpleString()}, n_words long, n_removed long, kept string")
+        kept, StructType([StructField("rest", rest), StructField("n_words", LongType()), StructField("n_removed", LongType()),
+                          StructField("kept", StringType())]))
 
 
 def dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -43,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from blotter.llm.doc_ranges import RANGE, in_order, with_ranges
 from blotter.llm.native_text import documents
@@ -572,8 +573,8 @@ def removals(docs: DataFrame, length: int = LENGTH, shard_bytes: int = SHARD_BYT
     sent = rows.groupBy(RANGE).cogroup(common.groupBy("shard")).applyInArrow(within, _SENT)
     found = sent.groupBy("bucket").applyInArrow(merged, _FOUND)
     return rows.groupBy(RANGE).cogroup(found.groupBy("shard")).applyInArrow(
-        kept, f"rest {rest.simpleString()}, n_bytes long, n_removed long, n_spans long, "
-              f"kept {'string' if as_text else 'binary'}")
+        kept, StructType([StructField("rest", rest)] + [StructField(n, LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
+                         + [StructField("kept", StringType() if as_text else BinaryType())]))
 
 
 def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:

@@ -8,8 +8,11 @@ import xxhash
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, n_words int, size string, "
           "shard int, fp string, rest string, kept string, ids string, copies int, guest string, host string, "
-          "fail_bits string, component_id string, bucket string, found string")
-EXTRA = (7, "x", 3, "a", "r", "k", "i", 2, "g", "h", "b", "c", "u", "f")
+          "fail_bits string, component_id string, bucket string, found string, __words int, __id string, __source int, "
+          "__size string, __copies string, __place int, __copy int, __hash string, __own_hash int, __n int, __key string, "
+          "__range string, __cell string, component int, cell string, block string, text_hash string, vslot string")
+EXTRA = (7, "x", 3, "a", "r", "k", "i", 2, "g", "h", "b", "c", "u", "f", 99, "I", 5, "S", "C", 6, 8, "H", 9, 10, "K", "R", "L",
+         11, "l", "B", "T", "V")
 
 LONG = " ".join(f"word{i % 5003} énd{i % 977}." for i in range(20_000))
 PASSAGE = " ".join(f"passage{i}" for i in range(60))

@@ -147,6 +147,30 @@ def test_mix_edge_rows(spark):
     assert mixing.copies(mixing.sized(empty)).count() == 0 and mixing.mix(empty).count() == 0
 
 
+def test_no_block_is_larger_than_its_size(spark, monkeypatch):
+    """A third of the rows without an id, another third of one id: every block
+    of every level holds at most ``BLOCK`` documents, and the law holds."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    which = F.pmod(F.xxhash64("text"), F.lit(3))
+    skewed = docs.withColumn("doc_id", F.when(which == 0, None).when(which == 1, 7).otherwise(F.col("doc_id"))).withColumn(
+        "source", F.lit("one"))
+    sizes, plain = [], mixing.blocked
+
+    def watched(level, keys, seed, block):
+        out = plain(level, keys, seed, block)
+        sizes.extend(r["count"] for r in out.groupBy(*keys, "cell", "block").count().collect())
+        return out
+
+    monkeypatch.setattr(mixing, "blocked", watched)
+    for block in (mixing.BLOCK, 5):
+        sizes.clear()
+        found = mixing.copies(mixing.sized(skewed), block=block).collect()
+        assert max(sizes) <= block and sum(sizes) > 500
+        assert sum(r.n for r in found) == docs.count()
+        taken, target = sum(r.copies * r.size * r.n for r in found), found[0].target
+        assert abs(taken - target) <= 0.5 * max(r.size * r.n for r in found) + 1e-6
+
+
 # --- URL filter --------------------------------------------------------------
 
 URLS = [None, "", "no scheme", "http://", "http://a.net", "http://EXAMPLE.net/en/x?q=/de/", "http://www.example.net/en",
@@ -226,3 +250,16 @@ def test_rebalancing_edits_the_map(spark):
     assert 0 < moved < len(one) / 2
     again = {r.vslot: r.shard for r in sharding.rebalanced(table.filter("version = 2"), 8).collect()}
     assert sum(again[v] != two[v] for v in two) <= moved
+
+
+def test_shards_are_even_where_ids_are_missing(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    for share in (F.lit(None), F.lit(3)):
+        skewed = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 == 0, share).otherwise(F.col("doc_id")))
+        rows = sharding.sized(skewed)
+        placed = sharding.assign(rows, sharding.stored_map(spark, rows), 2)
+        sizes = [r.b for r in placed.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+        assert len(sizes) == 8 and max(sizes) < 1.01 * min(sizes)
+        slots = placed.groupBy("shard").agg(F.min("slot").alias("low"), F.max("slot").alias("high"), F.count_distinct("slot").alias("n"))
+        assert all((r.low, r.high) == (0, r.n - 1) for r in slots.collect())
+        assert placed.groupBy("vslot").count().agg(F.max("count")).first()[0] < 10

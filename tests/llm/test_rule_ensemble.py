@@ -1,0 +1,114 @@
+"""The rule ensemble: statistics by brute force, rules, weights, held-out accuracy."""
+
+import math
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from blotter.llm import rule_ensemble as re_
+from tests.conftest import SF01
+from tests.llm.common import SCHEMA, TEXTS, WORD, edge_docs
+
+
+def brute(text):
+    text = text or ""
+    words, lines = WORD.findall(text), [x for x in text.split("\n") if x]
+    chars, n, m = max(1, len(text)), max(1, len(words)), max(1, len(lines))
+
+    def share(members):
+        return sum(c in members for c in text) / chars
+
+    return [len(text), len(words), sum(map(len, words)) / n, share("#*$%&|<>{}[]\\^~_=+@/"), share("."), share(",;:!?\"'()-"),
+            share("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), share("0123456789"), sum(ord(c) > 127 for c in text) / chars,
+            len(set(words)) / n, sum(a == b for a, b in zip(words, words[1:])) / n, len(lines), len(words) / m,
+            (len(lines) - len(set(lines))) / m, sum(x[-1] in ".!?" for x in lines) / m]
+
+
+def test_statistics(spark):
+    texts = [t for _, t, _ in TEXTS] + ["\n\n", "a\n\na\n", "ends\n", "\x0b x", "A.\nB!\nA.", "ß" * 7]
+    assert np.allclose(re_.measured(pa.array(texts, pa.string())), [brute(t) for t in texts])
+    assert re_.measured(pa.array([], pa.string())).shape == (0, len(re_.STATISTICS))
+    sliced = pa.array(["skipped", *texts], pa.string()).slice(1)
+    assert np.allclose(re_.measured(sliced), [brute(t) for t in texts])
+
+
+def test_rules_of_a_printed_tree():
+    tree = """DecisionTreeClassificationModel: uid=x, depth=2, numNodes=5, numClasses=2, numFeatures=3
+  If (feature 2 <= 0.5)
+   If (feature 0 <= 1.25E-4)
+    Predict: 0.0
+   Else (feature 0 > 1.25E-4)
+    If (feature 2 <= 0.25)
+     Predict: 1.0
+    Else (feature 2 > 0.25)
+     Predict: 0.0
+  Else (feature 2 > 0.5)
+   Predict: 1.0
+"""
+    inf = math.inf
+    assert re_.paths(tree) == [
+        ((2, -inf, 0.5),), ((0, -inf, 1.25e-4), (2, -inf, 0.5)), ((0, 1.25e-4, inf), (2, -inf, 0.5)),
+        ((0, 1.25e-4, inf), (2, -inf, 0.25)), ((0, 1.25e-4, inf), (2, 0.25, 0.5)), ((2, 0.5, inf),)]
+
+
+def test_lasso_weights_meet_the_optimality_conditions():
+    rng = np.random.default_rng(0)
+    x = (rng.random((600, 12)) < 0.4).astype(float)
+    y = (rng.random(600) < 1 / (1 + np.exp(-(2 * x[:, 0] - 3 * x[:, 1] + 0.5)))).astype(float)
+    penalty = 0.02
+    intercept, w = re_.lasso(x, y, penalty, rounds=4000)
+    scale = x.std(axis=0)
+    slope = ((x - x.mean(axis=0)) / scale).T @ (1 / (1 + np.exp(-(intercept + x @ w))) - y) / len(y)
+    kept = w != 0
+    assert 2 <= kept.sum() < 12 and w[0] > 0 > w[1]
+    assert np.allclose(slope[kept], -penalty * np.sign(w[kept]), atol=1e-4) and (np.abs(slope[~kept]) <= penalty + 1e-4).all()
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    return re_.query(spark, SF01).cache()
+
+
+def test_held_out_accuracy(spark, scored):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
+    rows = scored.collect()
+    assert len(rows) == spark.read.parquet(f"{SF01}/documents.parquet").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    held = [r for r in rows if r.held_out and r.doc_id in labels]
+    good = [r.score for r in held if labels[r.doc_id] == 1]
+    bad = [r.score for r in held if labels[r.doc_id] == 0]
+    assert len(bad) >= 5 and sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad)) > 0.97
+    assert sum(r.predicted == labels[r.doc_id] for r in held) / len(held) > 0.95
+
+
+def test_scores_are_column_expressions_and_repeat(spark, scored):
+    """Held-out labels and the other columns have no influence; reruns agree."""
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    turned = labels.withColumn("quality", F.when(re_.remainder() == 1, 1 - F.col("quality")).otherwise(F.col("quality")))
+    blank = docs.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None).cast("string")).repartition(7)
+    ensemble = re_.fitted(re_.sample(blank, turned))
+    assert 1 <= len(ensemble.weighted) < 120
+    again = {r.doc_id: r.score for r in re_.statistics(blank, ["doc_id"]).select("doc_id", ensemble.score().alias("score")).collect()}
+    assert all(math.isclose(again[r.doc_id], r.score, abs_tol=1e-12) for r in scored.collect())
+    rule = ensemble.weighted[0][1]
+    rows = re_.statistics(docs, ["doc_id"])
+    held = np.array([r.asDict()["h"] for r in rows.select(re_.holds(rule).alias("h")).collect()])
+    stats = np.array([list(r) for r in rows.select(*re_.STATISTICS).collect()])
+    assert np.array_equal(held, re_.truth([rule], stats)[:, 0])
+
+
+def test_edge_rows(spark):
+    docs = edge_docs(spark)
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    for labels, share in ((none, 0.5), (spark.createDataFrame([(0, 1), (5, 1), (None, 0), (7, None)], "doc_id long, quality int"), None)):
+        ensemble = re_.fitted(re_.sample(docs, labels))
+        assert ensemble.weighted == []
+        scores = {r.score for r in re_.statistics(docs, ["doc_id", "rest"]).select(ensemble.score().alias("score")).collect()}
+        assert len(scores) == 1 and (share is None or scores == {share})
+    assert re_.statistics(docs, ["doc_id"]).count() == len(TEXTS)
+    assert re_.statistics(spark.createDataFrame([], SCHEMA), ["doc_id"]).count() == 0
+    assert not re.search("quality|toxic|lang|source", " ".join(re_.STATISTICS))

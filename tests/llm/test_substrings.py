@@ -209,3 +209,14 @@ def test_merging_shards_survives_equal_digests_of_different_windows(monkeypatch)
 def test_packed_keys_come_back(keys):
     keys = np.unique(np.array(keys, np.uint64))
     assert block_anchors._unpack(block_anchors._pack(keys)).tolist() == keys.tolist()
+
+
+def test_words_that_a_polynomial_hash_confuses_are_told_apart(spark):
+    """Thue-Morse words and their complements collide under any polynomial
+    modulo a power of two."""
+    for n in (1024, 2048):
+        word = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+        other = "".join("ba"[bin(i).count("1") & 1] for i in range(n))
+        frame = " ".join(f"w{i}" for i in range(12))
+        docs = spark.createDataFrame([(1, f"{frame} {word} {frame}"), (2, f"{frame} {other} {frame}")], "doc_id long, text string")
+        assert {r.rest.doc_id: r.n_removed for r in block_anchors.removals(docs).collect()} == {1: 0, 2: 0}

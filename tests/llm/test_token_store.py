@@ -26,7 +26,8 @@ def ids_of(library, text):
 
 TRICKY = ["", "it's the end.", "a.b,c. d, e.,", "ÉCOLE Straße İstanbul ΣΟΦΟΣ", "été ≮ x", "ﬁne ½ ① x²",
           "tabs\there nbsp em​zero", "<|endoftext|> and <|startoftext|>,", "日本語 😀", "don't, can't. 'tis",
-          "\x1cunit\x1fsep\x85next", "trailing... ,,, .", "Ŧħé ŋëẃ ẞ ǅ"]
+          "\x1cunit\x1fsep\x85next", "trailing... ,,, .", "Ŧħé ŋëẃ ẞ ǅ",
+          "<|ENDOFTEXT|>", "<|EndOfText|> again", "<|STARTOFTEXT|>x a<|endoftext|>.", "É<|endoftext|>É <|ENDOFTEXT|>., <|endoftext|>,"]
 
 
 @pytest.mark.parametrize("text", TRICKY + [LONG])
@@ -116,3 +117,10 @@ def test_edge_rows_over_several_files(spark, library, tmp_path, monkeypatch):
 def test_empty_table(spark, tmp_path):
     manifest = ts.write_tokens(spark.createDataFrame([], SCHEMA), PATH, str(tmp_path / "t"))
     assert ts.read_tokens(manifest, str(tmp_path / "t")).count() == 0
+
+
+def test_other_names_of_an_object_store_are_known():
+    """Paths are opened as Spark names them; no store is asked here."""
+    for scheme in ("s3", "s3a", "s3n"):
+        system, base = ts._open(f"{scheme}://bucket.example/tokens?region=none&anonymous=true")
+        assert system.type_name == "s3" and base == "bucket.example/tokens"
