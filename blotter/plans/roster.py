@@ -9,11 +9,12 @@ from blotter.plans import (
     income_descent,
     part_of_day,
     station_distance,
+    streams,
     top_months,
 )
 
 QUERIES = {}
 ORACLE = {}
-for _module in (top_months, part_of_day, income_descent, station_distance, cleaning, formats, extended):
+for _module in (top_months, part_of_day, income_descent, station_distance, cleaning, formats, extended, streams):
     QUERIES.update(_module.QUERIES)
     ORACLE.update(_module.ORACLE)

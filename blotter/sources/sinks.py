@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -65,24 +67,27 @@ def csv_to_parquet(
     tables: Mapping[str, StructType | None] | Sequence[str] | None = None,
     mode: str = "errorifexists",
     sampling_ratio: float | None = None,
+    at_once: int = 4,
 ) -> DataFrame:
     """Convert ``in_dir/<name>.csv`` to ``out_dir/<name>.parquet`` per table.
 
     ``tables`` names the inputs (with an explicit schema, or ``None`` to
     infer); without it every ``*.csv`` entry of ``in_dir`` is converted with
-    inferred types.  Each conversion is one distributed job; the driver only
-    walks the list of names.  Returns a lazy DataFrame ``(table_name, n)``
+    inferred types.  Each conversion is a distributed job of its own, and
+    ``at_once`` of them run side by side, so that many small tables do not wait
+    for each other; a failure is raised once the running ones are through.  Returns a lazy DataFrame ``(table_name, n)``
     counting the rows read back from the written Parquet.
     """
     if tables is None:
         tables = list_tables(spark, in_dir)
     specs = dict(tables) if isinstance(tables, Mapping) else {t: None for t in tables}
-    readbacks = []
-    for name, schema in specs.items():
+
+    def convert(item: tuple[str, StructType | None]) -> None:
+        name, schema = item
         df = read_csv(spark, f"{in_dir}/{name}.csv", schema=schema, sampling_ratio=sampling_ratio)
-        out = f"{out_dir}/{name}.parquet"
-        df.write.mode(mode).parquet(out)
-        readbacks.append(
-            spark.read.parquet(out).select(F.lit(name).alias("table_name"))
-        )
+        df.write.mode(mode).parquet(f"{out_dir}/{name}.parquet")
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(convert), specs.items()))
+    readbacks = [spark.read.parquet(f"{out_dir}/{name}.parquet").select(F.lit(name).alias("table_name")) for name in specs]
     return union_files(readbacks).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))

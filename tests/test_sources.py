@@ -165,3 +165,13 @@ def test_list_tables_takes_direct_children_of_any_layout(spark, tmp_path):
     assert list_tables(spark, str(tmp_path)) == ["gz", "part", "plain", "top"]
     out = csv_to_parquet(spark, str(tmp_path), str(tmp_path / "out"))
     assert sorted(map(tuple, out.collect())) == [("gz", 2), ("part", 1), ("plain", 3), ("top", 1)]
+
+
+def test_many_tables_are_converted_side_by_side(spark, tmp_path):
+    names = [f"t{k}" for k in range(9)]
+    for k, name in enumerate(names):
+        (tmp_path / f"{name}.csv").write_text("a,b\n" + "1,x\n" * (k + 1))
+    out = csv_to_parquet(spark, str(tmp_path), str(tmp_path / "out"), {n: "a int, b string" for n in names}, at_once=3)
+    assert sorted(map(tuple, out.collect())) == [(n, k + 1) for k, n in enumerate(names)]
+    with pytest.raises(AnalysisException):  # one of them exists
+        csv_to_parquet(spark, str(tmp_path), str(tmp_path / "out"), {"t3": "a int, b string"})

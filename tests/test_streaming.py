@@ -64,3 +64,39 @@ def test_conversion_in_bounded_batches(spark, tmp_path):
     query.awaitTermination()
     assert sorted(r.k for r in spark.read.parquet(str(dst)).collect()) == [0, 1, 2, 10, 11, 12]
     assert len(query.recentProgress) >= 3  # one file per micro-batch
+
+
+def _arrivals(spark, src, batches):
+    for rows in batches:
+        spark.createDataFrame(rows, "k string, ts timestamp").write.mode("append").parquet(src)
+        yield
+
+
+def test_windows_on_a_stream_are_those_of_the_batch(spark, tmp_path):
+    """Shuffled arrival within the delay, a restart before every arrival, NULL
+    times, a restart without new rows, and one row that is too late."""
+    import datetime as dt
+    import random
+
+    from blotter.streaming.windows import append_to, sessions, windowed
+
+    start, rnd = dt.datetime(2024, 3, 1), random.Random(1)
+    rows = [("ab"[k % 2], start + dt.timedelta(minutes=rnd.randrange(60 * 48))) for k in range(300)]
+    rows.sort(key=lambda r: r[1] + dt.timedelta(hours=rnd.uniform(0, 5)))
+    last = ("a", start + dt.timedelta(days=30))  # moves the watermark past all of them
+    late = ("a", start + dt.timedelta(minutes=5))
+    batches = [rows[:100], rows[100:200] + [(None, None)], rows[200:], [last], [late, last]]
+    everything = spark.createDataFrame(rows, "k string, ts timestamp")
+    for n, (shape, closed) in enumerate([
+            (lambda s: windowed(s, "ts", "6 hours", None, "6 hours", ["k"]), "n"),
+            (lambda s: windowed(s, "ts", "6 hours", "2 hours", "6 hours", ["k"]), "n"),
+            (lambda s: sessions(s, "ts", "40 minutes", "6 hours", ["k"]), "n")]):
+        src, out = str(tmp_path / f"in{n}"), str(tmp_path / f"out{n}")
+        stream = None
+        for _ in _arrivals(spark, src, batches):
+            stream = stream or spark.readStream.schema("k string, ts timestamp").parquet(src)
+            append_to(shape(stream), out).awaitTermination()
+        append_to(shape(stream), out).awaitTermination()
+        got = sorted(map(tuple, spark.read.parquet(out).collect()))
+        assert got == sorted(map(tuple, shape(everything).collect()))
+        assert sum(r[-1] for r in got if n != 1) in (0, len(rows))
