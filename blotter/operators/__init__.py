@@ -24,9 +24,13 @@ from blotter.operators.joins import (
 from blotter.operators.naming import rename_strict, trim_column_names
 from blotter.operators.ranking import top_k_groups, top_k_per_group
 from blotter.operators.nearby import geo_near
+from blotter.operators.sketches import answered, rolled_up, sketched
 from blotter.operators.temporal import asof_join, interval_join, running_total
 
 __all__ = [
+    "answered",
+    "rolled_up",
+    "sketched",
     "asof_join",
     "geo_near",
     "heavy_keys",

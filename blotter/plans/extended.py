@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from blotter.operators.filters import code_filter
 from blotter.operators.heavy import join_heavy
 from blotter.operators.nearby import geo_near
+from blotter.operators.sketches import answered, rolled_up, sketched
 from blotter.operators.temporal import asof_join, interval_join, running_total
 from blotter.plans.formats import _KEY_RANGE_SQL, key_range_by_status
 from blotter.plans.standins import GEO_SQL, ORDERS_CSV_DDL, geo_lookup, lat_of, lat_sql, orders_csv, place_lon, place_lon_sql, table
@@ -134,6 +135,23 @@ def q_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running_total(events, [], "ts", "cents", DAY, ties=["event_id"]).select("event_id", "running_total")
 
 
+def q_sketch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and median value by event type, rolled up from a stored table of
+    daily sketches, and whether both are within three standard errors."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.col("ts").cast("date"))
+    path = scratch_path(spark, "daily-sketches")
+    sketched(events, ["day", "event_type"], "user_id", "value").write.parquet(path)
+    found = answered(rolled_up(spark.read.parquet(path), ["event_type"]))
+    median = F.get("quantiles", 0)
+    met = events.join(found.drop("n"), "event_type")
+    checked = met.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"), F.first("distinct_estimate").alias("estimate"),
+        (F.count_if(F.col("value") <= median) / F.count("value")).alias("rank"))
+    return checked.select(
+        "event_type", "n", (F.abs(F.col("estimate") / F.col("users") - 1) < 0.05).alias("users_ok"),
+        (F.abs(F.col("rank") - 0.5) < 0.025).alias("median_ok"))
+
+
 def _haversine_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     a = (f"(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2})) "
          f"* pow(sin((radians({lon2}) - radians({lon1})) / 2), 2))")
@@ -150,6 +168,7 @@ QUERIES = {
     "asof_events": q_asof_events,
     "interval_events": q_interval_events,
     "running_total": q_running_total,
+    "sketch_rollup": q_sketch_rollup,
 }
 
 ORACLE = {
@@ -192,6 +211,7 @@ FROM p ASOF LEFT JOIN c ON p.user_id = c.user_id AND p.ts >= c.ts""",
     "interval_events": """SELECT v.event_id, COUNT(*) AS n, MIN(e.event_id) AS first_error
 FROM events v JOIN events e ON v.user_id = e.user_id AND e.ts BETWEEN v.ts AND v.ts + INTERVAL 6 HOURS
 WHERE v.event_type = 'view' AND e.event_type = 'error' GROUP BY 1""",
+    "sketch_rollup": "SELECT event_type, COUNT(*) AS n, true AS users_ok, true AS median_ok FROM events GROUP BY 1",
     "running_total": """SELECT event_id, CAST(SUM(CAST(round(value * 100) AS BIGINT)) OVER (ORDER BY ts, event_id) AS BIGINT) AS running_total
 FROM events""",
 }
