@@ -31,6 +31,7 @@ import uuid
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from os.path import commonprefix
 from unicodedata import is_normalized
 
 import numpy as np
@@ -94,6 +95,9 @@ class ChunkTokenizer:
         self.library = Tokenizer.from_file(path)
         self.merges = self.library.model.tokenize
         self.added = sorted({t.content.lower() for t in self.library.get_added_tokens_decoder().values()})
+        # how they all begin, up to the first letter: tells most chunks apart at once
+        begin = commonprefix(self.added)
+        self.mark = begin[:next((k for k, c in enumerate(begin) if c.isalpha()), len(begin))]
         self.spelled: dict[str, str] = {}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -122,8 +126,8 @@ class ChunkTokenizer:
         for chunk in chunks:
             ids = older.get(chunk)
             if ids is None:
-                lower, tail = chunk.lower(), ""
-                if any(token in lower for token in self.added):
+                tail = ""
+                if self.mark in chunk and any(token in chunk.lower() for token in self.added):
                     ids = array("I", self.library.encode(chunk, add_special_tokens=False).ids).tobytes()
                 elif chunk.isascii():
                     core = chunk.rstrip(".,")
