@@ -38,7 +38,7 @@ from blotter.llm.shipping import give_back_memory, held_until_needed, on_workers
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bounds of what a worker remembers; results do not depend on them.  A word
 #: takes about 200 bytes, a state 210, a move 150 (three for a state at most).
-MEMO_WORDS, MEMO_LENGTH, MAX_STATES, MET = 100_000, 48, 100_000, 1 << 21
+MEMO_WORDS, MEMO_LENGTH, MAX_STATES, MET = 200_000, 48, 100_000, 1 << 21
 #: Tokens decoded at a time, and bytes of output per Arrow batch.
 DECODE_PIECE, BATCH_BYTES = 65_536, 4 << 20
 #: Above any rank.

@@ -90,3 +90,29 @@ def test_ids_as_lists(spark, library):
     docs = edge_docs(spark).filter("doc_id < 10")
     got = {r.doc_id: list(r.ids) for r in bpe.round_trip(docs, lists=True).collect()}
     assert got == {r.doc_id: library.encode_ordinary(r.text or "") for r in docs.collect()}
+
+
+def test_tables_stay_within_their_bounds(library, monkeypatch):
+    """Many distinct words under small bounds: nothing grows past them and the
+    ids stay the library's."""
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 50)
+    monkeypatch.setattr(bpe, "MAX_STATES", 200)
+    coder = bpe.Encoder(PATH, PATTERN)
+    machine = coder.memo.transducer
+    for k in range(300):
+        text = " ".join(f"wörd{(k * 7919 + j * 104729) % 99991}x{j}" for j in range(20)) + LONG[40 * k:40 * k + 200]
+        for _ in range(2):
+            assert np.frombuffer(coder.encode(text), "<u4").tolist() == library.encode_ordinary(text)
+        # one pre-token may add as many as it has bytes before the bound is looked at again
+        assert len(coder.memo) <= 50 and len(coder.memo.older) <= 50
+        assert len(machine.configurations) <= 200 + 64 and len(machine.moves) <= 600 + 64
+        assert len(machine.side_by_side) + len(machine.open_after) <= 600 + 64 * 64
+
+
+def test_caches_are_dropped_when_memory_is_given_back():
+    from blotter.llm import shipping
+
+    first = bpe.encoder(PATH, PATTERN)
+    assert bpe.encoder(PATH, PATTERN) is first
+    shipping.give_back_memory()
+    assert bpe.load_ranks.cache_info().currsize == 0 and bpe.encoder(PATH, PATTERN) is not first
