@@ -16,7 +16,7 @@ from blotter.operators import temporal
 from blotter.operators.filters import code_filter
 from blotter.operators.heavy import heavy_keys, join_heavy
 from blotter.operators.joins import broadcast_fits, estimated_bytes
-from blotter.operators.nearby import geo_near
+from blotter.operators.nearby import LIST_POINTS, geo_near
 from blotter.operators.sketches import answered, rolled_up, sketched
 from blotter.operators.temporal import asof_join, interval_join, running_total
 from blotter.sources.quarantine import quarantine, read_csv_ledger
@@ -69,6 +69,50 @@ def test_points_on_cell_edges_meet(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def joined_rows(plan, on):
+    """Rows that came out of the joins on column ``on`` in an executed plan."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return joined_rows(plan.executedPlan(), on)
+    if kind.endswith("QueryStageExec"):
+        return joined_rows(plan.plan(), on)
+    children = [plan.children().apply(k) for k in range(plan.children().size())]
+    own = "Join" in kind and plan.leftKeys().toString().startswith(f"List({on}#")
+    return sum(joined_rows(c, on) for c in children) + (plan.metrics().apply("numOutputRows").value() if own else 0)
+
+
+def test_a_point_meets_lists_of_a_crowded_cell(spark):
+    """200 points and 150 lookup points within a metre of each other, some at
+    one place: no row per pair comes out of the join, the nearest is exact."""
+    rnd = random.Random(11)
+    places = [(33.70003 + rnd.uniform(0, 5e-6), -118.0 + rnd.uniform(0, 5e-6)) for _ in range(100)]
+    places += places[:50]
+    seen = [(33.70003 + rnd.uniform(0, 5e-6), -118.0 + rnd.uniform(0, 5e-6)) for _ in range(200)] + places[:3]
+    facts = spark.createDataFrame([(k, *p) for k, p in enumerate(seen)], "id long, lat double, lon double")
+    geo = spark.createDataFrame([(*p, f"z{999 - k}") for k, p in enumerate(places)], "lat double, lon double, zip string")
+    met = geo_near(facts, geo, 0.01)
+    got = {r.id: (r.zip, r.distance_km) for r in met.collect()}
+    for k, p in enumerate(seen):
+        d = min(km(p, q) for q in places)
+        assert math.isclose(got[k][1], d, rel_tol=1e-6, abs_tol=1e-9)
+        near = 999 - int(got[k][0][1:])
+        assert math.isclose(km(p, places[near]), d, rel_tol=1e-6, abs_tol=1e-9)
+        assert near >= 50  # of two zips at one place the smaller
+    lists = -(-len(places) // LIST_POINTS)
+    assert 0 < joined_rows(met._jdf.queryExecution().executedPlan(), "_band") <= len(seen) * lists
+
+
+def test_copies_beyond_the_bound_are_not_broadcast(spark):
+    """The lookup's estimate is below Spark's threshold, its nine copies are not."""
+    geo = spark.range(60_000).select(
+        (F.lit(33.7) + F.col("id") / 10_000).alias("lat"), F.lit(-118.0).alias("lon"), F.col("id").cast("string").alias("zip"))
+    facts = geo.filter(F.col("zip") < "2").select(F.col("zip").alias("id"), "lat", "lon")
+    met = geo_near(facts, geo, 0.001)
+    plan = final_plan(met)
+    assert "SortMergeJoin [_band" in plan
+    assert met.filter(F.col("id") == F.col("zip")).count() == facts.count()
+
+
 def test_asof_join_against_brute_force(spark):
     rnd = random.Random(5)
     lefts = [(k, rnd.choice([None, 1, 1, 1, 2, 3]), rnd.choice([None, *[rnd.randrange(300)] * 9])) for k in range(400)]
