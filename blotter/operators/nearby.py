@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from blotter.functions.geo import EARTH_RADIUS_KM, haversine_km
+from blotter.functions.geo import EARTH_RADIUS_KM, haversine_term, km_of_term
 from blotter.operators.joins import broadcast_fits
 
 # Lookup points of a cell in one row, at most.
@@ -83,9 +83,11 @@ def geo_near(
     # the planner's estimate leaves the copies out
     if not broadcast_fits(lookup, MAX_COPIED_BYTES // COPIES):
         listed = listed.hint("merge")
-    best = F.array_min(F.transform("_places", lambda p: F.struct(
-        haversine_km("_lat", "_lon", p["_glat"], p["_glon"]).alias("_km"), p["_glat"].alias("_glat"), p["_glon"].alias("_glon"),
-        *[p[v].alias(v) for v in values])))
+    # two steps: inside a lambda Spark works out a repeated term each time anew
+    terms = F.transform("_places", lambda p: F.struct(
+        haversine_term("_lat", "_lon", p["_glat"], p["_glon"]).alias("_term"), p.alias("_place")))
+    best = F.array_min(F.transform(terms, lambda t: F.struct(
+        km_of_term(t["_term"]).alias("_km"), *[t["_place"][c].alias(c) for c in ("_glat", "_glon", *values)])))
     met = own.join(listed, ["_band", "_cell"]).select("_lat", "_lon", best.alias("_best"))
     # tested after the aggregate: a test before it would have each distance computed twice
     nearest = met.groupBy("_lat", "_lon").agg(F.min("_best").alias("_best")).filter(F.col("_best._km") <= tolerance_km)
